@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import adlog as A
 from ..operators import matching as M
 from ..sources import tables as S
 from . import fixtures as FX
@@ -178,13 +179,107 @@ QUERIES_MATCH: dict[str, Query] = {
 }
 
 
+# --------------------------------------------------------------------------- JSON ad log
+
+def q_json_flatten(spark, sf):
+    return A.flatten_ads(FX.adlog(spark, sf)).select(*A.FLAT_COLUMNS)
+
+
+def q_json_strict(spark, sf):
+    return A.strict_extract(FX.adlog(spark, sf), "line")
+
+
+_ADLOG_ORDERS = f"""o as (
+  select *, case when o_orderkey % {FX.FAULT_NOT_JSON} = 0 or o_orderkey % {FX.FAULT_NO_EVENT} = 0 then 0
+                 when o_orderkey % {FX.FAULT_NO_ADS} = 0 then 2 else 1 end as st
+  from orders)"""
+
+
+def _dev(expr: str, extra: str = "") -> str:
+    return f"case when st = 0{extra} then '' else {expr} end"
+
+
+_DEVICE_SQL = {
+    "device_model": "o_orderpriority",
+    "firmware": "o_orderstatus",
+    "imei": "cast(o_custkey as varchar)",
+    "ip": "'10.' || cast(o_custkey % 256 as varchar) || '.' || cast(o_orderkey % 256 as varchar) || '.1'",
+    "net": "'wifi'",
+    "oper_type": "'APP_CPD_SEARCH'",
+    "operator": "cast(o_custkey % 100 as varchar)",
+    "product_type": "'APPS'",
+    "req_uri": "'/apps/public/search'",
+    "screen_size": "'1080x1920'",
+    "sn": "cast(o_orderkey as varchar)",
+    "u_search_id": "'S' || cast(o_orderkey as varchar)",
+    "u_session_id": "cast(o_custkey as varchar) || '-' || cast(o_orderkey as varchar)",
+    "version_name": "'5.4.10'",
+    "oper_time": "cast(epoch_ms(o_orderdate) as varchar)",
+    "uid": "cast(o_custkey as varchar)",
+    "version_code": "cast(o_orderkey % 1000 as varchar)",
+    "algorithm_version": "'ARA1.1'",
+    "keyword": "o_orderpriority",
+}
+_DEVICE_EXTRA = {"operator": f" or o_orderkey % {FX.LEAF_NO_OPERATOR} = 0",
+                 "sn": f" or o_orderkey % {FX.LEAF_NO_SN} = 0"}
+_AD_SQL = {
+    "display": "cast(l_linenumber % 2 as varchar)",
+    "kw_type": "cast(l_linenumber as varchar)",
+    "app_id": "cast(l_partkey as varchar)",
+    "kw_id": "cast(l_suppkey as varchar)",
+    "unit_id": "cast(l_orderkey * 10 + l_linenumber as varchar)",
+    "kw": "l_returnflag || l_linestatus",
+    "request_id": "cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar)",
+}
+
+
+def _flatten_sql() -> str:
+    cols = []
+    for c in A.FLAT_COLUMNS:
+        if c in _AD_SQL:
+            cols.append(f"coalesce({_AD_SQL[c]}, '') as {c}")
+        else:
+            cols.append(_dev(_DEVICE_SQL[c], _DEVICE_EXTRA.get(c, "")) + f" as {c}")
+    return f"""with {_ADLOG_ORDERS},
+l as (select *, row_number() over (partition by l_orderkey
+                                   order by l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus) as rn
+      from lineitem)
+select {', '.join(cols)}
+from o left join l on o.st = 1 and l.l_orderkey = o.o_orderkey
+                  and (o.o_orderkey % {FX.ADS_BREAK} <> 0 or l.rn <= {FX.ADS_BREAK_AFTER})"""
+
+
+def _strict_sql() -> str:
+    cols = [f"{_DEVICE_SQL[c]} as {c}" for c in A.STRICT_DEVICE_FIELDS + A.ALGO_FIELDS]
+    return f"""with {_ADLOG_ORDERS},
+lc as (select l_orderkey, count(*) as c from lineitem group by l_orderkey)
+select {', '.join(cols)},
+       cast(case when st = 2 then 0
+                 when o_orderkey % {FX.ADS_BREAK} = 0 then least(coalesce(c, 0), {FX.ADS_BREAK_AFTER})
+                 else coalesce(c, 0) end as integer) as n_ads
+from o left join lc on lc.l_orderkey = o.o_orderkey
+where st <> 0 and o_orderkey % {FX.LEAF_NO_SN} <> 0"""
+
+
+QUERIES_JSON: dict[str, Query] = {
+    "json_flatten": q_json_flatten,
+    "json_strict": q_json_strict,
+}
+ORACLES_JSON = {
+    "json_flatten": _flatten_sql(),
+    "json_strict": _strict_sql(),
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(QUERIES_MATCH)
+    out.update(QUERIES_JSON)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(ORACLES_MATCH)
+    out.update(ORACLES_JSON)
     return out

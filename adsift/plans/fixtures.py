@@ -68,3 +68,83 @@ from (select case when p_size = 1 then left(p_name, length(p_name) - 2)
       from part where p_size in ({in_list})) t
 where trim(bw) is not null
 """
+
+
+# --------------------------------------------------------------------------- JSON ad log
+
+# Fixed fault rules of the ad-log fixture, by order key (first rule applies):
+# not JSON, no event_content, no ads key. Independent leaf faults: operator
+# missing, sn missing, uid written as a numeric string, and a non-object
+# element after the first two ads.
+FAULT_NOT_JSON, FAULT_NO_EVENT, FAULT_NO_ADS = 97, 89, 5
+LEAF_NO_OPERATOR, LEAF_NO_SN, LEAF_UID_TEXT, ADS_BREAK = 3, 7, 13, 11
+ADS_BREAK_AFTER = 2
+
+
+def adlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, stat_date, vcontent, line): one JSON log per order.
+
+    The order is the device/session block, its line items are the ads.
+    ``line`` is ``vcontent`` TAB day, the text-file form of the log.
+    """
+    orders = read_parquet(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    li = read_parquet(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    ad = F.struct(
+        F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_returnflag"),
+        F.col("l_linestatus"),
+        F.to_json(F.struct(
+            (F.col("l_linenumber") % 2).cast("int").alias("display"),
+            F.col("l_linenumber").cast("int").alias("kw_type"),
+            F.col("l_partkey").alias("app_id"),
+            F.col("l_suppkey").alias("kw_id"),
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("unit_id"),
+            F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("kw"),
+            F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+            .alias("request_id"))).alias("j"))
+    # One group per order: at most a handful of line items each.
+    ads = (li.groupBy("l_orderkey")
+           .agg(F.array_sort(F.collect_list(ad)).alias("a"))
+           .select(F.col("l_orderkey"), F.transform("a", lambda x: x["j"]).alias("ad_json")))
+    k = F.col("o_orderkey")
+    dev = F.to_json(F.struct(
+        F.col("o_orderpriority").alias("device_model"),
+        F.col("o_orderstatus").alias("firmware"),
+        F.col("o_custkey").cast("string").alias("imei"),
+        F.concat_ws(".", F.lit("10"), (F.col("o_custkey") % 256).cast("string"),
+                    (k % 256).cast("string"), F.lit("1")).alias("ip"),
+        F.lit("wifi").alias("net"),
+        F.lit("APP_CPD_SEARCH").alias("oper_type"),
+        F.when(k % LEAF_NO_OPERATOR != 0, (F.col("o_custkey") % 100).cast("string")).alias("operator"),
+        F.lit("APPS").alias("product_type"),
+        F.lit("/apps/public/search").alias("req_uri"),
+        F.lit("1080x1920").alias("screen_size"),
+        F.when(k % LEAF_NO_SN != 0, k.cast("string")).alias("sn"),
+        F.concat(F.lit("S"), k.cast("string")).alias("u_search_id"),
+        F.concat_ws("-", F.col("o_custkey").cast("string"), k.cast("string")).alias("u_session_id"),
+        F.lit("5.4.10").alias("version_name"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("oper_time"),
+        F.when(k % LEAF_UID_TEXT != 0, F.col("o_custkey")).alias("uid"),
+        F.when(k % LEAF_UID_TEXT == 0, F.col("o_custkey").cast("string")).alias("uid_text"),
+        (k % 1000).alias("version_code")))
+    # uid as text for some logs: rename the helper key in the rendered text.
+    dev = F.regexp_replace(dev, '"uid_text":', '"uid":')
+    ad_items = F.coalesce(F.col("ad_json"), F.array().cast("array<string>"))
+    ad_items = F.when(k % ADS_BREAK == 0,
+                      F.concat(F.slice(ad_items, 1, ADS_BREAK_AFTER), F.array(F.lit("0")),
+                               F.slice(ad_items, ADS_BREAK_AFTER + 1, 1_000_000))).otherwise(ad_items)
+    algo = F.to_json(F.struct(F.lit("ARA1.1").alias("algorithm_version"),
+                              F.col("o_orderpriority").alias("keyword")))
+    ec = (F.when(k % FAULT_NO_ADS != 0,
+                 F.concat(F.lit('{"ads":['), F.array_join(ad_items, ","), F.lit("],"),
+                          algo.substr(F.lit(2), F.length(algo))))
+          .otherwise(algo))
+    body = dev.substr(F.lit(1), F.length(dev) - 1)
+    vcontent = (F.when(k % FAULT_NOT_JSON == 0, F.concat(F.lit("not json: "), k.cast("string")))
+                .when(k % FAULT_NO_EVENT == 0, dev)
+                .otherwise(F.concat(body, F.lit(',"event_content":'), ec, F.lit("}"))))
+    day = F.date_format("o_orderdate", "yyyyMMdd").cast("bigint")
+    return (orders.join(ads, k == F.col("l_orderkey"), "left")
+            .select(k.alias("o_orderkey"), day.alias("stat_date"), vcontent.alias("vcontent"))
+            .withColumn("line", F.concat(F.col("vcontent"), F.lit("\t"), F.col("stat_date").cast("string"))))

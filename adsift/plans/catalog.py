@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import features as FF
 from ..operators import adlog as A
+from ..operators import features as FE
+from ..operators import merge as MG
 from ..operators import matching as M
 from ..sources import tables as S
 from . import fixtures as FX
@@ -271,10 +274,181 @@ ORACLES_JSON = {
 }
 
 
+# --------------------------------------------------------------------------- features
+
+def q_bins(spark, sf):
+    li = S.read_parquet(spark, sf, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        FF.bin_right_closed("l_quantity", FF.EVALUATE_THRESHOLDS).alias("qty_bin"),
+        FF.bin_right_closed("l_extendedprice", FF.COUNT_THRESHOLDS).alias("price_bin"),
+        FF.bin_right_closed(F.col("l_quantity") * 10240, FF.APPSIZE_THRESHOLDS).alias("size_bin"))
+
+
+def q_category_codes(spark, sf):
+    return FE.fit_codes(FX.profile_table(spark, sf), FE.PROFILE_COLUMNS)
+
+
+def q_profile_features(spark, sf):
+    return FE.profile_features(FX.profile_table(spark, sf))
+
+
+def app_snapshot(spark, sf, keys=()):
+    return MG.merge_apps(MG.advertised_apps(FX.ad_table(spark, sf), keys=keys),
+                         MG.app_attributes(FX.app_table(spark, sf)),
+                         MG.app_versions(FX.version_table(spark, sf), keys=keys), keys=keys)
+
+
+def q_app_merge(spark, sf):
+    return app_snapshot(spark, sf)
+
+
+def q_app_merge_daily(spark, sf):
+    return app_snapshot(spark, sf, keys=("stat_date",))
+
+
+def q_app_features(spark, sf):
+    return FE.app_features(app_snapshot(spark, sf))
+
+
+def q_event_features(spark, sf):
+    return FE.event_features(FX.event_log(spark, sf), keep=("stat_date",))
+
+
+def q_instances(spark, sf):
+    return FE.instances(FE.event_features(FX.event_log(spark, sf), keep=("stat_date",)),
+                        FE.profile_features(FX.profile_table(spark, sf)),
+                        FE.app_features(app_snapshot(spark, sf)))
+
+
+def q_one_hot(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    apps = FE.app_features(app_snapshot(spark, sf))
+    enc = FE.one_hot(apps, ["fcategoryid"])
+    arr = vector_to_array(F.col("fcategoryid_vec"))
+    return enc.select("appid", "fcategoryid",
+                      (F.array_position(arr, 1.0) - 1).cast("double").alias("hot_index"),
+                      F.size(arr).alias("n_slots"))
+
+
+def q_assemble(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    apps = FE.app_features(app_snapshot(spark, sf))
+    vec = FE.assemble(apps, "appid")
+    text = F.array_join(F.transform(vector_to_array(F.col("features")), lambda x: x.cast("string")), ",")
+    return vec.select("appid", text.alias("features"))
+
+
+def _bin_sql(expr: str, th) -> str:
+    cases = " ".join(f"when {expr} <= {float(r)} then {float(i)}" for i, r in enumerate(th))
+    return f"cast(case when {expr} is null then null when isnan({expr}) then 0.0 {cases} else {float(len(th))} end as double)"
+
+
+def _codes_sql(src: str, key: str, cols) -> str:
+    """CTEs ``d_<src>`` (dictionary) and ``coded_<src>`` (key + codes) over ``src``."""
+    d, dc, dv, dn, pv = (f"{x}_{src}" for x in ("d", "dc", "dv", "dn", "pv"))
+    unions = " union all ".join(f"select '{c}' as feature, cast({c} as varchar) as value from {src}" for c in cols)
+    joins = " ".join(f"left join {d} as j_{c} on j_{c}.feature = '{c}' "
+                     f"and j_{c}.value is not distinct from cast({src}.{c} as varchar)" for c in cols)
+    sel = ", ".join(f"coalesce(j_{c}.code, (select coalesce(max(total), 0) from {dc} where {dc}.feature = '{c}')) as {c}"
+                    for c in cols)
+    return f"""{pv} as ({unions}),
+{dv} as (select distinct feature, value from {pv}),
+{dn} as (select feature, value,
+               cast(dense_rank() over (partition by feature order by value) - 1 as double) as code
+        from {dv} where value is not null),
+{dc} as (select feature, cast(count(*) as double) as total from {dn} group by feature),
+{d} as (select feature, value, code from {dn}
+      union all select {dv}.feature, {dv}.value, coalesce({dc}.total, 0)
+      from {dv} left join {dc} using (feature) where {dv}.value is null),
+coded_{src} as (select {src}.{key}, {sel} from {src} {joins})"""
+
+
+_PROFILE_CTE = f"""prof as ({FX.PROFILE_SQL}),
+ps as (select * from prof order by imei limit {FE.PROFILE_SAMPLE_ROWS}),
+{_codes_sql('ps', 'imei', FE.PROFILE_COLUMNS)}"""
+
+_SNAPSHOT_SQL = f"""select a.appid, fname, fcategoryid, fcategory2id, fstatus, fevaluate_count, fdownload_count,
+       fstars, finstall_count, v.appsize
+from (select distinct l_partkey as appid from lineitem) a
+join ({FX.APP_SQL}) p on a.appid = p.fid
+join (select l_partkey as appid, max(cast(l_quantity as bigint) * 10240) as appsize from lineitem group by l_partkey) v
+  on a.appid = v.appid"""
+
+_SNAPSHOT_DAILY_SQL = f"""select a.stat_date, a.appid, fname, fcategoryid, fcategory2id, fstatus, fevaluate_count,
+       fdownload_count, fstars, finstall_count, v.appsize
+from (select distinct l_partkey as appid, cast(strftime(l_shipdate, '%Y%m%d') as bigint) as stat_date from lineitem) a
+join ({FX.APP_SQL}) p on a.appid = p.fid
+join (select l_partkey as appid, cast(strftime(l_shipdate, '%Y%m%d') as bigint) as stat_date,
+             max(cast(l_quantity as bigint) * 10240) as appsize
+      from lineitem group by 1, 2) v
+  on a.appid = v.appid and a.stat_date = v.stat_date"""
+
+_APP_BINNED = "ab as (select appid, fcategoryid, fcategory2id, " + ", ".join(
+    f"{_bin_sql(c, FF.APP_BIN_THRESHOLDS[c])} as {c}" for c in FE.APP_BIN_COLUMNS) + " from snap)"
+
+_APP_CTE = f"""snap as ({_SNAPSHOT_SQL}), {_APP_BINNED},
+{_codes_sql('ab', 'appid', FE.APP_CATEGORY_COLUMNS + FE.APP_BIN_COLUMNS)}"""
+
+_EVENT_FEATURES_SQL = f"""select stat_date, imei, app_id as appid,
+       case when oper_type = 'AD_MQ_EVENT_CPD_EXPOSE' then 0.0
+            when oper_type in ('AD_MQ_EVENT_CPD_DETAIL', 'AD_MQ_EVENT_CPD_INSTALL') then 1.0 else -1.0 end as oper_type,
+       cast(dayofweek(ts) + 1 as double) as day_of_week,
+       cast(floor(((hour(ts) + 22) % 24) / 6) as double) as hour_of_day
+from ({FX.EVENT_SQL}) e where tracker_type = 2"""
+
+ORACLES_FEATURES = {
+    "bins": f"""select l_orderkey, l_linenumber,
+       {_bin_sql('l_quantity', FF.EVALUATE_THRESHOLDS)} as qty_bin,
+       {_bin_sql('l_extendedprice', FF.COUNT_THRESHOLDS)} as price_bin,
+       {_bin_sql('(l_quantity * 10240)', FF.APPSIZE_THRESHOLDS)} as size_bin
+from lineitem""",
+    "category_codes": f"""with prof as ({FX.PROFILE_SQL}),
+{_codes_sql('prof', 'imei', FE.PROFILE_COLUMNS)}
+select feature, value, code from d_prof""",
+    "profile_features": f"""with {_PROFILE_CTE}
+select * from coded_ps""",
+    "app_merge": _SNAPSHOT_SQL,
+    "app_merge_daily": _SNAPSHOT_DAILY_SQL,
+    "app_features": f"""with {_APP_CTE}
+select * from coded_ab""",
+    "event_features": _EVENT_FEATURES_SQL,
+    "instances": f"""with {_PROFILE_CTE}, {_APP_CTE}, ev as ({_EVENT_FEATURES_SQL})
+select ev.oper_type, {', '.join('coded_ps.' + c for c in FE.PROFILE_COLUMNS)},
+       {', '.join('coded_ab.' + c for c in FE.APP_CATEGORY_COLUMNS + FE.APP_BIN_COLUMNS)},
+       ev.stat_date, ev.day_of_week, ev.hour_of_day
+from ev join coded_ps on ev.imei = coded_ps.imei join coded_ab on ev.appid = coded_ab.appid""",
+    "one_hot": f"""with {_APP_CTE}
+select appid, fcategoryid, fcategoryid as hot_index,
+       cast((select max(fcategoryid) from coded_ab) + 1 as integer) as n_slots
+from coded_ab""",
+    "assemble": f"""with {_APP_CTE}
+select appid, {" || ',' || ".join(f"cast({c} as varchar)" for c in FE.APP_CATEGORY_COLUMNS + FE.APP_BIN_COLUMNS)}
+       as features
+from coded_ab""",
+}
+
+QUERIES_FEATURES: dict[str, Query] = {
+    "bins": q_bins,
+    "category_codes": q_category_codes,
+    "profile_features": q_profile_features,
+    "app_merge": q_app_merge,
+    "app_merge_daily": q_app_merge_daily,
+    "app_features": q_app_features,
+    "event_features": q_event_features,
+    "instances": q_instances,
+    "one_hot": q_one_hot,
+    "assemble": q_assemble,
+}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(QUERIES_MATCH)
     out.update(QUERIES_JSON)
+    out.update(QUERIES_FEATURES)
     return out
 
 
@@ -282,4 +456,5 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(ORACLES_MATCH)
     out.update(ORACLES_JSON)
+    out.update(ORACLES_FEATURES)
     return out

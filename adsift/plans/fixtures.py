@@ -148,3 +148,85 @@ def adlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (orders.join(ads, k == F.col("l_orderkey"), "left")
             .select(k.alias("o_orderkey"), day.alias("stat_date"), vcontent.alias("vcontent"))
             .withColumn("line", F.concat(F.col("vcontent"), F.lit("\t"), F.col("stat_date").cast("string"))))
+
+
+# --------------------------------------------------------------------------- feature inputs
+
+def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User profiles from customers: one column of each sink type, one with NULLs."""
+    c = read_parquet(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("imei"),
+        F.col("c_nationkey").alias("user_age"),
+        F.col("c_mktsegment").alias("sex"),
+        (F.col("c_custkey") % 7).alias("user_job"),
+        (F.col("c_acctbal") > 5000).alias("marriage_status"),
+        F.floor(F.col("c_acctbal") / 1000).cast("double").alias("mz_apps_car_owner"),
+        F.when(F.col("c_custkey") % 11 != 0, F.col("c_mktsegment")).alias("user_network_type"))
+
+
+def ad_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advertised apps by day: (fappid, stat_date) from line items."""
+    li = read_parquet(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_partkey").alias("fappid"), day_number(F.col("l_shipdate")).alias("stat_date"))
+
+
+def app_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App attributes from parts (integer counts only)."""
+    p = read_parquet(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").alias("fid"),
+        F.col("p_name").alias("fname"),
+        F.col("p_brand").alias("fcategoryid"),
+        F.col("p_type").alias("fcategory2id"),
+        (F.col("p_size") % 2).alias("fstatus"),
+        (F.col("p_size") * 20).alias("fevaluate_count"),
+        (F.col("p_partkey") * 37).alias("fdownload_count"),
+        (F.col("p_size") * 1000).alias("fstars"),
+        ((F.col("p_partkey") % 50) * F.col("p_size") * 100).alias("finstall_count"))
+
+
+def version_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """App versions by day: (fappid, fsize, stat_date) from line items."""
+    li = read_parquet(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_partkey").alias("fappid"),
+                     (F.col("l_quantity").cast("bigint") * 10240).alias("fsize"),
+                     day_number(F.col("l_shipdate")).alias("stat_date"))
+
+
+EVENT_APPS = 200
+
+
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad event log from events: device, app, event name, epoch ms, tracker, day."""
+    e = read_parquet(spark, sf_dir, "events")
+    name = (F.when(F.col("event_type") == "view", F.lit("AD_MQ_EVENT_CPD_EXPOSE"))
+            .when(F.col("event_type") == "click", F.lit("AD_MQ_EVENT_CPD_DETAIL"))
+            .when(F.col("event_type") == "purchase", F.lit("AD_MQ_EVENT_CPD_INSTALL"))
+            .otherwise(F.col("event_type")))
+    return e.select(
+        F.col("user_id").cast("string").alias("imei"),
+        (F.col("event_id") % EVENT_APPS).alias("app_id"),
+        name.alias("oper_type"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("oper_time"),
+        F.when(F.col("event_type") == "error", F.lit(1)).otherwise(F.lit(2)).alias("tracker_type"),
+        day_number(F.col("ts")).alias("stat_date"))
+
+
+PROFILE_SQL = """select cast(c_custkey as varchar) as imei, c_nationkey as user_age, c_mktsegment as sex,
+       c_custkey % 7 as user_job, c_acctbal > 5000 as marriage_status,
+       cast(floor(c_acctbal / 1000) as double) as mz_apps_car_owner,
+       case when c_custkey % 11 <> 0 then c_mktsegment end as user_network_type
+from customer"""
+
+APP_SQL = """select p_partkey as fid, p_name as fname, p_brand as fcategoryid, p_type as fcategory2id,
+       p_size % 2 as fstatus, p_size * 20 as fevaluate_count, p_partkey * 37 as fdownload_count,
+       p_size * 1000 as fstars, (p_partkey % 50) * p_size * 100 as finstall_count
+from part"""
+
+EVENT_SQL = f"""select cast(user_id as varchar) as imei, event_id % {EVENT_APPS} as app_id,
+       case event_type when 'view' then 'AD_MQ_EVENT_CPD_EXPOSE' when 'click' then 'AD_MQ_EVENT_CPD_DETAIL'
+            when 'purchase' then 'AD_MQ_EVENT_CPD_INSTALL' else event_type end as oper_type,
+       ts, case when event_type = 'error' then 1 else 2 end as tracker_type,
+       cast(strftime(ts, '%Y%m%d') as bigint) as stat_date
+from events"""

@@ -63,16 +63,35 @@ def event_label(col: Column | str) -> Column:
             .otherwise(F.lit(-1.0)))
 
 
-def _ts(ms: Column | str) -> Column:
-    c = F.col(ms) if isinstance(ms, str) else ms
-    return F.timestamp_millis(c)
+MS_PER_HOUR = 3_600_000
+MS_PER_DAY = 86_400_000
+EPOCH_WEEKDAY = 5      # 1970-01-01 was a Thursday (Sunday = 1)
+
+
+def _ms(ms: Column | str) -> Column:
+    return F.col(ms) if isinstance(ms, str) else ms
+
+
+def epoch_ms(ts_ntz: Column | str) -> Column:
+    """Wall-clock timestamp (timestamp_ntz) -> epoch ms, read as UTC.
+
+    Independent of the session time zone."""
+    c = F.col(ts_ntz) if isinstance(ts_ntz, str) else ts_ntz
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+
+
+def utc_hour(ms: Column | str) -> Column:
+    return F.pmod(F.floor(_ms(ms) / F.lit(MS_PER_HOUR)), F.lit(24))
 
 
 def day_of_week(ms: Column | str) -> Column:
-    """Epoch milliseconds -> day of week, Sunday = 1 ... Saturday = 7."""
-    return F.dayofweek(_ts(ms)).cast("double")
+    """Epoch ms -> day of week in UTC, Sunday = 1 ... Saturday = 7.
+
+    Pure arithmetic on the epoch day, so the session time zone does not matter."""
+    day = F.floor(_ms(ms) / F.lit(MS_PER_DAY))
+    return (F.pmod(day + F.lit(EPOCH_WEEKDAY - 1), F.lit(7)) + F.lit(1)).cast("double")
 
 
 def hour_band(ms: Column | str) -> Column:
-    """Epoch ms -> 2-7 -> 0, 8-13 -> 1, 14-19 -> 2, 20-23 and 0-1 -> 3."""
-    return F.floor(((F.hour(_ts(ms)) + F.lit(22)) % F.lit(24)) / F.lit(6)).cast("double")
+    """Epoch ms -> UTC hour 2-7 -> 0, 8-13 -> 1, 14-19 -> 2, 20-23 and 0-1 -> 3."""
+    return F.floor(((utc_hour(ms) + F.lit(22)) % F.lit(24)) / F.lit(6)).cast("double")

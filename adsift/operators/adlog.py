@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonfields as J
+from ..plans.strategy import ensure_parallel
 
 # Fixed field lists and output order of the flattened log.
 DEVICE_STRING_FIELDS = ["device_model", "firmware", "imei", "ip", "net", "oper_type", "operator",
@@ -57,7 +58,7 @@ def _parsed(df: DataFrame, text, keep: Sequence[str]) -> DataFrame:
     Each stage is its own projection so that the parsed VARIANT is computed
     once per row and not inlined into every field expression.
     """
-    v = df.select(*keep, J.parse(text).alias("_v"))
+    v = ensure_parallel(df).select(*keep, J.parse(text).alias("_v"))
     return v.select(*keep, "_v", J.child(F.col("_v"), "event_content").alias("_ec"))
 
 

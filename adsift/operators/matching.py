@@ -16,9 +16,11 @@ the cost follows the number of true candidates and not |queries| x |bids|:
   string contains "". Bids with no token (and the empty bid) are keyed by
   ``""``, which each query adds to its keys only when such a bid exists.
 
-The bid side of each candidate join is broadcast only after its size has
-been checked (``plans.strategy``); otherwise both sides shuffle on the key
-and AQE splits a hot key.
+The bid side of each candidate join is broadcast only when one pass over
+the bids proved it small: every bid-side table (token vocabulary, token
+index, gram vocabulary, gram keys) is bounded by a fixed multiple of the
+bids' row count and bytes, so the check never touches the query side.
+Beyond the bound both sides shuffle on the key and AQE splits a hot key.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import overlap, substrings, tokens
-from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, broadcast_if_small
+from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES
 
 SEARCH = "search_word"
 BID = "bid_word"
@@ -52,6 +54,7 @@ class MatchConfig:
     gram: int = 3
     drop_empty_bids: bool = False
     rarest: bool = True
+    materialize: bool = True
     broadcast_max_rows: int = DEFAULT_MAX_ROWS
     broadcast_max_bytes: int = DEFAULT_MAX_BYTES
 
@@ -61,38 +64,64 @@ DEFAULT = MatchConfig()
 
 # --------------------------------------------------------------------------- inputs
 
+def _written(df: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Write a table that several branches read (checkpoint folder of the
+    session): the source log is then scanned once, not once per branch."""
+    return df.checkpoint() if cfg.materialize else df
+
+
 def _queries(searches: DataFrame, cfg: MatchConfig) -> DataFrame:
-    return (searches.select(SEARCH).where(F.col(SEARCH).isNotNull()).distinct()
-            .withColumn("qt", tokens(SEARCH, cfg.token_mode)))
+    """Search rows (one per distinct search word, as ``search_words`` gives)
+    with their token sets; written once."""
+    if "qt" in searches.columns:        # already prepared by a caller
+        return searches
+    q = searches.where(F.col(SEARCH).isNotNull()).withColumn("qt", tokens(SEARCH, cfg.token_mode))
+    return _written(q, cfg)
 
 
 def _bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
     b = bids.select(BID).where(F.col(BID).isNotNull())
     if cfg.drop_empty_bids:
         b = b.where(F.length(BID) > 0)
-    return (b.distinct()
-            .withColumn("bt", tokens(BID, cfg.token_mode))
-            .withColumn("n", F.size("bt")))
+    b = (b.distinct()
+         .withColumn("bt", tokens(BID, cfg.token_mode))
+         .withColumn("n", F.size("bt")))
+    return _written(b, cfg)
 
 
-def _bid_shape(b: DataFrame, gram: int) -> tuple[set[int], bool]:
-    """Key lengths of the substring index and whether a token-less bid exists.
+@dataclass(frozen=True)
+class BidStats:
+    """One aggregate row over the bids: size bound and index shape."""
+    rows: int
+    bytes: int
+    lengths: frozenset[int]     # key lengths of the substring index (0 = empty bid)
+    has_tokenless: bool         # a bid with no token exists
 
-    One pass over the bid side; the result has at most ``gram + 2`` rows.
-    """
-    rows = (b.select(F.least(F.length(BID), F.lit(gram)).alias("l"), (F.col("n") == 0).alias("z"))
-            .distinct().collect())
-    return {int(r["l"]) for r in rows}, any(r["z"] for r in rows)
+    def fits(self, cfg: MatchConfig, factor: int) -> bool:
+        return (self.rows * factor <= cfg.broadcast_max_rows
+                and self.bytes * factor <= cfg.broadcast_max_bytes)
 
 
-def _small(df: DataFrame, cfg: MatchConfig) -> DataFrame:
-    return broadcast_if_small(df, cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
+def _bid_stats(b: DataFrame, gram: int) -> BidStats:
+    """One pass over the bid side; the result is a single row."""
+    size = (F.octet_length(BID) + F.octet_length(F.array_join("bt", "")) + 16 * F.col("n")
+            + F.lit(ROW_OVERHEAD_BYTES))
+    r = b.agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"),
+              F.collect_set(F.least(F.length(BID), F.lit(gram))).alias("lengths"),
+              F.bool_or(F.col("n") == 0).alias("z")).collect()[0]
+    return BidStats(int(r["rows"]), int(r["bytes"] or 0), frozenset(int(x) for x in r["lengths"]),
+                    bool(r["z"]))
+
+
+def _bounded(df: DataFrame, stats: BidStats, cfg: MatchConfig, factor: int) -> DataFrame:
+    """Broadcast a bid-derived table whose size is at most ``factor`` x the bids'."""
+    return F.broadcast(df) if stats.fits(cfg, factor) else df
 
 
 # --------------------------------------------------------------------------- token index
 
 def _token_index(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
-                 cfg: MatchConfig) -> DataFrame:
+                 cfg: MatchConfig, stats: BidStats) -> DataFrame:
     """(bid_word, bt, n, idx): up to ``per_bid`` rarest tokens of each bid."""
     with_tokens = b.where(F.col("n") > 0)
     if cfg.rarest:
@@ -101,7 +130,7 @@ def _token_index(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
         # Query frequency of bid tokens only: the query side is cut to the bid
         # vocabulary before the (map-side combined) count.
         freq = (q.select(F.explode("qt").alias("tok"))
-                .join(_small(vocab, cfg), "tok", "left_semi")
+                .join(_bounded(vocab, stats, cfg, 1), "tok", "left_semi")
                 .groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
         ranked = (bid_tok.join(freq, "tok", "left")
                   .groupBy(BID)
@@ -119,13 +148,14 @@ def _token_index(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
 
 
 def _token_candidates(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
-                      cfg: MatchConfig) -> DataFrame:
+                      cfg: MatchConfig, stats: BidStats) -> DataFrame:
     """(search_word, bid_word, n, k) for pairs sharing an index token; each once."""
-    index = _token_index(q, b, per_bid, with_empty, cfg)
+    index = _token_index(q, b, per_bid, with_empty, cfg, stats)
     bx = index.select(BID, "bt", "n", "idx", F.posexplode("idx").alias("pos", "tok"))
     keys = F.array_union("qt", F.array(F.lit(EMPTY_KEY))) if with_empty else F.col("qt")
     qx = q.select(SEARCH, "qt", F.explode(keys).alias("tok"))
-    pairs = qx.join(_small(bx, cfg), "tok")
+    # Index rows: at most two per bid, each a bid with its tokens.
+    pairs = qx.join(_bounded(bx, stats, cfg, 2 * per_bid), "tok")
     # A pair reached through its second index token is kept only if the query
     # lacks the first one, so no pair is emitted twice and no distinct is needed.
     pairs = pairs.where((F.col("pos") == 0) | ~F.array_contains("qt", F.col("idx")[0]))
@@ -135,9 +165,10 @@ def _token_candidates(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool
 # --------------------------------------------------------------------------- substring index
 
 def _substring_candidates(q: DataFrame, b: DataFrame, cfg: MatchConfig,
-                          lengths: set[int]) -> DataFrame:
+                          stats: BidStats) -> DataFrame:
     """(search_word, bid_word, n) with ``contains(search_word, bid_word)``."""
     g = cfg.gram
+    lengths = stats.lengths
     parts = []
     if g in lengths:
         longer = b.where(F.length(BID) >= g)
@@ -145,7 +176,7 @@ def _substring_candidates(q: DataFrame, b: DataFrame, cfg: MatchConfig,
         if cfg.rarest:
             vocab = bgrams.select("gram").distinct()
             freq = (q.select(F.explode(substrings(F.col(SEARCH), g)).alias("gram"))
-                    .join(_small(vocab, cfg), "gram", "left_semi")
+                    .join(_bounded(vocab, stats, cfg, g), "gram", "left_semi")
                     .groupBy("gram").agg(F.count(F.lit(1)).alias("df")))
             keyed = (bgrams.join(freq, "gram", "left")
                      .groupBy(BID, "n")
@@ -165,7 +196,7 @@ def _substring_candidates(q: DataFrame, b: DataFrame, cfg: MatchConfig,
     if 0 in lengths:
         grams.append(F.array(F.lit(EMPTY_KEY)))
     qk = q.select(SEARCH, F.explode(F.array_distinct(F.concat(*grams))).alias("key"))
-    return (qk.join(_small(keys, cfg), "key")
+    return (qk.join(_bounded(keys, stats, cfg, 2), "key")
             .where(F.col(SEARCH).contains(F.col(BID)))
             .select(SEARCH, BID, "n"))
 
@@ -181,16 +212,16 @@ def tagged_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAUL
     """
     q = _queries(searches, cfg)
     b = _bids(bids, cfg)
-    lengths, has_tokenless = _bid_shape(b, cfg.gram)
+    stats = _bid_stats(b, cfg.gram)
 
     equal = (q.join(b, q[SEARCH] == b[BID])
              .select(q[SEARCH], b[BID], F.lit(TAG_EQUAL).alias("tag"), b["n"]))
 
-    contains = (_substring_candidates(q, b, cfg, lengths)
+    contains = (_substring_candidates(q, b, cfg, stats)
                 .where(F.col(SEARCH) != F.col(BID))
                 .select(SEARCH, BID, F.lit(TAG_CONTAINS).alias("tag"), "n"))
 
-    tok = _token_candidates(q, b, 2, has_tokenless, cfg).where(F.col(SEARCH) != F.col(BID))
+    tok = _token_candidates(q, b, 2, stats.has_tokenless, cfg, stats).where(F.col(SEARCH) != F.col(BID))
     tag34 = F.when(F.col("k") == F.col("n"), F.lit(TAG_ALL_TOKENS)) \
              .when((F.col("k") > 0) & (F.col("k") == F.col("n") - 1), F.lit(TAG_ALL_BUT_ONE))
     token_tags = (tok.select(SEARCH, BID, tag34.alias("tag"), "n")
@@ -213,9 +244,10 @@ def word_pair_arrays(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DE
     Queries without a pair keep an empty list. The query list and the pairs
     are unioned and grouped once, so no join back to the queries is needed.
     """
-    q = _queries(searches, cfg).select(SEARCH, F.lit(None).cast(PAIR_TYPE).alias("p"))
-    p = word_pairs(searches, bids, cfg).select(
+    q = _queries(searches, cfg)
+    p = word_pairs(q, bids, cfg).select(
         SEARCH, F.struct(F.col(BID), F.col("tag")).cast(PAIR_TYPE).alias("p"))
+    q = q.select(SEARCH, F.lit(None).cast(PAIR_TYPE).alias("p"))
     return (q.unionByName(p).groupBy(SEARCH)
             .agg(F.array_sort(F.collect_list("p")).alias("pairs")))
 
@@ -247,8 +279,9 @@ def word_pair_list(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFA
 
 # --------------------------------------------------------------------------- match modes
 
-def _keep_matched(searches: DataFrame, matched: DataFrame) -> DataFrame:
-    return searches.join(matched.select(SEARCH), SEARCH, "left_semi")
+def _keep_matched(q: DataFrame, matched: DataFrame) -> DataFrame:
+    """The written search rows (without tokens) that have a matching bid."""
+    return q.drop("qt").join(matched.select(SEARCH), SEARCH, "left_semi")
 
 
 def exact_match(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
@@ -261,26 +294,25 @@ def exact_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAU
     """Searches that contain some bid word as a substring."""
     q = _queries(searches, cfg)
     b = _bids(bids, cfg)
-    lengths, _ = _bid_shape(b, cfg.gram)
-    return _keep_matched(searches, _substring_candidates(q, b, cfg, lengths))
+    return _keep_matched(q, _substring_candidates(q, b, cfg, _bid_stats(b, cfg.gram)))
 
 
 def token_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Searches whose token set holds all tokens of some bid (J3, "syno")."""
     q = _queries(searches, cfg)
     b = _bids(bids, cfg)
-    _, has_tokenless = _bid_shape(b, cfg.gram)
-    cand = _token_candidates(q, b, 1, has_tokenless, cfg)
-    return _keep_matched(searches, cand.where(F.col("k") == F.col("n")))
+    stats = _bid_stats(b, cfg.gram)
+    cand = _token_candidates(q, b, 1, stats.has_tokenless, cfg, stats)
+    return _keep_matched(q, cand.where(F.col("k") == F.col("n")))
 
 
 def core_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Searches holding a one-token bid, or all but one token of a longer bid."""
     q = _queries(searches, cfg)
     b = _bids(bids, cfg)
-    cand = _token_candidates(q, b, 2, False, cfg)
+    cand = _token_candidates(q, b, 2, False, cfg, _bid_stats(b, cfg.gram))
     ok = ((F.col("n") == 1) & (F.col("k") == 1)) | ((F.col("n") > 1) & (F.col("k") >= F.col("n") - 1))
-    return _keep_matched(searches, cand.where(ok))
+    return _keep_matched(q, cand.where(ok))
 
 
 def match(mode: str, bids: DataFrame, searches: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
@@ -306,14 +338,15 @@ def coverage(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -
     tag 1|2, syno = tag 1|3, core = tag 1|3|4 with a bid of at least one token.
     """
     t = F.col("tag")
-    flags = (tagged_pairs(searches, bids, cfg)
+    q = _queries(searches, cfg)
+    flags = (tagged_pairs(q, bids, cfg)
              .groupBy(SEARCH)
              .agg(F.bool_or(t == TAG_EQUAL).alias("m_exact_match"),
                   F.bool_or(t.isin(TAG_EQUAL, TAG_CONTAINS)).alias("m_exact_include"),
                   F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS)).alias("m_syno_include"),
                   F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS, TAG_ALL_BUT_ONE) & (F.col("n") > 0))
                   .alias("m_core_include")))
-    s = searches.select(SEARCH, "cnt").join(flags, SEARCH, "left")
+    s = q.select(SEARCH, "cnt").join(flags, SEARCH, "left")
     names = ["exact_match", "exact_include", "syno_include", "core_include"]
     aggs = [F.count(F.lit(1)).alias("total_words"), F.sum("cnt").alias("total_cnt")]
     for name in names:

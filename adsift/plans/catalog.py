@@ -16,6 +16,7 @@ from ..operators import adlog as A
 from ..operators import features as FE
 from ..operators import merge as MG
 from ..operators import matching as M
+from ..session import configure
 from ..sources import tables as S
 from . import fixtures as FX
 
@@ -444,12 +445,21 @@ QUERIES_FEATURES: dict[str, Query] = {
 }
 
 
+def _configured(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(QUERIES_MATCH)
     out.update(QUERIES_JSON)
     out.update(QUERIES_FEATURES)
-    return out
+    return {k: _configured(v) for k, v in out.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,12 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.features import epoch_ms
+from ..plans.strategy import ensure_parallel
 from ..sources.tables import day_number, read_parquet
 
 
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(keyword string, stat_date bigint)"""
-    li = read_parquet(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber", "l_shipdate")
+    li = ensure_parallel(read_parquet(spark, sf_dir, "lineitem").select("l_partkey", "l_linenumber", "l_shipdate"))
     part = read_parquet(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     keyword = (F.when(F.col("l_linenumber") == 1, F.col("p_name"))
                .otherwise(F.concat(F.col("p_name"), F.lit(" "), F.lower(F.col("p_type")))))
@@ -89,8 +91,8 @@ def adlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = read_parquet(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    li = read_parquet(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    li = ensure_parallel(read_parquet(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))
     ad = F.struct(
         F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_returnflag"),
         F.col("l_linestatus"),
@@ -124,7 +126,7 @@ def adlog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), k.cast("string")).alias("u_search_id"),
         F.concat_ws("-", F.col("o_custkey").cast("string"), k.cast("string")).alias("u_session_id"),
         F.lit("5.4.10").alias("version_name"),
-        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("oper_time"),
+        epoch_ms("o_orderdate").alias("oper_time"),
         F.when(k % LEAF_UID_TEXT != 0, F.col("o_custkey")).alias("uid"),
         F.when(k % LEAF_UID_TEXT == 0, F.col("o_custkey").cast("string")).alias("uid_text"),
         (k % 1000).alias("version_code")))
@@ -145,7 +147,7 @@ def adlog(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(k % FAULT_NO_EVENT == 0, dev)
                 .otherwise(F.concat(body, F.lit(',"event_content":'), ec, F.lit("}"))))
     day = F.date_format("o_orderdate", "yyyyMMdd").cast("bigint")
-    return (orders.join(ads, k == F.col("l_orderkey"), "left")
+    return (ensure_parallel(orders).join(ads, k == F.col("l_orderkey"), "left")
             .select(k.alias("o_orderkey"), day.alias("stat_date"), vcontent.alias("vcontent"))
             .withColumn("line", F.concat(F.col("vcontent"), F.lit("\t"), F.col("stat_date").cast("string"))))
 
@@ -208,7 +210,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("imei"),
         (F.col("event_id") % EVENT_APPS).alias("app_id"),
         name.alias("oper_type"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("oper_time"),
+        epoch_ms("ts").alias("oper_time"),
         F.when(F.col("event_type") == "error", F.lit(1)).otherwise(F.lit(2)).alias("tracker_type"),
         day_number(F.col("ts")).alias("stat_date"))
 

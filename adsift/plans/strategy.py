@@ -55,3 +55,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
 
 def is_empty(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
+
+
+def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks before CPU-heavy
+    narrow work (JSON parsing, string building).
+
+    Only an input with fewer partitions than the cluster's parallelism (a
+    small file, one row group) is redistributed, round-robin; a large scan
+    already has enough splits and is passed through without a shuffle.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed patterns of the two native modes.
-WHITESPACE_PATTERN = r"\s+"
+WHITESPACE_PATTERN = r"[ \t\n\x0B\f\r]+"
 CJK_CHAR_PATTERN = r"(\p{IsHan}|[\p{L}\p{N}&&[^\p{IsHan}]]+)"
 
 TOKEN_MODES = ("whitespace", "cjk_char")

@@ -116,8 +116,9 @@ def app_features(apps: DataFrame, key: str = "appid", recode_bins: bool = True,
     categories too; otherwise they stay ordinal.
     """
     th = thresholds or APP_BIN_THRESHOLDS
+    # Written once: the dictionary fit and the coding both read it.
     binned = apps.select(key, *APP_CATEGORY_COLUMNS,
-                         *[bin_right_closed(c, th[c]).alias(c) for c in APP_BIN_COLUMNS])
+                         *[bin_right_closed(c, th[c]).alias(c) for c in APP_BIN_COLUMNS]).checkpoint()
     cols = APP_CATEGORY_COLUMNS + (APP_BIN_COLUMNS if recode_bins else [])
     coded, _ = multi_col_process(binned, key, cols)
     return coded
@@ -147,6 +148,9 @@ def instances(events: DataFrame, profiles: DataFrame, apps: DataFrame,
     e_cols = [c for c in events.columns if c not in ("imei", "appid", label)]
     joined = (events.join(broadcast_if_small(profiles), "imei")
               .join(broadcast_if_small(apps), "appid"))
+    # An event key (device or app) holding a large share of rows never
+    # gathers in one task: broadcast joins leave the event side in place,
+    # and shuffle joins are split by AQE's skew handling.
     return joined.select(label, *p_cols, *a_cols, *e_cols)
 
 

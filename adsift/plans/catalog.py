@@ -93,7 +93,7 @@ def q_bidlist_rows(spark, sf):
 # --------------------------------------------------------------------------- oracle texts
 
 def _tok(x: str) -> str:
-    return f"list_distinct(list_filter(regexp_split_to_array({x}, '\\s+'), lambda t: t <> ''))"
+    return f"list_distinct(list_filter(regexp_split_to_array({x}, '[ \\t\\n\\x0B\\f\\r]+'), lambda t: t <> ''))"
 
 
 def _with(sizes=(1, 2, 3, 4)) -> str:

@@ -65,6 +65,8 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     small file, one row group) is redistributed, round-robin; a large scan
     already has enough splits and is passed through without a shuffle.
     """
+    if df.isStreaming:
+        return df
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
     return df.repartition(want) if have < want else df

@@ -7,7 +7,8 @@ Leaves are then read with a type check, mirroring strict getters:
 * string leaf: only a JSON string; anything else (number, null, missing) -> NULL
 * int / long leaf: a number (fraction cut toward zero) or a numeric string;
   booleans and other text -> NULL
-* object / array tests on ``schema_of_variant``
+* object test by a cast to a one-field struct; array access by a cast to
+  ``array<variant>``
 """
 
 from __future__ import annotations
@@ -24,8 +25,14 @@ def vtype(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
+# A struct with one variant field: the cast succeeds for every object
+# (whatever that key holds, or NULL) and fails for any other value. Unlike
+# schema_of_variant it does not walk the whole value.
+OBJECT_PROBE = "struct<_adsift_object_probe:variant>"
+
+
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.startswith(vtype(v), F.lit("OBJECT")), F.lit(False))
+    return F.try_variant_get(v, "$", OBJECT_PROBE).isNotNull()
 
 
 def child(v: Column, name: str) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import (APP_BIN_THRESHOLDS, bin_right_closed, day_of_week, event_label,
                                   hour_band, to_string)
-from ..plans.strategy import broadcast_if_small
+from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, broadcast_if_small
 from ..sources.tables import bounded_sample
 
 # Fixed column lists of the reference's feature tables.
@@ -71,19 +71,29 @@ def fit_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
     return dictionary.checkpoint() if checkpoint else dictionary
 
 
-def apply_codes(df: DataFrame, dictionary: DataFrame, cols: Sequence[str]) -> DataFrame:
+def apply_codes(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
+                max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     """Replace each column by its code; NULL matches the NULL entry, a value the
-    dictionary has not seen gets the column's value count (an extra code)."""
+    dictionary has not seen gets the column's value count (an extra code).
+
+    One aggregate over the dictionary (one row per feature) gives each
+    column's value count and its size, which decides the broadcast per column.
+    """
     out = to_string(df, cols)
-    sizes = (dictionary.where(F.col("value").isNotNull())
-             .groupBy("feature").agg(F.count(F.lit(1)).alias("n")))
-    size_of = {r["feature"]: float(r["n"]) for r in sizes.collect()}   # one row per column
+    stats = {r["feature"]: r for r in (
+        dictionary.groupBy("feature")
+        .agg(F.count("value").alias("values"), F.count(F.lit(1)).alias("rows"),
+             F.sum(F.coalesce(F.octet_length("value"), F.lit(0))).alias("bytes"))
+        .collect())}
     for c in cols:
+        st = stats.get(c)
+        n_values = float(st["values"]) if st else 0.0
         d = (dictionary.where(F.col("feature") == F.lit(c))
              .select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}")))
-        d = broadcast_if_small(d)
+        if st and st["rows"] <= max_rows and (st["bytes"] or 0) + ROW_OVERHEAD_BYTES * st["rows"] <= max_bytes:
+            d = F.broadcast(d)
         out = (out.join(d, out[c].eqNullSafe(d[f"_v_{c}"]), "left")
-               .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(size_of.get(c, 0.0))))
+               .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(n_values)))
                .drop(f"_v_{c}", f"_c_{c}"))
     return out
 

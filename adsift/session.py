@@ -33,7 +33,7 @@ LIBRARY_CONF = {
 
 
 def get_session(master: str | None = None, app_name: str = "adsift",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """Return the active session, or build one (local mode for tests)."""
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -45,6 +45,8 @@ def get_session(master: str | None = None, app_name: str = "adsift",
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for key, value in LIBRARY_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -118,6 +118,22 @@ def _bounded(df: DataFrame, stats: BidStats, cfg: MatchConfig, factor: int) -> D
     return F.broadcast(df) if stats.fits(cfg, factor) else df
 
 
+def _frequencies(keys: DataFrame, vocab: DataFrame, col: str, stats: BidStats,
+                 cfg: MatchConfig, factor: int) -> DataFrame:
+    """Number of queries holding each bid-side key (token or gram): ``(col, df)``.
+
+    With a broadcastable vocabulary the query keys are cut to it in place
+    before the count. Otherwise the keys are counted first (combined
+    map-side, so a key held by a third of all queries is one row per task)
+    and only the counts are joined to the vocabulary.
+    """
+    if stats.fits(cfg, factor):
+        return (keys.join(F.broadcast(vocab), col, "left_semi")
+                .groupBy(col).agg(F.count(F.lit(1)).alias("df")))
+    counted = keys.groupBy(col).agg(F.count(F.lit(1)).alias("df"))
+    return counted.join(vocab, col, "left_semi")
+
+
 # --------------------------------------------------------------------------- token index
 
 def _token_index(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
@@ -127,11 +143,7 @@ def _token_index(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
     if cfg.rarest:
         bid_tok = with_tokens.select(BID, F.explode("bt").alias("tok"))
         vocab = bid_tok.select("tok").distinct()
-        # Query frequency of bid tokens only: the query side is cut to the bid
-        # vocabulary before the (map-side combined) count.
-        freq = (q.select(F.explode("qt").alias("tok"))
-                .join(_bounded(vocab, stats, cfg, 1), "tok", "left_semi")
-                .groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
+        freq = _frequencies(q.select(F.explode("qt").alias("tok")), vocab, "tok", stats, cfg, 1)
         ranked = (bid_tok.join(freq, "tok", "left")
                   .groupBy(BID)
                   .agg(F.array_sort(F.collect_list(
@@ -175,9 +187,8 @@ def _substring_candidates(q: DataFrame, b: DataFrame, cfg: MatchConfig,
         bgrams = longer.select(BID, "n", F.explode(substrings(F.col(BID), g)).alias("gram"))
         if cfg.rarest:
             vocab = bgrams.select("gram").distinct()
-            freq = (q.select(F.explode(substrings(F.col(SEARCH), g)).alias("gram"))
-                    .join(_bounded(vocab, stats, cfg, g), "gram", "left_semi")
-                    .groupBy("gram").agg(F.count(F.lit(1)).alias("df")))
+            freq = _frequencies(q.select(F.explode(substrings(F.col(SEARCH), g)).alias("gram")),
+                                vocab, "gram", stats, cfg, g)
             keyed = (bgrams.join(freq, "gram", "left")
                      .groupBy(BID, "n")
                      .agg(F.min(F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("gram")))

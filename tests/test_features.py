@@ -112,3 +112,10 @@ def test_event_features_and_instances(spark):
     assert inst.columns == ["oper_type", "user_age", "fcategoryid", "day_of_week", "hour_of_day"]
     assert inst.count() == 1
     assert not math.isnan(inst.first()["hour_of_day"])
+
+
+def test_codes_without_broadcast(spark):
+    df = spark.createDataFrame([("x", 1), ("y", None), ("x", 3)] * 10, "a string, b int")
+    d = FE.fit_codes(df, ["a", "b"], partitions=2)
+    coded = FE.apply_codes(df, d, ["a", "b"], max_rows=0)
+    assert sorted({tuple(r) for r in coded.collect()}) == [(0.0, 0.0), (0.0, 1.0), (1.0, 2.0)]

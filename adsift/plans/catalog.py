@@ -394,8 +394,9 @@ _APP_CTE = f"""snap as ({_SNAPSHOT_SQL}), {_APP_BINNED},
 {_codes_sql('ab', 'appid', FE.APP_CATEGORY_COLUMNS + FE.APP_BIN_COLUMNS)}"""
 
 _EVENT_FEATURES_SQL = f"""select stat_date, imei, app_id as appid,
-       case when oper_type = 'AD_MQ_EVENT_CPD_EXPOSE' then 0.0
-            when oper_type in ('AD_MQ_EVENT_CPD_DETAIL', 'AD_MQ_EVENT_CPD_INSTALL') then 1.0 else -1.0 end as oper_type,
+       cast(case when oper_type = 'AD_MQ_EVENT_CPD_EXPOSE' then 0.0
+                 when oper_type in ('AD_MQ_EVENT_CPD_DETAIL', 'AD_MQ_EVENT_CPD_INSTALL') then 1.0
+                 else -1.0 end as double) as oper_type,
        cast(dayofweek(ts) + 1 as double) as day_of_week,
        cast(floor(((hour(ts) + 22) % 24) / 6) as double) as hour_of_day
 from ({FX.EVENT_SQL}) e where tracker_type = 2"""

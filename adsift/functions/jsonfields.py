@@ -64,3 +64,28 @@ def objects_prefix(arr: Column, ok=None) -> Column:
     test = (lambda a: is_object(a)) if ok is None else (lambda a: is_object(a) & ok(a))
     first_bad = F.array_position(F.transform(arr, test), False)
     return F.when(first_bad > 0, F.slice(arr, F.lit(1), (first_bad - 1).cast("int"))).otherwise(arr)
+
+
+def object_fields(v: Column, names) -> Column:
+    """Cast an object to ``struct<name: variant, ...>`` in one pass.
+
+    NULL when ``v`` is not an object (so it is also the object test); a
+    missing member is a NULL field. Member names match exactly.
+    """
+    ddl = "struct<" + ",".join(f"`{n}`:variant" for n in names) + ">"
+    return F.try_variant_get(v, "$", ddl)
+
+
+def string_value(x: Column) -> Column:
+    """A leaf VARIANT that is a JSON string, else NULL."""
+    return F.when(vtype(x) == F.lit("STRING"), F.try_variant_get(x, "$", "string"))
+
+
+def integral_value(x: Column, sql_type: str = "bigint") -> Column:
+    """A number (fraction cut toward zero) or numeric string, else NULL."""
+    return F.when(vtype(x) != F.lit("BOOLEAN"), F.try_variant_get(x, "$", sql_type))
+
+
+def first_null_index(arr: Column) -> Column:
+    """1-based position of the first NULL element, 0 if none."""
+    return F.array_position(F.transform(arr, lambda a: a.isNull()), True)

@@ -41,47 +41,59 @@ AD_FIELDS = AD_INT_FIELDS + AD_LONG_FIELDS + AD_STRING_FIELDS
 FLAT_COLUMNS = DEVICE_FIELDS + AD_FIELDS + ALGO_FIELDS
 
 
+ROOT_FIELDS = DEVICE_FIELDS + ["event_content"]
+EVENT_FIELDS = ALGO_FIELDS + ["ads"]
+
+
 def _ad_leaves(ad):
+    """Typed ad leaves from an ad struct (``object_fields`` of an ad)."""
     out = {}
     for f in AD_INT_FIELDS:
-        out[f] = J.integral_leaf(ad, f, "int")
+        out[f] = J.integral_value(ad[f], "int")
     for f in AD_LONG_FIELDS:
-        out[f] = J.integral_leaf(ad, f, "bigint")
+        out[f] = J.integral_value(ad[f], "bigint")
     for f in AD_STRING_FIELDS:
-        out[f] = J.string_leaf(ad, f)
+        out[f] = J.string_value(ad[f])
     return out
 
 
 def _parsed(df: DataFrame, text, keep: Sequence[str]) -> DataFrame:
-    """Parse once; the log object and its event_content as separate columns.
+    """Parse once, then read the log and its event_content with one struct
+    cast each (``_r``, ``_e``: NULL when not an object) and the ads as
+    structs (``_ads``: NULL elements where an ad is not an object).
 
-    Each stage is its own projection so that the parsed VARIANT is computed
-    once per row and not inlined into every field expression.
+    Each step is its own projection so the parsed VARIANT is computed once
+    per row and not inlined into every field expression.
     """
     v = ensure_parallel(df).select(*keep, J.parse(text).alias("_v"))
-    return v.select(*keep, "_v", J.child(F.col("_v"), "event_content").alias("_ec"))
+    r = v.select(*keep, J.object_fields(F.col("_v"), ROOT_FIELDS).alias("_r"))
+    e = r.select(*keep, "_r", J.object_fields(F.col("_r")["event_content"], EVENT_FIELDS).alias("_e"))
+    arr = F.try_variant_get(F.col("_e")["ads"], "$", "array<variant>")
+    return e.select(*keep, "_r", "_e",
+                    F.transform(arr, lambda a: J.object_fields(a, AD_FIELDS)).alias("_ads"))
 
 
 def flatten_ads(df: DataFrame, col: str = "vcontent", keep: Sequence[str] = ()) -> DataFrame:
     """One row per ad, 26 string columns (plus ``keep`` columns first)."""
     keep = list(keep)
     p = _parsed(df, F.col(col), keep)
-    v, ec = F.col("_v"), F.col("_ec")
+    r, e, ads = F.col("_r"), F.col("_e"), F.col("_ads")
     fields = {}
     for f in DEVICE_STRING_FIELDS:
-        fields[f] = J.string_leaf(v, f)
+        fields[f] = J.string_value(r[f])
     for f in DEVICE_LONG_FIELDS:
-        fields[f] = J.integral_leaf(v, f, "bigint")
+        fields[f] = J.integral_value(r[f], "bigint")
     for f in ALGO_FIELDS:
-        fields[f] = J.string_leaf(ec, f)
-    staged = p.select(*keep, *[J.text_or_empty(c).alias(n) for n, c in fields.items()],
-                      (J.is_object(v) & J.is_object(ec)).alias("_ok"),
-                      J.array_of_variants(ec, "ads").alias("_arr"))
-    # Rules (1) and (2): a bad log keeps one all-empty row.
-    good = staged.select(*keep,
-                         *[F.when(F.col("_ok"), F.col(n)).otherwise(F.lit("")).alias(n) for n in fields],
-                         F.when(F.col("_ok"), J.objects_prefix(F.col("_arr"))).alias("_ads"))
-    exploded = good.select(*keep, *fields.keys(), F.explode_outer("_ads").alias("_ad"))
+        fields[f] = J.string_value(e[f])
+    ok = r.isNotNull() & e.isNotNull()
+    # Rules (1) and (2): a bad log keeps one all-empty row. Rule (5): ads up
+    # to the first element that is not an object.
+    stop = J.first_null_index(ads)
+    prefix = F.when(stop > 0, F.slice(ads, F.lit(1), (stop - 1).cast("int"))).otherwise(ads)
+    staged = p.select(*keep,
+                      *[F.when(ok, J.text_or_empty(c)).otherwise(F.lit("")).alias(n) for n, c in fields.items()],
+                      F.when(ok, prefix).alias("_pre"))
+    exploded = staged.select(*keep, *fields.keys(), F.explode_outer("_pre").alias("_ad"))
     ad_cols = [J.text_or_empty(c).alias(name) for name, c in _ad_leaves(F.col("_ad")).items()]
     return exploded.select(*keep, *DEVICE_FIELDS, *ad_cols, *ALGO_FIELDS)
 
@@ -101,28 +113,27 @@ def strict_extract(df: DataFrame, col: str = "value", keep: Sequence[str] = (),
     keep = list(keep)
     text = first_field(col) if tab_split else F.col(col)
     p = _parsed(df, text, keep)
-    p = p.select(*keep, "_v", "_ec", J.array_of_variants(F.col("_ec"), "ads").alias("_arr"))
-    v, ec, arr = F.col("_v"), F.col("_ec"), F.col("_arr")
-    fields = {f: J.string_leaf(v, f) for f in STRICT_DEVICE_FIELDS}
-    fields.update({f: J.string_leaf(ec, f) for f in ALGO_FIELDS})
+    r, e, ads = F.col("_r"), F.col("_e"), F.col("_ads")
+    fields = {f: J.string_value(r[f]) for f in STRICT_DEVICE_FIELDS}
+    fields.update({f: J.string_value(e[f]) for f in ALGO_FIELDS})
 
     def complete(ad):
-        ok = F.lit(True)
+        ok = ad.isNotNull()
         for c in _ad_leaves(ad).values():
             ok = ok & c.isNotNull()
         return ok
 
-    bad = F.array_position(F.transform(arr, lambda a: J.is_object(a) & complete(a)), False)
-    n_ads = (F.when(arr.isNull(), F.lit(0))
+    bad = F.array_position(F.transform(ads, complete), False)
+    n_ads = (F.when(ads.isNull(), F.lit(0))
              .when(bad > 0, bad - 1)
-             .otherwise(F.size(arr))).cast("int")
+             .otherwise(F.size(ads))).cast("int")
     rec = F.struct(*[F.col(k) for k in keep], *[c.alias(n) for n, c in fields.items()],
-                   n_ads.alias("n_ads"), (J.is_object(v) & J.is_object(ec)).alias("_ok"))
+                   n_ads.alias("n_ads"), (r.isNotNull() & e.isNotNull()).alias("_ok"))
 
-    def required(r):
-        ok = r["_ok"]
+    def required(x):
+        ok = x["_ok"]
         for n in fields:
-            ok = ok & r[n].isNotNull()
+            ok = ok & x[n].isNotNull()
         return ok
 
     # Zero or one row per line, as a generator: no Filter node exists that the

@@ -7,8 +7,8 @@ Leaves are then read with a type check, mirroring strict getters:
 * string leaf: only a JSON string; anything else (number, null, missing) -> NULL
 * int / long leaf: a number (fraction cut toward zero) or a numeric string;
   booleans and other text -> NULL
-* object test by a cast to a one-field struct; array access by a cast to
-  ``array<variant>``
+* objects are read with one cast to ``struct<name: variant, ...>`` (NULL
+  when the value is not an object); arrays with a cast to ``array<variant>``
 """
 
 from __future__ import annotations
@@ -35,35 +35,18 @@ def is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", OBJECT_PROBE).isNotNull()
 
 
-def child(v: Column, name: str) -> Column:
-    """Member ``name`` of an object as a VARIANT (NULL when missing)."""
-    return F.try_variant_get(v, f"$['{name}']", "variant")
 
 
-def string_leaf(v: Column, name: str) -> Column:
-    x = child(v, name)
-    return F.when(vtype(x) == F.lit("STRING"), F.try_variant_get(x, "$", "string"))
 
 
-def integral_leaf(v: Column, name: str, sql_type: str = "bigint") -> Column:
-    x = child(v, name)
-    return F.when(vtype(x) != F.lit("BOOLEAN"), F.try_variant_get(x, "$", sql_type))
 
 
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def array_of_variants(v: Column, name: str) -> Column:
-    """Member ``name`` as ``array<variant>``; NULL when missing or not an array."""
-    return F.try_variant_get(v, f"$['{name}']", "array<variant>")
 
 
-def objects_prefix(arr: Column, ok=None) -> Column:
-    """Elements before the first one that is not an object (or fails ``ok``)."""
-    test = (lambda a: is_object(a)) if ok is None else (lambda a: is_object(a) & ok(a))
-    first_bad = F.array_position(F.transform(arr, test), False)
-    return F.when(first_bad > 0, F.slice(arr, F.lit(1), (first_bad - 1).cast("int"))).otherwise(arr)
 
 
 def object_fields(v: Column, names) -> Column:

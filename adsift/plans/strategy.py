@@ -58,12 +58,14 @@ def is_empty(df: DataFrame) -> bool:
 
 
 def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` tasks before CPU-heavy
+    """Spread a *scan* over at least ``min_partitions`` tasks before CPU-heavy
     narrow work (JSON parsing, string building).
 
-    Only an input with fewer partitions than the cluster's parallelism (a
-    small file, one row group) is redistributed, round-robin; a large scan
-    already has enough splits and is passed through without a shuffle.
+    Only a scan with fewer splits than the cluster's parallelism (a small
+    file, one row group) is redistributed, round-robin; a large scan already
+    has enough splits and is passed through without a shuffle. Use it right
+    on a scan: for a plan with shuffles, asking for its partition count would
+    run those shuffles early.
     """
     if df.isStreaming:
         return df

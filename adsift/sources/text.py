@@ -13,20 +13,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.strategy import broadcast_if_small
+from ..plans.strategy import DEFAULT_MAX_ROWS
 
 FALLBACK_CHARSET = "GBK"
 
 
 def read_text_detect(spark: SparkSession, paths: str | list[str],
-                     fallback: str = FALLBACK_CHARSET) -> DataFrame:
+                     fallback: str = FALLBACK_CHARSET,
+                     max_files_broadcast: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """-> (file string, value string, charset string)"""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
+    text = spark.read.text(paths)
+    raw = text.select(F.col("_metadata.file_path").alias("file"), F.col("value"))
     vote = (raw.groupBy("file")
             .agg(F.bool_and(F.is_valid_utf8(F.col("value"))).alias("utf8")))
+    # One vote row per input file: the file listing (metadata only) bounds it.
+    if len(text.inputFiles()) <= max_files_broadcast:
+        vote = F.broadcast(vote)
     decoded = F.when(F.col("utf8"), F.col("value")).otherwise(
         F.decode(F.col("value").cast("binary"), fallback))
-    return (raw.join(broadcast_if_small(vote), "file")
+    return (raw.join(vote, "file")
             .select("file", decoded.alias("value"),
                     F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit(fallback)).alias("charset")))

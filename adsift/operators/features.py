@@ -15,7 +15,7 @@ one distributed pass:
    partition's offset, and that bounded table is broadcast back.
 
 No value list passes through the driver and no window holds a whole column.
-The dictionary is checkpointed so later days can be coded with it.
+The dictionary is written as a table so later days can be coded with it.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from ..functions.features import (APP_BIN_THRESHOLDS, bin_right_closed, day_of_week, event_label,
                                   hour_band, to_string)
-from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, broadcast_if_small
+from ..plans.strategy import (DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, broadcast_if_small,
+                              write_table)
 from ..sources.tables import bounded_sample
 
 # Fixed column lists of the reference's feature tables.
@@ -53,10 +54,10 @@ def fit_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
               .repartitionByRange(n, "feature", "value")
               .sortWithinPartitions("feature", "value")
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              # Written once: partition ids and row ids must be the same rows
-              # for the offsets and for the coded values.
-              .checkpoint())
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    # Written once: partition ids and row ids must be the same rows for the
+    # offsets and for the coded values.
+    values = write_table(values, "code_values")
     parts = values.groupBy("_pid", "feature").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     run = Window.partitionBy("feature").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # At most partitions + columns rows: a bounded table, broadcast back.
@@ -68,7 +69,7 @@ def fit_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
              .join(totals, "feature", "left")
              .select("feature", "value", F.coalesce(F.col("_total"), F.lit(0)).cast("double").alias("code")))
     dictionary = coded.unionByName(nulls)
-    return dictionary.checkpoint() if checkpoint else dictionary
+    return write_table(dictionary, "code_dictionary") if checkpoint else dictionary
 
 
 def apply_codes(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
@@ -110,10 +111,10 @@ def profile_features(profiles: DataFrame, sample_rows: int = PROFILE_SAMPLE_ROWS
                      cols: Sequence[str] = PROFILE_COLUMNS, key: str = "imei") -> DataFrame:
     """E5: a repeatable bounded sample of user profiles, every column coded.
 
-    The sample is written (checkpoint) first, so the dictionary and the coded
-    rows see the same rows.
+    The sample is written first, so the dictionary and the coded rows see the
+    same rows.
     """
-    sample = bounded_sample(profiles.select(key, *cols), sample_rows, [key]).checkpoint()
+    sample = write_table(bounded_sample(profiles.select(key, *cols), sample_rows, [key]), "profile_sample")
     coded, _ = multi_col_process(sample, key, cols)
     return coded
 
@@ -128,7 +129,8 @@ def app_features(apps: DataFrame, key: str = "appid", recode_bins: bool = True,
     th = thresholds or APP_BIN_THRESHOLDS
     # Written once: the dictionary fit and the coding both read it.
     binned = apps.select(key, *APP_CATEGORY_COLUMNS,
-                         *[bin_right_closed(c, th[c]).alias(c) for c in APP_BIN_COLUMNS]).checkpoint()
+                         *[bin_right_closed(c, th[c]).alias(c) for c in APP_BIN_COLUMNS])
+    binned = write_table(binned, "app_binned")
     cols = APP_CATEGORY_COLUMNS + (APP_BIN_COLUMNS if recode_bins else [])
     coded, _ = multi_col_process(binned, key, cols)
     return coded

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import overlap, substrings, tokens
-from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES
+from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, write_table
 
 SEARCH = "search_word"
 BID = "bid_word"
@@ -64,10 +64,10 @@ DEFAULT = MatchConfig()
 
 # --------------------------------------------------------------------------- inputs
 
-def _written(df: DataFrame, cfg: MatchConfig) -> DataFrame:
+def _written(df: DataFrame, cfg: MatchConfig, name: str) -> DataFrame:
     """Write a table that several branches read (checkpoint folder of the
     session): the source log is then scanned once, not once per branch."""
-    return df.checkpoint() if cfg.materialize else df
+    return write_table(df, name) if cfg.materialize else df
 
 
 def _queries(searches: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -76,7 +76,7 @@ def _queries(searches: DataFrame, cfg: MatchConfig) -> DataFrame:
     if "qt" in searches.columns:        # already prepared by a caller
         return searches
     q = searches.where(F.col(SEARCH).isNotNull()).withColumn("qt", tokens(SEARCH, cfg.token_mode))
-    return _written(q, cfg)
+    return _written(q, cfg, "match_queries")
 
 
 def _bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -86,7 +86,7 @@ def _bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
     b = (b.distinct()
          .withColumn("bt", tokens(BID, cfg.token_mode))
          .withColumn("n", F.size("bt")))
-    return _written(b, cfg)
+    return _written(b, cfg, "match_bids")
 
 
 @dataclass(frozen=True)

@@ -72,3 +72,21 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
     return df.repartition(want) if have < want else df
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the session's checkpoint folder
+    (shared storage on a cluster) and read it back.
+
+    One job, unlike an eager RDD checkpoint (a count job, then a second job
+    that recomputes the plan to write it). The written table cuts lineage,
+    survives executor loss, and reads back columnar with column pruning.
+    """
+    import uuid
+
+    from ..session import scratch_dir
+
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

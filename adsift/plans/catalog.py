@@ -85,6 +85,15 @@ def q_bidlist_json(spark, sf):
     return arrays.select(M.SEARCH, M.bidlist_json(F.col("pairs")).alias("bidlist_json"))
 
 
+def q_bidlist_first(spark, sf):
+    """Path access into the rendered list: first word and tag."""
+    j = F.col("bidlist_json")
+    return q_bidlist_json(spark, sf).select(
+        M.SEARCH,
+        F.get_json_object(j, "$.bidlist[0].word").alias("first_word"),
+        F.get_json_object(j, "$.bidlist[0].tag").alias("first_tag"))
+
+
 def q_bidlist_rows(spark, sf):
     return M.bidlist_rows(q_bidlist_json(spark, sf)).select(
         M.SEARCH, F.col("word"), F.col("tag"))
@@ -164,6 +173,11 @@ select q.search_word,
 from q left join tp on q.search_word = tp.search_word
 group by q.search_word""",
     "bidlist_rows": PAIRS_SQL + "select search_word, bid_word as word, tag from tp",
+    "bidlist_first": PAIRS_SQL + """,
+r as (select search_word, bid_word, tag,
+             row_number() over (partition by search_word order by bid_word, tag) as rn from tp)
+select q.search_word, r.bid_word as first_word, cast(r.tag as varchar) as first_tag
+from q left join r on q.search_word = r.search_word and r.rn = 1""",
 }
 
 QUERIES_MATCH: dict[str, Query] = {
@@ -180,6 +194,7 @@ QUERIES_MATCH: dict[str, Query] = {
     "coverage": q_coverage,
     "bidlist_json": q_bidlist_json,
     "bidlist_rows": q_bidlist_rows,
+    "bidlist_first": q_bidlist_first,
 }
 
 

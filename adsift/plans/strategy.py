@@ -69,8 +69,13 @@ def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFra
     """
     if df.isStreaming:
         return df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    from ..session import default_parallelism
+
+    want = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
+        return df
     return df.repartition(want) if have < want else df
 
 

@@ -66,21 +66,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a JVM context (Spark Connect)
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
 
     Only when the session names none (local tests) a fresh scratch folder is
     made; on a cluster the shared folder from the configuration is used.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and sc is not None:
+        named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
         named = tempfile.mkdtemp(prefix="adsift-ckpt-")
-    sc.setCheckpointDir(named)
-    return sc.getCheckpointDir() or named
+    if sc is not None:
+        sc.setCheckpointDir(named)
+        return sc.getCheckpointDir() or named
+    spark.conf.set("spark.checkpoint.dir", named)
+    return named
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -90,6 +102,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 

@@ -55,6 +55,7 @@ class MatchConfig:
     drop_empty_bids: bool = False
     rarest: bool = True
     materialize: bool = True
+    carry_max_tokens: int = 64
     broadcast_max_rows: int = DEFAULT_MAX_ROWS
     broadcast_max_bytes: int = DEFAULT_MAX_BYTES
 
@@ -164,10 +165,18 @@ def _token_candidates(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool
     """(search_word, bid_word, n, k) for pairs sharing an index token; each once."""
     index = _token_index(q, b, per_bid, with_empty, cfg, stats)
     bx = index.select(BID, "bt", "n", "idx", F.posexplode("idx").alias("pos", "tok"))
-    keys = F.array_union("qt", F.array(F.lit(EMPTY_KEY))) if with_empty else F.col("qt")
-    qx = q.select(SEARCH, "qt", F.explode(keys).alias("tok"))
     # Index rows: at most two per bid, each a bid with its tokens.
-    pairs = qx.join(_bounded(bx, stats, cfg, 2 * per_bid), "tok")
+    bx = _bounded(bx, stats, cfg, 2 * per_bid)
+    keys = F.array_union("qt", F.array(F.lit(EMPTY_KEY))) if with_empty else F.col("qt")
+    longest = q.agg(F.max(F.size("qt"))).collect()[0][0] or 0      # one row
+    if longest <= cfg.carry_max_tokens:
+        # Short queries (keywords): each exploded token carries the token set.
+        pairs = q.select(SEARCH, "qt", F.explode(keys).alias("tok")).join(bx, "tok")
+    else:
+        # Long texts: carrying the set would be quadratic in tokens per query;
+        # candidates fetch it by one join on the search word instead.
+        pairs = (q.select(SEARCH, F.explode(keys).alias("tok")).join(bx, "tok")
+                 .join(q.select(SEARCH, "qt"), SEARCH))
     # A pair reached through its second index token is kept only if the query
     # lacks the first one, so no pair is emitted twice and no distinct is needed.
     pairs = pairs.where((F.col("pos") == 0) | ~F.array_contains("qt", F.col("idx")[0]))

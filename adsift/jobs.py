@@ -12,8 +12,10 @@ a ``stat_date``-partitioned table; re-running a day replaces it.
 from __future__ import annotations
 
 import argparse
+import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .operators.adlog import flatten_ads
 from .operators.features import app_features, event_features, instances, profile_features
@@ -24,15 +26,26 @@ from .sinks.daily import SNAPSHOT_TYPES, save_day, save_match
 from .sources.tables import DAY_COL, bid_words, day, search_words
 
 
+LOG = logging.getLogger("adsift.jobs")
+
+
 def match_job(spark: SparkSession, mode: str, sdate: int, edate: int, pdate: int,
               bid_table: str, search_table: str, out_table: str,
-              cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """Bid words of all history before ``edate``; searches in [sdate, edate)."""
-    bids = bid_words(spark.table(bid_table), 0, edate)
-    searches = search_words(spark.table(search_table), sdate, edate)
+              cfg: MatchConfig = DEFAULT) -> tuple[DataFrame, dict[str, int]]:
+    """Bid words of all history before ``edate``; searches in [sdate, edate).
+
+    Returns the result and the input sizes (bid words, search words), which
+    are observed as metrics of the jobs that already run: no extra pass.
+    """
+    seen_bids, seen_searches = Observation("bid_words"), Observation("search_words")
+    bids = bid_words(spark.table(bid_table), 0, edate).observe(seen_bids, F.count(F.lit(1)).alias("n"))
+    searches = (search_words(spark.table(search_table), sdate, edate)
+                .observe(seen_searches, F.count(F.lit(1)).alias("n")))
     result = match(mode, bids, searches, cfg)
     save_match(result, mode, out_table, pdate)
-    return result
+    sizes = {"bid_words": int(seen_bids.get.get("n", 0)), "search_words": int(seen_searches.get.get("n", 0))}
+    LOG.info("match %s day %s: %s", mode, pdate, sizes)
+    return result, sizes
 
 
 def flatten_job(spark: SparkSession, src_table: str, dt: int, out_table: str) -> DataFrame:

@@ -11,8 +11,10 @@ def test_match_job_modes(spark):
     spark.createDataFrame([("red ball", 20240102), ("red ball", 20240102), ("red", 20240103), ("green", 20240102),
                            ("red", 20231231)], "keyword string, stat_date bigint") \
         .write.mode("overwrite").saveAsTable("job_searches")
-    jobs.match_job(spark, "exact-match", 20240101, 20240201, 20240131, "job_bids", "job_searches", "job_exact")
+    _, sizes = jobs.match_job(spark, "exact-match", 20240101, 20240201, 20240131, "job_bids", "job_searches",
+                              "job_exact")
     assert [tuple(r) for r in spark.table("job_exact").collect()] == [("red", 1, 20240131)]
+    assert sizes == {"bid_words": 2, "search_words": 3}
     jobs.match_job(spark, "exact-include", 20240101, 20240201, 20240131, "job_bids", "job_searches", "job_inc")
     assert sorted(tuple(r) for r in spark.table("job_inc").collect()) == [("red", 1, 20240131),
                                                                         ("red ball", 2, 20240131)]

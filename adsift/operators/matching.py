@@ -145,7 +145,8 @@ def _token_index(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
         bid_tok = with_tokens.select(BID, F.explode("bt").alias("tok"))
         vocab = bid_tok.select("tok").distinct()
         freq = _frequencies(q.select(F.explode("qt").alias("tok")), vocab, "tok", stats, cfg, 1)
-        ranked = (bid_tok.join(freq, "tok", "left")
+        # Frequencies exist only for bid tokens: bounded by the bids.
+        ranked = (bid_tok.join(_bounded(freq, stats, cfg, 1), "tok", "left")
                   .groupBy(BID)
                   .agg(F.array_sort(F.collect_list(
                       F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("tok")))).alias("r"))
@@ -198,7 +199,7 @@ def _substring_candidates(q: DataFrame, b: DataFrame, cfg: MatchConfig,
             vocab = bgrams.select("gram").distinct()
             freq = _frequencies(q.select(F.explode(substrings(F.col(SEARCH), g)).alias("gram")),
                                 vocab, "gram", stats, cfg, g)
-            keyed = (bgrams.join(freq, "gram", "left")
+            keyed = (bgrams.join(_bounded(freq, stats, cfg, g), "gram", "left")
                      .groupBy(BID, "n")
                      .agg(F.min(F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("gram")))
                           ["gram"].alias("key")))
@@ -234,8 +235,9 @@ def tagged_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAUL
     b = _bids(bids, cfg)
     stats = _bid_stats(b, cfg.gram)
 
-    equal = (q.join(b, q[SEARCH] == b[BID])
-             .select(q[SEARCH], b[BID], F.lit(TAG_EQUAL).alias("tag"), b["n"]))
+    bb = _bounded(b, stats, cfg, 1)
+    equal = (q.join(bb, q[SEARCH] == bb[BID])
+             .select(q[SEARCH], bb[BID], F.lit(TAG_EQUAL).alias("tag"), bb["n"]))
 
     contains = (_substring_candidates(q, b, cfg, stats)
                 .where(F.col(SEARCH) != F.col(BID))

@@ -28,7 +28,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.tokens import overlap, substrings, tokens
@@ -65,19 +65,25 @@ DEFAULT = MatchConfig()
 
 # --------------------------------------------------------------------------- inputs
 
-def _written(df: DataFrame, cfg: MatchConfig, name: str) -> DataFrame:
-    """Write a table that several branches read (checkpoint folder of the
-    session): the source log is then scanned once, not once per branch."""
-    return write_table(df, name) if cfg.materialize else df
-
-
 def _queries(searches: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Search rows (one per distinct search word, as ``search_words`` gives)
     with their token sets; written once."""
     if "qt" in searches.columns:        # already prepared by a caller
         return searches
     q = searches.where(F.col(SEARCH).isNotNull()).withColumn("qt", tokens(SEARCH, cfg.token_mode))
-    return _written(q, cfg, "match_queries")
+    if not cfg.materialize:
+        return q
+    # The longest token set is observed while the table is written: no extra pass.
+    seen = Observation("match_queries")
+    out = write_table(q.observe(seen, F.max(F.size("qt")).alias("longest")), "match_queries")
+    out._adsift_longest = int(seen.get.get("longest") or 0)
+    return out
+
+
+def _longest(q: DataFrame) -> int:
+    """Most tokens in one query (observed at write time when available)."""
+    seen = getattr(q, "_adsift_longest", None)
+    return seen if seen is not None else int(q.agg(F.max(F.size("qt"))).collect()[0][0] or 0)
 
 
 def _bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
@@ -87,7 +93,13 @@ def _bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
     b = (b.distinct()
          .withColumn("bt", tokens(BID, cfg.token_mode))
          .withColumn("n", F.size("bt")))
-    return _written(b, cfg, "match_bids")
+    if not cfg.materialize:
+        return b
+    # The bid statistics are observed while the table is written: no extra pass.
+    seen = Observation("match_bids")
+    out = write_table(b.observe(seen, *_bid_stat_columns(cfg.gram)), "match_bids")
+    out._adsift_stats = (cfg.gram, _stats_from(seen.get, cfg.gram))
+    return out
 
 
 @dataclass(frozen=True)
@@ -103,15 +115,29 @@ class BidStats:
                 and self.bytes * factor <= cfg.broadcast_max_bytes)
 
 
-def _bid_stats(b: DataFrame, gram: int) -> BidStats:
-    """One pass over the bid side; the result is a single row."""
+def _bid_stat_columns(gram: int) -> list:
+    """Aggregates of the bid statistics; one flag per possible key length."""
     size = (F.octet_length(BID) + F.octet_length(F.array_join("bt", "")) + 16 * F.col("n")
             + F.lit(ROW_OVERHEAD_BYTES))
-    r = b.agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"),
-              F.collect_set(F.least(F.length(BID), F.lit(gram))).alias("lengths"),
-              F.bool_or(F.col("n") == 0).alias("z")).collect()[0]
-    return BidStats(int(r["rows"]), int(r["bytes"] or 0), frozenset(int(x) for x in r["lengths"]),
-                    bool(r["z"]))
+    key_len = F.least(F.length(BID), F.lit(gram))
+    return ([F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"),
+             F.max(F.when(F.col("n") == 0, 1).otherwise(0)).alias("z")]
+            + [F.max(F.when(key_len == length, 1).otherwise(0)).alias(f"len{length}")
+               for length in range(gram + 1)])
+
+
+def _stats_from(r, gram: int) -> BidStats:
+    lengths = frozenset(x for x in range(gram + 1) if (r.get(f"len{x}") or 0) > 0)
+    return BidStats(int(r.get("rows") or 0), int(r.get("bytes") or 0), lengths, bool(r.get("z") or 0))
+
+
+def _bid_stats(b: DataFrame, gram: int) -> BidStats:
+    """Bid statistics: observed when the bid table was written, else one pass
+    over the bid side (a single result row)."""
+    seen = getattr(b, "_adsift_stats", None)
+    if seen is not None and seen[0] == gram:
+        return seen[1]
+    return _stats_from(b.agg(*_bid_stat_columns(gram)).collect()[0].asDict(), gram)
 
 
 def _bounded(df: DataFrame, stats: BidStats, cfg: MatchConfig, factor: int) -> DataFrame:
@@ -169,8 +195,7 @@ def _token_candidates(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool
     # Index rows: at most two per bid, each a bid with its tokens.
     bx = _bounded(bx, stats, cfg, 2 * per_bid)
     keys = F.array_union("qt", F.array(F.lit(EMPTY_KEY))) if with_empty else F.col("qt")
-    longest = q.agg(F.max(F.size("qt"))).collect()[0][0] or 0      # one row
-    if longest <= cfg.carry_max_tokens:
+    if _longest(q) <= cfg.carry_max_tokens:
         # Short queries (keywords): each exploded token carries the token set.
         pairs = q.select(SEARCH, "qt", F.explode(keys).alias("tok")).join(bx, "tok")
     else:

@@ -25,7 +25,7 @@ Beyond the bound both sides shuffle on the key and AQE splits a hot key.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -332,8 +332,10 @@ def _keep_matched(q: DataFrame, matched: DataFrame) -> DataFrame:
 
 
 def exact_match(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """Searches whose keyword equals a bid word (J1): a left-semi equi-join."""
-    b = _bids(bids, cfg).select(F.col(BID).alias(SEARCH))
+    """Searches whose keyword equals a bid word (J1): a left-semi equi-join.
+
+    The bids are read once here, so they are not written as a table."""
+    b = _bids(bids, replace(cfg, materialize=False)).select(F.col(BID).alias(SEARCH))
     return searches.join(b, SEARCH, "left_semi")
 
 

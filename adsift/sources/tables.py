@@ -111,6 +111,9 @@ def bounded_sample(df: DataFrame, n: int, order_by: Sequence[str], fan_in: int =
     partition keeps its own top n (no shuffle), only those rows move
     round-robin into ``fan_in`` times fewer partitions, and the step repeats.
     Every task reads at most ``fan_in * n`` rows, and so does the final merge.
+    The input should be a scan or a narrow derivation of one (as the profile
+    table is): its partition count is read from the splits, which for a plan
+    with shuffles would run them early.
     """
     n = int(n)
     try:

@@ -14,3 +14,12 @@ def test_charset_vote(spark, tmp_path):
     rows = {(r["file"].rsplit("/", 1)[-1], r["value"], r["charset"]) for r in df.collect()}
     assert rows == {("a.txt", "安全\t1", "UTF-8"), ("a.txt", "plain", "UTF-8"),
                     ("b.txt", "系统", "GBK"), ("b.txt", "安全系统\t2", "GBK")}
+
+
+def test_charset_vote_without_broadcast(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"u{i}.txt").write_bytes(f"line {i}\n".encode("utf-8"))
+    (tmp_path / "g.txt").write_bytes("魔王".encode("gbk") + b"\n")
+    df = read_text_detect(spark, str(tmp_path), max_files_broadcast=0)
+    rows = {(r["file"].rsplit("/", 1)[-1], r["value"], r["charset"]) for r in df.collect()}
+    assert ("g.txt", "魔王", "GBK") in rows and ("u1.txt", "line 1", "UTF-8") in rows

@@ -62,3 +62,27 @@ def test_app_merge_and_instances_jobs(spark):
     assert inst.columns[0] == "oper_type"
     assert sorted(r["oper_type"] for r in rows) == [0.0, 1.0]
     assert {r["day_of_week"] for r in rows} == {1.0} and {r["hour_of_day"] for r in rows} == {1.0}
+
+
+def test_cli_match(spark):
+    spark.createDataFrame([("red", 20240101)], "fkey_words string, stat_date bigint") \
+        .write.mode("overwrite").saveAsTable("cli_bids")
+    spark.createDataFrame([("red", 20240102), ("blue", 20240102)], "keyword string, stat_date bigint") \
+        .write.mode("overwrite").saveAsTable("cli_searches")
+    jobs.main(["match", "exact-include", "20240101", "20240201", "20240131",
+               "--bids", "cli_bids", "--searches", "cli_searches", "--out", "cli_out"])
+    assert [tuple(r) for r in spark.table("cli_out").collect()] == [("red", 1, 20240131)]
+
+
+def test_snapshot_rejects_other_types(spark):
+    import pytest
+
+    from adsift.operators.merge import merge_apps
+
+    ads = spark.createDataFrame([(1,)], "appid int")
+    apps = spark.createDataFrame([(1, "a", "c", "d", 1, 1, 1, 1.5, 1)],
+                                 "fid int, fname string, fcategoryid string, fcategory2id string, fstatus int, "
+                                 "fevaluate_count int, fdownload_count int, fstars double, finstall_count int")
+    vers = spark.createDataFrame([(1, 10)], "appid int, appsize int")
+    with pytest.raises(TypeError):
+        merge_apps(ads, apps, vers)

@@ -388,14 +388,19 @@ def coverage(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -
     """
     t = F.col("tag")
     q = _queries(searches, cfg)
-    flags = (tagged_pairs(q, bids, cfg)
-             .groupBy(SEARCH)
-             .agg(F.bool_or(t == TAG_EQUAL).alias("m_exact_match"),
-                  F.bool_or(t.isin(TAG_EQUAL, TAG_CONTAINS)).alias("m_exact_include"),
-                  F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS)).alias("m_syno_include"),
-                  F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS, TAG_ALL_BUT_ONE) & (F.col("n") > 0))
-                  .alias("m_core_include")))
-    s = q.select(SEARCH, "cnt").join(flags, SEARCH, "left")
+    # Search rows and their pairs in one union, grouped once by search word:
+    # a word without pairs keeps its count and gets no flag.
+    pairs = tagged_pairs(q, bids, cfg).select(SEARCH, F.lit(None).cast("bigint").alias("cnt"), "tag", "n")
+    rows = q.select(SEARCH, F.col("cnt").cast("bigint").alias("cnt"),
+                    F.lit(None).cast("int").alias("tag"), F.lit(None).cast("int").alias("n"))
+    s = (rows.unionByName(pairs)
+         .groupBy(SEARCH)
+         .agg(F.max("cnt").alias("cnt"),
+              F.bool_or(t == TAG_EQUAL).alias("m_exact_match"),
+              F.bool_or(t.isin(TAG_EQUAL, TAG_CONTAINS)).alias("m_exact_include"),
+              F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS)).alias("m_syno_include"),
+              F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS, TAG_ALL_BUT_ONE) & (F.col("n") > 0))
+              .alias("m_core_include")))
     names = ["exact_match", "exact_include", "syno_include", "core_include"]
     aggs = [F.count(F.lit(1)).alias("total_words"), F.sum("cnt").alias("total_cnt")]
     for name in names:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import FILE, ROW, with_row_key
+from .shared import FILE, ROW, as_scan, with_row_key
 
 TRIE_BYTES = 32 << 20
 BATCH_ROWS = 2048
@@ -203,6 +203,7 @@ def row_tag() -> Column:
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest",
           columns: tuple[str, ...] = (), **options) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and struct doc of ``columns``."""
+    docs = as_scan(docs)  # read twice below: rows must have the same places
     owned = owners(docs, id_col, text_col, keep, **options).select(
         F.col("length").alias("l"), F.col("sha").alias("s"), F.col("owner").alias("keep_id"), F.col("tag").alias("keep_tag"),
         F.col("n").alias("group_size"))

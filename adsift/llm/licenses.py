@@ -120,7 +120,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     least = min((need(len(r["words"]), threshold) for r in notices.collect()), default=1)
     prefixes = (blocks.where(F.size("words") >= least).select("rid", "block", sort(F.col("words")).alias("words"))
                 .select("rid", "block", "words", F.posexplode(F.slice("words", 1, F.size("words") - least + 1)).alias("at", "word")))
-    met = prefixes.join(sides, "word")
+    # As many rows as the templates' words, which are a parameter.
+    met = prefixes.join(F.broadcast(sides), "word")
     size, t_size = F.size("words"), F.size("t_words")
     room = F.least("at", "t_at") + 1 + F.least(size - F.col("at"), t_size - F.col("t_at")) - 1
     met = met.where((F.col("at") <= size - F.col("need")) & (size >= F.col("need")) & (room >= F.col("need")))

@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, mixing, urls
+import public_tokenizers
+
+from . import ann, exact_dedup, licenses, mixing, ngram_join, packing, surrogates, toxicity, urls, wavelet
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replaced(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities", "kinds")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.label_documents(*licenses.scan(table(spark, sf_dir, "documents")))
 
@@ -21,18 +30,44 @@ def op3_patricia_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), urls.rule_table(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.placements(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY)))
+
+
+def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = wavelet.new_folder(spark)
+    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY), folder)
+    return wavelet.digests(spark, shards, folder)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
+
+
+def op10_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxic_score").alias("score"),
+                         (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_license_scan, op3_patricia_dedup, op5_url_filter, op8_source_mix)}
+    return {f.__name__: f for f in (op1_surrogates, op2_license_scan, op3_patricia_dedup, op4_projection_forest, op5_url_filter, op6_best_fit_pack,
+                                    op7_wavelet_shards, op8_source_mix, op9_ngram_jaccard, op10_toxicity_gru)}
 
 
 def _license_sql() -> str:

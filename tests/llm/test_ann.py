@@ -51,7 +51,7 @@ def test_recall_of_the_forest():
     x = rng.normal(size=(10, 32))[rng.integers(0, 10, 12000)] * 0.7 + rng.normal(size=(12000, 32))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     forest = ann.fit_forest(x[:4000], len(x))
-    cells = [t.route(x) for t in forest]
+    cells = [t.route(x) for t in forest.trees]
     leaves = ann.leaves_for(forest, len(x))
     found = 0
     for q, taken in zip(range(0, 12000, 50), ann.search(forest, x[::50], leaves), strict=True):
@@ -66,10 +66,10 @@ def test_levels_below_the_sample():
     x = rng.normal(size=(4000, 16))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     forest = ann.fit_forest(x[:64], len(x), leaf_points=32)
-    assert forest[0].depth == 3 and forest[0].levels == 7
-    sizes = np.bincount(forest[0].route(x), minlength=128)
+    assert forest.trees[0].depth == 3 and forest.trees[0].levels == 7
+    sizes = np.bincount(forest.trees[0].route(x), minlength=128)
     assert sizes.max() < 8 * 32
-    for q, taken in zip(x[:5], ann.search(forest, x[:5], 4), strict=True):
-        assert taken[0][1] in [t.route(q[None])[0] for t in forest]
+    for q, taken in zip(x[:5], ann.search(forest, x[:5], 64), strict=True):
+        assert set(taken) & {(t, tree.route(q[None])[0]) for t, tree in enumerate(forest.trees)}
     everything = ann.search(forest, x[:1], 10**9)[0]
-    assert len(set(everything)) == len(forest) * 128
+    assert len(set(everything)) == len(forest.trees) * 128

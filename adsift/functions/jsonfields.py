@@ -21,20 +21,6 @@ def parse(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
-def vtype(v: Column) -> Column:
-    return F.schema_of_variant(v)
-
-
-# A struct with one variant field: the cast succeeds for every object
-# (whatever that key holds, or NULL) and fails for any other value. Unlike
-# schema_of_variant it does not walk the whole value.
-OBJECT_PROBE = "struct<_adsift_object_probe:variant>"
-
-
-def is_object(v: Column) -> Column:
-    return F.try_variant_get(v, "$", OBJECT_PROBE).isNotNull()
-
-
 def object_fields(v: Column, names) -> Column:
     """Cast an object to ``struct<name: variant, ...>`` in one pass.
 
@@ -46,13 +32,18 @@ def object_fields(v: Column, names) -> Column:
 
 
 def string_value(x: Column) -> Column:
-    """A leaf VARIANT that is a JSON string, else NULL."""
-    return F.when(vtype(x) == F.lit("STRING"), F.try_variant_get(x, "$", "string"))
+    """A leaf VARIANT that is a JSON string, else NULL: only a string is rendered with a quote first."""
+    return F.when(F.startswith(F.to_json(x), F.lit('"')), F.try_variant_get(x, "$", "string"))
 
 
 def integral_value(x: Column, sql_type: str = "bigint") -> Column:
-    """A number (fraction cut toward zero) or numeric string, else NULL."""
-    return F.when(vtype(x) != F.lit("BOOLEAN"), F.try_variant_get(x, "$", sql_type))
+    """A number (fraction cut toward zero) or numeric string, else NULL.
+
+    A boolean is the only other value that casts to a number, to 0 or 1: those
+    are looked at again, and they are no number if they read as true or false.
+    """
+    n = F.try_variant_get(x, "$", sql_type)
+    return F.when(~n.isin(0, 1) | ~F.try_variant_get(x, "$", "string").isin("true", "false"), n)
 
 
 def text_or_empty(c: Column) -> Column:

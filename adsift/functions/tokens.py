@@ -7,8 +7,8 @@ token set is a Catalyst expression (JVM-side, whole-stage codegen):
 * ``cjk_char``: every Han character is a token; runs of other letters/digits
   form one token each.
 
-A user segmenter can be plugged in as an Arrow ``pandas_udf`` returning
-``array<string>`` (see ``segmenter_udf``); the set algebra below is the same.
+A mode can also be a function of a column that gives ``array<string>``, such as
+a user's own ``pandas_udf``; the set algebra below is the same.
 """
 
 from __future__ import annotations
@@ -41,27 +41,11 @@ def tokens(col: Column | str, mode: str | Callable[[Column], Column] = "whitespa
     return F.array_distinct(F.filter(pieces, lambda t: t != F.lit("")))
 
 
-def segmenter_udf(segment: Callable[[str], list[str]]) -> Callable[[Column], Column]:
-    """Wrap a per-string segmenter as an Arrow-batched pandas UDF hook."""
-    import pandas as pd
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _seg(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else list(segment(x)))
-
-    return _seg
-
-
 def overlap(a: Column, b: Column) -> Column:
     """|A ∩ B| for two distinct-element arrays."""
     return F.size(F.array_intersect(a, b))
 
 
-def is_subset(a: Column, b: Column) -> Column:
-    """A ⊆ B (T2)."""
-    return F.size(F.array_except(a, b)) == 0
-
-
 def substrings(col: Column, length: int) -> Column:
     """All substrings of ``length`` characters, distinct; empty if shorter."""
     n = F.length(col) - F.lit(length - 1)

@@ -14,13 +14,13 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .operators.adlog import flatten_ads
 from .operators.features import app_features, event_features, instances, profile_features
 from .operators.matching import DEFAULT, MatchConfig, match
 from .operators.merge import advertised_apps, app_attributes, app_versions, merge_apps
+from .plans.strategy import write_table
 from .session import get_session
 from .sinks.daily import SNAPSHOT_TYPES, save_day, save_match
 from .sources.tables import DAY_COL, bid_words, day, search_words
@@ -34,17 +34,16 @@ def match_job(spark: SparkSession, mode: str, sdate: int, edate: int, pdate: int
               cfg: MatchConfig = DEFAULT) -> tuple[DataFrame, dict[str, int]]:
     """Bid words of all history before ``edate``; searches in [sdate, edate).
 
-    Returns the result and the input sizes (bid words, search words), which
-    are observed as metrics of the jobs that already run: no extra pass.
+    Returns the result and the input sizes (bid words, search words). Both
+    inputs are written once; the sizes are counts of the written tables, so
+    they exist for empty inputs and in every mode.
     """
-    seen_bids, seen_searches = Observation("bid_words"), Observation("search_words")
-    bids = bid_words(spark.table(bid_table), 0, edate).observe(seen_bids, F.count(F.lit(1)).alias("n"))
-    searches = (search_words(spark.table(search_table), sdate, edate)
-                .observe(seen_searches, F.count(F.lit(1)).alias("n")))
+    bids = write_table(bid_words(spark.table(bid_table), 0, edate), "bid_words")
+    searches = write_table(search_words(spark.table(search_table), sdate, edate), "search_words")
+    sizes = {"bid_words": bids.count(), "search_words": searches.count()}
+    LOG.info("match %s day %s: %s", mode, pdate, sizes)
     result = match(mode, bids, searches, cfg)
     save_match(result, mode, out_table, pdate)
-    sizes = {"bid_words": int(seen_bids.get.get("n", 0)), "search_words": int(seen_searches.get.get("n", 0))}
-    LOG.info("match %s day %s: %s", mode, pdate, sizes)
     return result, sizes
 
 

@@ -14,8 +14,10 @@ one distributed pass:
    ``partitions + columns`` rows; a running sum over it gives each
    partition's offset, and that bounded table is broadcast back.
 
-No value list passes through the driver and no window holds a whole column.
-The dictionary is written as a table so later days can be coded with it.
+The distinct pairs are written once; the ranks, the counts and the NULL entries
+all read that table. No value list passes through the driver and no window
+holds a whole column. The dictionary is written as a table so later days can
+be coded with it.
 """
 
 from __future__ import annotations
@@ -27,16 +29,12 @@ from pyspark.sql import functions as F
 
 from ..functions.features import (APP_BIN_THRESHOLDS, bin_right_closed, day_of_week, event_label,
                                   hour_band, to_string)
-from ..plans.strategy import (DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, broadcast_if_small,
-                              write_table)
-from ..sources.tables import bounded_sample
+from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, write_table
 
 # Fixed column lists of the reference's feature tables.
 PROFILE_COLUMNS = ["user_age", "sex", "user_job", "marriage_status", "mz_apps_car_owner", "user_network_type"]
 APP_CATEGORY_COLUMNS = ["fcategoryid", "fcategory2id"]
 APP_BIN_COLUMNS = ["fevaluate_count", "fdownload_count", "fstars", "finstall_count", "appsize"]
-EVENT_COLUMNS = ["imei", "app_id", "oper_type", "oper_time"]
-PROFILE_SAMPLE_ROWS = 10000
 EVENT_TRACKER_TYPE = 2
 
 
@@ -50,14 +48,13 @@ def fit_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
                 F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in cols])).alias("p"))
              .select("p.feature", "p.value")
              .distinct())
-    values = (pairs.where(F.col("value").isNotNull())
-              .repartitionByRange(n, "feature", "value")
-              .sortWithinPartitions("feature", "value")
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    # Written once: partition ids and row ids must be the same rows for the
-    # offsets and for the coded values.
-    values = write_table(values, "code_values")
+    # Written once, NULLs first in their partition: partition ids and row ids must
+    # be the same rows for the offsets and for the coded values.
+    pairs = write_table(pairs.repartitionByRange(n, "feature", "value")
+                        .sortWithinPartitions("feature", "value")
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_mid", F.monotonically_increasing_id()), "code_values")
+    values = pairs.where(F.col("value").isNotNull())
     parts = values.groupBy("_pid", "feature").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     run = Window.partitionBy("feature").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # At most partitions + columns rows: a bounded table, broadcast back.
@@ -107,16 +104,18 @@ def multi_col_process(df: DataFrame, label: str, cols: Sequence[str] | None = No
     return apply_codes(df, d, cols), d
 
 
-def profile_features(profiles: DataFrame, sample_rows: int = PROFILE_SAMPLE_ROWS,
-                     cols: Sequence[str] = PROFILE_COLUMNS, key: str = "imei") -> DataFrame:
-    """E5: a repeatable bounded sample of user profiles, every column coded.
+def profile_features(profiles: DataFrame, cols: Sequence[str] = PROFILE_COLUMNS, key: str = "imei") -> DataFrame:
+    """E5: every user profile, every column coded."""
+    coded, _ = multi_col_process(profiles.select(key, *cols), key, cols)
+    return coded
+
 
-    The sample is written first, so the dictionary and the coded rows see the
-    same rows.
+def profile_sample(profiles: DataFrame, rows: int, key: str = "imei", cols: Sequence[str] = PROFILE_COLUMNS) -> DataFrame:
+    """The first ``rows`` profiles in order of their key, not coded.
+
+    For looking at a few profiles: a top-k report, no input of another operator.
     """
-    sample = write_table(bounded_sample(profiles.select(key, *cols), sample_rows, [key]), "profile_sample")
-    coded, _ = multi_col_process(sample, key, cols)
-    return coded
+    return profiles.select(key, *cols).orderBy(key, *cols).limit(int(rows))
 
 
 def app_features(apps: DataFrame, key: str = "appid", recode_bins: bool = True,
@@ -151,18 +150,14 @@ def instances(events: DataFrame, profiles: DataFrame, apps: DataFrame,
     """Events joined with profile (imei) and app (appid) features.
 
     Columns: label, profile features, app features, other event columns.
-    Profile and app feature tables are broadcast only when a size check
-    proves them small; the event side never moves for a broadcast join, and
-    AQE splits an event key that holds a large share of rows otherwise.
+    Spark picks each join from the sizes its stages measure: a small feature
+    table is broadcast and the event side stays in place; with shuffle joins
+    AQE splits a device or app that holds a large share of the events.
     """
     p_cols = [c for c in profiles.columns if c != "imei"]
     a_cols = [c for c in apps.columns if c != "appid"]
     e_cols = [c for c in events.columns if c not in ("imei", "appid", label)]
-    joined = (events.join(broadcast_if_small(profiles), "imei")
-              .join(broadcast_if_small(apps), "appid"))
-    # An event key (device or app) holding a large share of rows never
-    # gathers in one task: broadcast joins leave the event side in place,
-    # and shuffle joins are split by AQE's skew handling.
+    joined = events.join(profiles, "imei").join(apps, "appid")
     return joined.select(label, *p_cols, *a_cols, *e_cols)
 
 

@@ -3,32 +3,32 @@
 Every mode is an equi-join on a candidate key followed by an exact check, so
 the cost follows the number of true candidates and not |queries| x |bids|:
 
-* tokens (tags 3 and 4, token include, core include): each bid is indexed
-  under its one or two rarest tokens (rarest by the number of queries that
-  hold them). A query that holds all of a bid's tokens holds the rarest one;
-  a query that misses at most one token holds at least one of any two. The
-  query side explodes its token set and joins the index on the token.
-* substrings (tag 2, exact include): each bid is keyed by its rarest
-  ``gram``-character substring (a bid shorter than ``gram`` by itself); the
-  query side explodes its distinct substrings of the key lengths. A query
-  that contains a bid contains each of the bid's substrings.
-* the empty set / empty string: every set holds the empty set and every
-  string contains "". Bids with no token (and the empty bid) are keyed by
-  ``""``, which each query adds to its keys only when such a bid exists.
-
-The bid side of each candidate join is broadcast only when one pass over
-the bids proved it small: every bid-side table (token vocabulary, token
-index, gram vocabulary, gram keys) is bounded by a fixed multiple of the
-bids' row count and bytes, so the check never touches the query side.
-Beyond the bound both sides shuffle on the key and AQE splits a hot key.
+* tokens: each bid is indexed under its one or two rarest tokens (rarest by
+  the number of queries that hold them). A query that holds all of a bid's
+  tokens holds the rarest one; one that misses at most one token holds at
+  least one of any two.
+* substrings: each bid is keyed by its rarest ``gram``-character substring (a
+  shorter bid by itself). A query that contains a bid contains that key.
+* bids without a token are held by every query, and the empty bid is contained
+  in every one: such pairs need no key. They are dealt out by a salt, so no
+  key gathers all queries.
+
+Both sides are written once, every search row under an id of its own. Only
+ids and single keys travel to the candidate join; texts and token sets meet
+the pairs after it, by id. So there is one plan for short and long queries,
+and a search word that repeats is matched row by row.
+
+A bid-side table is broadcast only when its own number of rows and bytes,
+counted on the written bids, is within bounds. Beyond them both sides shuffle
+on the key and AQE splits a hot one.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tokens import overlap, substrings, tokens
@@ -36,7 +36,6 @@ from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_B
 
 SEARCH = "search_word"
 BID = "bid_word"
-EMPTY_KEY = ""
 
 # Fixed tag values of the word-pair report.
 TAG_EQUAL = 1          # query == bid
@@ -47,6 +46,8 @@ TAG_ALL_BUT_ONE = 4    # all bid tokens but one are query tokens (and at least o
 # Fixed mode names of the reference's dispatcher.
 MODES = ("exact-match", "exact-include", "syno-include", "core-include", "get-data")
 
+SALTS = 64
+
 
 @dataclass(frozen=True)
 class MatchConfig:
@@ -54,8 +55,6 @@ class MatchConfig:
     gram: int = 3
     drop_empty_bids: bool = False
     rarest: bool = True
-    materialize: bool = True
-    carry_max_tokens: int = 64
     broadcast_max_rows: int = DEFAULT_MAX_ROWS
     broadcast_max_bytes: int = DEFAULT_MAX_BYTES
 
@@ -65,238 +64,184 @@ DEFAULT = MatchConfig()
 
 # --------------------------------------------------------------------------- inputs
 
-def _queries(searches: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Search rows (one per distinct search word, as ``search_words`` gives)
-    with their token sets; written once."""
-    if "qt" in searches.columns:        # already prepared by a caller
-        return searches
-    q = searches.where(F.col(SEARCH).isNotNull()).withColumn("qt", tokens(SEARCH, cfg.token_mode))
-    if not cfg.materialize:
-        return q
-    # The longest token set is observed while the table is written: no extra pass.
-    seen = Observation("match_queries")
-    out = write_table(q.observe(seen, F.max(F.size("qt")).alias("longest")), "match_queries")
-    out._adsift_longest = int(seen.get.get("longest") or 0)
-    return out
-
-
-def _longest(q: DataFrame) -> int:
-    """Most tokens in one query (observed at write time when available)."""
-    seen = getattr(q, "_adsift_longest", None)
-    return seen if seen is not None else int(q.agg(F.max(F.size("qt"))).collect()[0][0] or 0)
-
-
-def _bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
-    b = bids.select(BID).where(F.col(BID).isNotNull())
-    if cfg.drop_empty_bids:
-        b = b.where(F.length(BID) > 0)
-    b = (b.distinct()
-         .withColumn("bt", tokens(BID, cfg.token_mode))
-         .withColumn("n", F.size("bt")))
-    if not cfg.materialize:
-        return b
-    # The bid statistics are observed while the table is written: no extra pass.
-    seen = Observation("match_bids")
-    out = write_table(b.observe(seen, *_bid_stat_columns(cfg.gram)), "match_bids")
-    out._adsift_stats = (cfg.gram, _stats_from(seen.get, cfg.gram))
-    return out
-
-
 @dataclass(frozen=True)
-class BidStats:
-    """One aggregate row over the bids: size bound and index shape."""
+class Sides:
+    """The written sides and what the bids' one pass of counting found.
+
+    ``queries``: qid, word, qt (tokens), row (the search row as it came).
+    ``bids``: bid (the word), bt (tokens), n (their number).
+    """
+    cfg: MatchConfig
+    queries: DataFrame
+    bids: DataFrame
     rows: int
-    bytes: int
-    lengths: frozenset[int]     # key lengths of the substring index (0 = empty bid)
-    has_tokenless: bool         # a bid with no token exists
+    text_bytes: int
+    tokens: int
+    token_bytes: int
+    grams: int
+    lengths: tuple[int, ...]    # key lengths of the substring index
+    has_tokenless: bool
+    has_empty: bool
 
-    def fits(self, cfg: MatchConfig, factor: int) -> bool:
-        return (self.rows * factor <= cfg.broadcast_max_rows
-                and self.bytes * factor <= cfg.broadcast_max_bytes)
+    def fits(self, rows: int, data: int) -> bool:
+        return rows <= self.cfg.broadcast_max_rows and data + rows * ROW_OVERHEAD_BYTES <= self.cfg.broadcast_max_bytes
 
+    def bounded(self, df: DataFrame, rows: int, data: int) -> DataFrame:
+        """Broadcast a bid-side table of at most so many rows and bytes of data, if that is little."""
+        return F.broadcast(df) if self.fits(rows, data) else df
 
-def _bid_stat_columns(gram: int) -> list:
-    """Aggregates of the bid statistics; one flag per possible key length."""
-    size = (F.octet_length(BID) + F.octet_length(F.array_join("bt", "")) + 16 * F.col("n")
-            + F.lit(ROW_OVERHEAD_BYTES))
-    key_len = F.least(F.length(BID), F.lit(gram))
-    return ([F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes"),
-             F.max(F.when(F.col("n") == 0, 1).otherwise(0)).alias("z")]
-            + [F.max(F.when(key_len == length, 1).otherwise(0)).alias(f"len{length}")
-               for length in range(gram + 1)])
+    def no_pairs(self) -> DataFrame:
+        return self.queries.sparkSession.createDataFrame([], "qid bigint, bid string")
 
 
-def _stats_from(r, gram: int) -> BidStats:
-    lengths = frozenset(x for x in range(gram + 1) if (r.get(f"len{x}") or 0) > 0)
-    return BidStats(int(r.get("rows") or 0), int(r.get("bytes") or 0), lengths, bool(r.get("z") or 0))
+def distinct_bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
+    b = bids.select(F.col(BID).alias("bid")).where(F.col("bid").isNotNull())
+    if cfg.drop_empty_bids:
+        b = b.where(F.length("bid") > 0)
+    return b.distinct()
+
+
+def prepare(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> Sides:
+    """Write both sides and count the bids. A NULL search word takes no part."""
+    q = searches.where(F.col(SEARCH).isNotNull())
+    row = F.struct(*[F.col(f"`{c}`") for c in searches.columns])
+    q = write_table(q.select(F.monotonically_increasing_id().alias("qid"), F.col(SEARCH).alias("word"),
+                             tokens(SEARCH, cfg.token_mode).alias("qt"), row.alias("row")), "match_queries")
+    b = distinct_bids(bids, cfg).withColumn("bt", tokens("bid", cfg.token_mode)).withColumn("n", F.size("bt"))
+    b = write_table(b, "match_bids")
+    key_length = F.least(F.length("bid"), F.lit(cfg.gram))
+    counts = b.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("bid")).alias("text_bytes"),
+        F.sum("n").alias("tokens"), F.sum(F.octet_length(F.array_join("bt", ""))).alias("token_bytes"),
+        F.sum(F.greatest(F.length("bid") - (cfg.gram - 1), F.lit(1))).alias("grams"),
+        F.array_sort(F.collect_set(key_length)).alias("lengths"),
+        F.count_if(F.col("n") == 0).alias("tokenless")).collect()[0]
+    lengths = tuple(counts["lengths"])
+    return Sides(cfg, q, b, counts["rows"], counts["text_bytes"] or 0, counts["tokens"] or 0, counts["token_bytes"] or 0,
+                 counts["grams"] or 0, tuple(x for x in lengths if x > 0), counts["tokenless"] > 0, 0 in lengths)
+
+
+def _frequencies(keys: DataFrame, vocab: DataFrame, col: str, within: bool) -> DataFrame:
+    """Number of queries holding each bid-side key: ``(col, df)``.
+
+    With a broadcast vocabulary the query keys are cut to it in place before
+    the count. Otherwise they are counted first (combined map-side, so a hot
+    key is one row per task) and only the counts meet the vocabulary.
+    """
+    if within:
+        return keys.join(F.broadcast(vocab), col, "left_semi").groupBy(col).agg(F.count(F.lit(1)).alias("df"))
+    return keys.groupBy(col).agg(F.count(F.lit(1)).alias("df")).join(vocab, col, "left_semi")
 
 
-def _bid_stats(b: DataFrame, gram: int) -> BidStats:
-    """Bid statistics: observed when the bid table was written, else one pass
-    over the bid side (a single result row)."""
-    seen = getattr(b, "_adsift_stats", None)
-    if seen is not None and seen[0] == gram:
-        return seen[1]
-    return _stats_from(b.agg(*_bid_stat_columns(gram)).collect()[0].asDict(), gram)
+# --------------------------------------------------------------------------- candidates
 
+def token_candidates(s: Sides, per_bid: int) -> DataFrame:
+    """(qid, bid) of the pairs that share one of the bid's ``per_bid`` rarest tokens; some come twice."""
+    bid_tok = s.bids.select("bid", F.explode("bt").alias("tok"))
+    query_tok = s.queries.select("qid", F.explode("qt").alias("tok"))
+    if s.cfg.rarest:
+        vocab = bid_tok.select("tok").distinct()
+        freq = _frequencies(query_tok.select("tok"), vocab, "tok", s.fits(s.tokens, s.token_bytes))
+        rank = F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("tok"))
+        # A group holds the tokens of one bid.
+        index = (bid_tok.join(s.bounded(freq, s.tokens, s.token_bytes), "tok", "left").groupBy("bid")
+                 .agg(F.slice(F.array_sort(F.collect_list(rank)), 1, per_bid).alias("r"))
+                 .select("bid", F.explode("r.tok").alias("tok")))
+    else:
+        index = s.bids.select("bid", F.explode(F.slice("bt", 1, per_bid)).alias("tok"))
+    index = s.bounded(index, per_bid * s.rows, per_bid * s.text_bytes + s.token_bytes)
+    return query_tok.join(index, "tok").select("qid", "bid")
+
+
+def substring_candidates(s: Sides) -> DataFrame:
+    """(qid, bid) of the pairs whose query holds the bid's key; each once."""
+    g, lengths = s.cfg.gram, s.lengths
+    if not lengths:
+        return s.no_pairs()
+    short = s.bids.where((F.length("bid") > 0) & (F.length("bid") < g)).select("bid", F.col("bid").alias("key"))
+    longer = s.bids.where(F.length("bid") >= g)
+    grams = longer.select("bid", F.explode(substrings(F.col("bid"), g)).alias("gram"))
+    if s.cfg.rarest:
+        within = s.fits(s.grams, 4 * g * s.grams)
+        freq = _frequencies(s.queries.select(F.explode(substrings(F.col("word"), g)).alias("gram")),
+                            grams.select("gram").distinct(), "gram", within)
+        rank = F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("gram"))
+        keyed = (grams.join(s.bounded(freq, s.grams, 4 * g * s.grams), "gram", "left")
+                 .groupBy("bid").agg(F.min(rank)["gram"].alias("key")))
+    else:
+        keyed = longer.select("bid", F.substring("bid", 1, g).alias("key"))
+    keys = s.bounded(keyed.unionByName(short), s.rows, s.text_bytes + 4 * g * s.rows)
+    held = F.array_distinct(F.concat(*[substrings(F.col("word"), n) for n in lengths]))
+    return s.queries.select("qid", F.explode(held).alias("key")).join(keys, "key").select("qid", "bid")
 
-def _bounded(df: DataFrame, stats: BidStats, cfg: MatchConfig, factor: int) -> DataFrame:
-    """Broadcast a bid-derived table whose size is at most ``factor`` x the bids'."""
-    return F.broadcast(df) if stats.fits(cfg, factor) else df
 
+def tokenless_pairs(s: Sides) -> DataFrame:
+    """(qid, bid) of every query with every bid that has no token, dealt out by a salt."""
+    if not s.has_tokenless:
+        return s.no_pairs()
+    blank = s.bids.where("n = 0").select("bid", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return s.queries.select("qid", F.pmod("qid", F.lit(SALTS)).cast("int").alias("salt")).join(blank, "salt").select("qid", "bid")
 
-def _frequencies(keys: DataFrame, vocab: DataFrame, col: str, stats: BidStats,
-                 cfg: MatchConfig, factor: int) -> DataFrame:
-    """Number of queries holding each bid-side key (token or gram): ``(col, df)``.
 
-    With a broadcastable vocabulary the query keys are cut to it in place
-    before the count. Otherwise the keys are counted first (combined
-    map-side, so a key held by a third of all queries is one row per task)
-    and only the counts are joined to the vocabulary.
-    """
-    if stats.fits(cfg, factor):
-        return (keys.join(F.broadcast(vocab), col, "left_semi")
-                .groupBy(col).agg(F.count(F.lit(1)).alias("df")))
-    counted = keys.groupBy(col).agg(F.count(F.lit(1)).alias("df"))
-    return counted.join(vocab, col, "left_semi")
+def empty_pairs(s: Sides) -> DataFrame:
+    """(qid, bid) of every query with the empty bid, if there is one."""
+    return s.queries.select("qid", F.lit("").alias("bid")) if s.has_empty else s.no_pairs()
 
 
-# --------------------------------------------------------------------------- token index
-
-def _token_index(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
-                 cfg: MatchConfig, stats: BidStats) -> DataFrame:
-    """(bid_word, bt, n, idx): up to ``per_bid`` rarest tokens of each bid."""
-    with_tokens = b.where(F.col("n") > 0)
-    if cfg.rarest:
-        bid_tok = with_tokens.select(BID, F.explode("bt").alias("tok"))
-        vocab = bid_tok.select("tok").distinct()
-        freq = _frequencies(q.select(F.explode("qt").alias("tok")), vocab, "tok", stats, cfg, 1)
-        # Frequencies exist only for bid tokens: bounded by the bids.
-        ranked = (bid_tok.join(_bounded(freq, stats, cfg, 1), "tok", "left")
-                  .groupBy(BID)
-                  .agg(F.array_sort(F.collect_list(
-                      F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("tok")))).alias("r"))
-                  .select(BID, F.transform(F.slice("r", 1, per_bid), lambda x: x["tok"]).alias("idx"))
-                  .withColumn("bt", tokens(BID, cfg.token_mode))
-                  .withColumn("n", F.size("bt")))
-    else:
-        ranked = with_tokens.withColumn("idx", F.slice("bt", 1, per_bid))
-    if with_empty:
-        empty = b.where(F.col("n") == 0).withColumn("idx", F.array(F.lit(EMPTY_KEY)))
-        ranked = ranked.unionByName(empty)
-    return ranked.select(BID, "bt", "n", "idx")
-
-
-def _token_candidates(q: DataFrame, b: DataFrame, per_bid: int, with_empty: bool,
-                      cfg: MatchConfig, stats: BidStats) -> DataFrame:
-    """(search_word, bid_word, n, k) for pairs sharing an index token; each once."""
-    index = _token_index(q, b, per_bid, with_empty, cfg, stats)
-    bx = index.select(BID, "bt", "n", "idx", F.posexplode("idx").alias("pos", "tok"))
-    # Index rows: at most two per bid, each a bid with its tokens.
-    bx = _bounded(bx, stats, cfg, 2 * per_bid)
-    keys = F.array_union("qt", F.array(F.lit(EMPTY_KEY))) if with_empty else F.col("qt")
-    if _longest(q) <= cfg.carry_max_tokens:
-        # Short queries (keywords): each exploded token carries the token set.
-        pairs = q.select(SEARCH, "qt", F.explode(keys).alias("tok")).join(bx, "tok")
-    else:
-        # Long texts: carrying the set would be quadratic in tokens per query;
-        # candidates fetch it by one join on the search word instead.
-        pairs = (q.select(SEARCH, F.explode(keys).alias("tok")).join(bx, "tok")
-                 .join(q.select(SEARCH, "qt"), SEARCH))
-    # A pair reached through its second index token is kept only if the query
-    # lacks the first one, so no pair is emitted twice and no distinct is needed.
-    pairs = pairs.where((F.col("pos") == 0) | ~F.array_contains("qt", F.col("idx")[0]))
-    return pairs.select(SEARCH, BID, "n", overlap(F.col("qt"), F.col("bt")).alias("k"))
-
-
-# --------------------------------------------------------------------------- substring index
-
-def _substring_candidates(q: DataFrame, b: DataFrame, cfg: MatchConfig,
-                          stats: BidStats) -> DataFrame:
-    """(search_word, bid_word, n) with ``contains(search_word, bid_word)``."""
-    g = cfg.gram
-    lengths = stats.lengths
-    parts = []
-    if g in lengths:
-        longer = b.where(F.length(BID) >= g)
-        bgrams = longer.select(BID, "n", F.explode(substrings(F.col(BID), g)).alias("gram"))
-        if cfg.rarest:
-            vocab = bgrams.select("gram").distinct()
-            freq = _frequencies(q.select(F.explode(substrings(F.col(SEARCH), g)).alias("gram")),
-                                vocab, "gram", stats, cfg, g)
-            keyed = (bgrams.join(_bounded(freq, stats, cfg, g), "gram", "left")
-                     .groupBy(BID, "n")
-                     .agg(F.min(F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("gram")))
-                          ["gram"].alias("key")))
-        else:
-            keyed = longer.select(BID, "n", F.substring(BID, 1, g).alias("key"))
-        parts.append(keyed)
-    if lengths - {g}:
-        parts.append(b.where(F.length(BID) < g).select(BID, "n", F.col(BID).alias("key")))
-    if not parts:
-        return q.sparkSession.createDataFrame([], f"{SEARCH} string, {BID} string, n int")
-    keys = parts[0]
-    for p in parts[1:]:
-        keys = keys.unionByName(p)
-    grams = [substrings(F.col(SEARCH), n) for n in sorted(lengths) if n > 0]
-    if 0 in lengths:
-        grams.append(F.array(F.lit(EMPTY_KEY)))
-    qk = q.select(SEARCH, F.explode(F.array_distinct(F.concat(*grams))).alias("key"))
-    return (qk.join(_bounded(keys, stats, cfg, 2), "key")
-            .where(F.col(SEARCH).contains(F.col(BID)))
-            .select(SEARCH, BID, "n"))
+def _checked(s: Sides, pairs: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with the queries' and the bids' columns."""
+    bids = s.bounded(s.bids, s.rows, s.text_bytes + s.token_bytes + 16 * s.tokens)
+    return pairs.join(s.queries.select("qid", *columns), "qid").join(bids, "bid")
 
 
 # --------------------------------------------------------------------------- pairs and tags
 
-def tagged_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """One row per (search_word, bid_word, tag) of the word-pair rules.
+def _tagged(s: Sides) -> DataFrame:
+    """(qid, word, bid, n, tags): every pair of the word-pair rules once, with all its tags."""
+    # The empty bid has no token, so its pairs are among the tokenless ones.
+    pairs = (token_candidates(s, 2).unionByName(substring_candidates(s)).unionByName(tokenless_pairs(s)).distinct())
+    both = _checked(s, pairs, "word", "qt")
+    k = overlap(F.col("qt"), F.col("bt"))
+    by_tokens = (F.when(k == F.col("n"), F.lit(TAG_ALL_TOKENS))
+                 .when((k > 0) & (k == F.col("n") - 1), F.lit(TAG_ALL_BUT_ONE)))
+    other = F.filter(F.array(F.when(F.col("word").contains(F.col("bid")), F.lit(TAG_CONTAINS)), by_tokens), lambda t: t.isNotNull())
+    tags = F.when(F.col("word") == F.col("bid"), F.array(F.lit(TAG_EQUAL))).otherwise(other)
+    return both.select("qid", "word", "bid", "n", tags.alias("tags")).where(F.size("tags") > 0)
+
+
+def word_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+    """(search_word, bid_word, tag) rows of the word-pair rules (J5), for each search row.
 
     tag 1: equal; otherwise tag 2: query contains bid, and tag 3: all bid
     tokens in the query, else tag 4: all but one (at least one shared).
-    Also carries ``n`` (bid token count) for the core-include rule.
     """
-    q = _queries(searches, cfg)
-    b = _bids(bids, cfg)
-    stats = _bid_stats(b, cfg.gram)
-
-    bb = _bounded(b, stats, cfg, 1)
-    equal = (q.join(bb, q[SEARCH] == bb[BID])
-             .select(q[SEARCH], bb[BID], F.lit(TAG_EQUAL).alias("tag"), bb["n"]))
-
-    contains = (_substring_candidates(q, b, cfg, stats)
-                .where(F.col(SEARCH) != F.col(BID))
-                .select(SEARCH, BID, F.lit(TAG_CONTAINS).alias("tag"), "n"))
+    return _tagged(prepare(searches, bids, cfg)).select(
+        F.col("word").alias(SEARCH), F.col("bid").alias(BID), F.explode("tags").alias("tag"))
 
-    tok = _token_candidates(q, b, 2, stats.has_tokenless, cfg, stats).where(F.col(SEARCH) != F.col(BID))
-    tag34 = F.when(F.col("k") == F.col("n"), F.lit(TAG_ALL_TOKENS)) \
-             .when((F.col("k") > 0) & (F.col("k") == F.col("n") - 1), F.lit(TAG_ALL_BUT_ONE))
-    token_tags = (tok.select(SEARCH, BID, tag34.alias("tag"), "n")
-                  .where(F.col("tag").isNotNull()))
 
-    return equal.unionByName(contains).unionByName(token_tags)
+PAIR_TYPE = "struct<bid_word:string,tag:int>"
 
 
-def word_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """(search_word, bid_word, tag) rows."""
-    return tagged_pairs(searches, bids, cfg).select(SEARCH, BID, F.col("tag").cast("int").alias("tag"))
+def _with_pairs(s: Sides, pair: Column, agg: Callable[[str], Column], alias: str) -> DataFrame:
+    """Each search row with an aggregate of its pairs: rows and pairs in one union, grouped once by row."""
+    pairs = _tagged(s).select("qid", "word", F.explode("tags").alias("tag"), "bid", "n").select(
+        "qid", "word", pair.alias("p"))
+    rows = s.queries.select("qid", "word", F.lit(None).cast(pairs.schema["p"].dataType).alias("p"))
+    return rows.unionByName(pairs).groupBy("qid", "word").agg(agg("p").alias(alias)).select(F.col("word").alias(SEARCH), alias)
 
 
-PAIR_TYPE = "struct<bid_word:string,tag:int>"
+def _pair() -> Column:
+    return F.struct(F.col("bid").alias(BID), F.col("tag").cast("int").alias("tag")).cast(PAIR_TYPE)
 
 
 def word_pair_arrays(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """Every distinct query with its sorted (bid_word, tag) list.
+    """Every search row with its sorted (bid_word, tag) list, empty without a pair."""
+    return _with_pairs(prepare(searches, bids, cfg), _pair(), lambda p: F.array_sort(F.collect_list(p)), "pairs")
 
-    Queries without a pair keep an empty list. The query list and the pairs
-    are unioned and grouped once, so no join back to the queries is needed.
-    """
-    q = _queries(searches, cfg)
-    p = word_pairs(q, bids, cfg).select(
-        SEARCH, F.struct(F.col(BID), F.col("tag")).cast(PAIR_TYPE).alias("p"))
-    q = q.select(SEARCH, F.lit(None).cast(PAIR_TYPE).alias("p"))
-    return (q.unionByName(p).groupBy(SEARCH)
-            .agg(F.array_sort(F.collect_list("p")).alias("pairs")))
+
+def first_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+    """Every search row with the first pair of its list (NULL without one); no list is built."""
+    return _with_pairs(prepare(searches, bids, cfg), _pair(), F.min, "first")
 
 
 def bidlist_text(pairs: Column) -> Column:
@@ -326,95 +271,71 @@ def word_pair_list(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFA
 
 # --------------------------------------------------------------------------- match modes
 
-def _keep_matched(q: DataFrame, matched: DataFrame) -> DataFrame:
-    """The written search rows (without tokens) that have a matching bid."""
-    return q.drop("qt").join(matched.select(SEARCH), SEARCH, "left_semi")
+def _keep(s: Sides, matched: DataFrame) -> DataFrame:
+    """The search rows whose id is among the matched ones."""
+    return s.queries.join(matched.select("qid").distinct(), "qid", "left_semi").select("row.*")
 
 
 def exact_match(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """Searches whose keyword equals a bid word (J1): a left-semi equi-join.
-
-    The bids are read once here, so they are not written as a table."""
-    b = _bids(bids, replace(cfg, materialize=False)).select(F.col(BID).alias(SEARCH))
-    return searches.join(b, SEARCH, "left_semi")
+    """Searches whose keyword equals a bid word (J1): a left-semi equi-join."""
+    return searches.join(distinct_bids(bids, cfg).withColumnRenamed("bid", SEARCH), SEARCH, "left_semi")
 
 
 def exact_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Searches that contain some bid word as a substring."""
-    q = _queries(searches, cfg)
-    b = _bids(bids, cfg)
-    return _keep_matched(q, _substring_candidates(q, b, cfg, _bid_stats(b, cfg.gram)))
+    s = prepare(searches, bids, cfg)
+    if s.has_empty:
+        return s.queries.select("row.*")
+    pairs = substring_candidates(s).join(s.queries.select("qid", "word"), "qid")
+    return _keep(s, pairs.where(F.col("word").contains(F.col("bid"))))
 
 
 def token_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Searches whose token set holds all tokens of some bid (J3, "syno")."""
-    q = _queries(searches, cfg)
-    b = _bids(bids, cfg)
-    stats = _bid_stats(b, cfg.gram)
-    cand = _token_candidates(q, b, 1, stats.has_tokenless, cfg, stats)
-    return _keep_matched(q, cand.where(F.col("k") == F.col("n")))
+    s = prepare(searches, bids, cfg)
+    if s.has_tokenless:
+        return s.queries.select("row.*")
+    both = _checked(s, token_candidates(s, 1), "qt")
+    return _keep(s, both.where(overlap(F.col("qt"), F.col("bt")) == F.col("n")))
 
 
 def core_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Searches holding a one-token bid, or all but one token of a longer bid."""
-    q = _queries(searches, cfg)
-    b = _bids(bids, cfg)
-    cand = _token_candidates(q, b, 2, False, cfg, _bid_stats(b, cfg.gram))
-    ok = ((F.col("n") == 1) & (F.col("k") == 1)) | ((F.col("n") > 1) & (F.col("k") >= F.col("n") - 1))
-    return _keep_matched(q, cand.where(ok))
+    s = prepare(searches, bids, cfg)
+    both = _checked(s, token_candidates(s, 2), "qt")
+    k, n = overlap(F.col("qt"), F.col("bt")), F.col("n")
+    return _keep(s, both.where(((n == 1) & (k == 1)) | ((n > 1) & (k >= n - 1))))
 
 
 def match(mode: str, bids: DataFrame, searches: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Mode dispatch of the reference's entry point."""
-    if mode == "exact-match":
-        return exact_match(searches, bids, cfg)
-    if mode == "exact-include":
-        return exact_include(searches, bids, cfg)
-    if mode == "syno-include":
-        return token_include(searches, bids, cfg)
-    if mode == "core-include":
-        return core_include(searches, bids, cfg)
-    if mode == "get-data":
-        return word_pair_list(searches, bids, cfg)
-    raise ValueError(f"unknown match mode {mode!r}; expected one of {MODES}")
+    modes = {"exact-match": exact_match, "exact-include": exact_include, "syno-include": token_include,
+             "core-include": core_include, "get-data": word_pair_list}
+    if mode not in modes:
+        raise ValueError(f"unknown match mode {mode!r}; expected one of {MODES}")
+    return modes[mode](searches, bids, cfg)
 
 
 def coverage(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
     """Share of search volume each mode matches.
 
     -> (mode, matched_words, matched_cnt, total_words, total_cnt, pvr). All four
-    modes come from one pass over the tagged pairs: exact = tag 1, include =
-    tag 1|2, syno = tag 1|3, core = tag 1|3|4 with a bid of at least one token.
+    modes come from the tags of each search row: exact = tag 1, include = tag
+    1|2, syno = tag 1|3, core = tag 1|3|4 with a bid of at least one token.
     """
-    t = F.col("tag")
-    q = _queries(searches, cfg)
-    # Search rows and their pairs in one union, grouped once by search word:
-    # a word without pairs keeps its count and gets no flag.
-    pairs = tagged_pairs(q, bids, cfg).select(SEARCH, F.lit(None).cast("bigint").alias("cnt"), "tag", "n")
-    rows = q.select(SEARCH, F.col("cnt").cast("bigint").alias("cnt"),
-                    F.lit(None).cast("int").alias("tag"), F.lit(None).cast("int").alias("n"))
-    s = (rows.unionByName(pairs)
-         .groupBy(SEARCH)
-         .agg(F.max("cnt").alias("cnt"),
-              F.bool_or(t == TAG_EQUAL).alias("m_exact_match"),
-              F.bool_or(t.isin(TAG_EQUAL, TAG_CONTAINS)).alias("m_exact_include"),
-              F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS)).alias("m_syno_include"),
-              F.bool_or(t.isin(TAG_EQUAL, TAG_ALL_TOKENS, TAG_ALL_BUT_ONE) & (F.col("n") > 0))
-              .alias("m_core_include")))
-    names = ["exact_match", "exact_include", "syno_include", "core_include"]
-    aggs = [F.count(F.lit(1)).alias("total_words"), F.sum("cnt").alias("total_cnt")]
-    for name in names:
-        flag = F.coalesce(F.col(f"m_{name}"), F.lit(False))
-        aggs.append(F.count_if(flag).alias(f"w_{name}"))
-        aggs.append(F.sum(F.when(flag, F.col("cnt")).otherwise(F.lit(0))).alias(f"c_{name}"))
-    totals = s.agg(*aggs)
-    stack = ", ".join(f"'{n.replace('_', '-')}', w_{n}, c_{n}" for n in names)
-    out = totals.selectExpr("total_words", "total_cnt",
-                            f"stack({len(names)}, {stack}) as (mode, matched_words, matched_cnt)")
-    return out.select(
-        "mode",
-        F.col("matched_words").cast("bigint").alias("matched_words"),
-        F.col("matched_cnt").cast("bigint").alias("matched_cnt"),
-        F.col("total_words").cast("bigint").alias("total_words"),
-        F.col("total_cnt").cast("bigint").alias("total_cnt"),
-        (F.col("matched_cnt") / F.col("total_cnt")).cast("double").alias("pvr"))
+    s = prepare(searches, bids, cfg)
+    has = lambda *tags: F.bool_or(F.arrays_overlap("tags", F.array(*[F.lit(t) for t in tags])))
+    core = F.bool_or(F.arrays_overlap("tags", F.array(*map(F.lit, (TAG_EQUAL, TAG_ALL_TOKENS, TAG_ALL_BUT_ONE)))) & (F.col("n") > 0))
+    flags = {"exact-match": has(TAG_EQUAL), "exact-include": has(TAG_EQUAL, TAG_CONTAINS),
+             "syno-include": has(TAG_EQUAL, TAG_ALL_TOKENS), "core-include": core}
+    pairs = _tagged(s).select("qid", "tags", "n", F.lit(None).cast("bigint").alias("cnt"))
+    rows = s.queries.select("qid", F.array().cast("array<int>").alias("tags"), F.lit(0).alias("n"), F.col("row.cnt").cast("bigint").alias("cnt"))
+    per_row = rows.unionByName(pairs).groupBy("qid").agg(
+        F.max("cnt").alias("cnt"), *[F.coalesce(flag, F.lit(False)).alias(mode) for mode, flag in flags.items()])
+    totals = per_row.agg(
+        F.count(F.lit(1)).alias("total_words"), F.sum("cnt").alias("total_cnt"),
+        F.array(*[F.struct(F.lit(mode).alias("mode"), F.count_if(F.col(f"`{mode}`")).alias("matched_words"),
+                           F.sum(F.when(F.col(f"`{mode}`"), F.col("cnt")).otherwise(0)).alias("matched_cnt")) for mode in flags]).alias("m"))
+    out = totals.select("total_words", "total_cnt", F.inline("m"))
+    return out.select("mode", "matched_words", F.coalesce("matched_cnt", F.lit(0)).alias("matched_cnt"), "total_words",
+                      F.coalesce("total_cnt", F.lit(0)).alias("total_cnt"), F.try_divide("matched_cnt", "total_cnt").alias("pvr"))

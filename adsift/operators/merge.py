@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import day, distinct_ids, max_by_key
+from ..sources.tables import day, day_columns, distinct_ids, max_by_key
 
 # Fixed attribute columns of the app table.
 APP_COLUMNS = ["fid", "fname", "fcategoryid", "fcategory2id", "fstatus",
@@ -34,7 +34,7 @@ def advertised_apps(ads: DataFrame, dt: int | None = None, keys: Sequence[str] =
 
 
 def app_attributes(apps: DataFrame, dt: int | None = None) -> DataFrame:
-    return _maybe_day(apps, dt).select(*APP_COLUMNS)
+    return apps.select(*APP_COLUMNS) if dt is None else day_columns(apps, dt, APP_COLUMNS)
 
 
 def app_versions(versions: DataFrame, dt: int | None = None, keys: Sequence[str] = ()) -> DataFrame:

@@ -1,7 +1,10 @@
 """Registered queries over the driver's tables and their DuckDB oracles.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame; each
-oracle is ANSI SQL over the same tables. Column names and types agree.
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame. Queries that need
+an intermediate table (both sides of a match, a dictionary, a day-partitioned
+input, a saved day) run the jobs that write it when they are called; the rest
+is lazy. Each oracle is ANSI SQL over the same tables; column names and types
+agree.
 """
 
 from __future__ import annotations
@@ -18,22 +21,27 @@ from ..operators import merge as MG
 from ..operators import matching as M
 from ..session import configure
 from ..sources import tables as S
+from ..sources import text as TX
 from . import fixtures as FX
+from . import saved as SV
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RANGE_FROM, RANGE_TO = 19950101, 19980101
-CORE_BID_SIZES = (3,)
+DAY = 19970301          # the day of the one-day queries
+# Bids are of some length: longer keys keep candidates few.
+MATCH = M.MatchConfig(gram=8)
+HAN = M.MatchConfig(token_mode="cjk_char", gram=2)
 
 
 # --------------------------------------------------------------------------- inputs
 
-def searches(spark: SparkSession, sf: str, sdate: int = 0, edate: int = 0) -> DataFrame:
-    return S.search_words(FX.search_log(spark, sf), sdate, edate)
+def searches(spark: SparkSession, sf: str) -> DataFrame:
+    return S.search_words(FX.search_log(spark, sf))
 
 
-def bids(spark: SparkSession, sf: str, sizes: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
-    return S.bid_words(FX.bid_table(spark, sf, sizes))
+def bids(spark: SparkSession, sf: str) -> DataFrame:
+    return S.bid_words(FX.bid_table(spark, sf))
 
 
 def q_bid_words(spark, sf):
@@ -45,11 +53,11 @@ def q_search_words(spark, sf):
 
 
 def q_date_range_scan(spark, sf):
-    return searches(spark, sf, RANGE_FROM, RANGE_TO)
+    return S.search_words(FX.by_day(FX.search_log(spark, sf), "search-log"), RANGE_FROM, RANGE_TO)
 
 
 def q_date_range_open(spark, sf):
-    return searches(spark, sf, RANGE_FROM, 0)
+    return S.search_words(FX.by_day(FX.search_log(spark, sf), "search-log"), RANGE_FROM, 0)
 
 
 def q_exact_match(spark, sf):
@@ -57,38 +65,44 @@ def q_exact_match(spark, sf):
 
 
 def q_exact_include(spark, sf):
-    return M.exact_include(searches(spark, sf), bids(spark, sf))
+    return M.exact_include(searches(spark, sf), bids(spark, sf), MATCH)
 
 
 def q_token_include(spark, sf):
-    return M.token_include(searches(spark, sf), bids(spark, sf))
+    return M.token_include(searches(spark, sf), bids(spark, sf), MATCH)
+
+
+def q_token_include_han(spark, sf):
+    return M.token_include(S.search_words(FX.han_search_log(spark, sf)), S.bid_words(FX.han_bid_table(spark, sf)), HAN)
 
 
 def q_core_include(spark, sf):
-    return M.core_include(searches(spark, sf), bids(spark, sf, CORE_BID_SIZES))
+    return M.core_include(searches(spark, sf), bids(spark, sf), MATCH)
 
 
 def q_word_pairs(spark, sf):
-    return M.word_pairs(searches(spark, sf), bids(spark, sf))
+    return M.word_pairs(searches(spark, sf), bids(spark, sf), MATCH)
 
 
 def q_word_pair_list(spark, sf):
-    return M.word_pair_list(searches(spark, sf), bids(spark, sf))
+    return M.word_pair_list(searches(spark, sf), bids(spark, sf), MATCH)
 
 
 def q_coverage(spark, sf):
-    return M.coverage(searches(spark, sf), bids(spark, sf))
+    return M.coverage(searches(spark, sf), bids(spark, sf), MATCH)
 
 
 def q_bidlist_json(spark, sf):
-    arrays = M.word_pair_arrays(searches(spark, sf), bids(spark, sf))
+    arrays = M.word_pair_arrays(searches(spark, sf), bids(spark, sf), MATCH)
     return arrays.select(M.SEARCH, M.bidlist_json(F.col("pairs")).alias("bidlist_json"))
 
 
 def q_bidlist_first(spark, sf):
-    """Path access into the rendered list: first word and tag."""
-    j = F.col("bidlist_json")
-    return q_bidlist_json(spark, sf).select(
+    """Path access into the rendered list: first word and tag (X8b). Only the first pair is rendered."""
+    first = M.first_pairs(searches(spark, sf), bids(spark, sf), MATCH)
+    pairs = F.when(F.col("first").isNotNull(), F.array("first")).otherwise(F.array().cast(f"array<{M.PAIR_TYPE}>"))
+    j = M.bidlist_json(pairs)
+    return first.select(
         M.SEARCH,
         F.get_json_object(j, "$.bidlist[0].word").alias("first_word"),
         F.get_json_object(j, "$.bidlist[0].tag").alias("first_tag"))
@@ -99,29 +113,42 @@ def q_bidlist_rows(spark, sf):
         M.SEARCH, F.col("word"), F.col("tag"))
 
 
+def q_charset_vote(spark, sf):
+    return TX.decode_by_vote(FX.byte_lines(spark, sf))
+
+
 # --------------------------------------------------------------------------- oracle texts
 
 def _tok(x: str) -> str:
     return f"list_distinct(list_filter(regexp_split_to_array({x}, '[ \\t\\n\\x0B\\f\\r]+'), lambda t: t <> ''))"
 
 
-def _with(sizes=(1, 2, 3, 4)) -> str:
-    return f"""with s as ({FX.SEARCHES_SQL}), b as ({FX.bids_sql(sizes)}),
-q as (select search_word, {_tok('search_word')} as qt from s),
-bb as (select bid_word, {_tok('bid_word')} as bt from b),
-p as (select search_word, bid_word, len(bt) as n, len(list_intersect(qt, bt)) as k from q, bb)"""
+def _with(searches_sql: str = FX.SEARCHES_SQL, bids_sql: str = FX.BIDS_SQL, tok=_tok) -> str:
+    """s, b; q and bb with tokens; p: (search_word, bid_word, n, k) of pairs with a common token or a bid without any."""
+    return f"""with s as ({searches_sql}), b as ({bids_sql}),
+q as (select search_word, {tok('search_word')} as qt from s),
+bb as (select bid_word, {tok('bid_word')} as bt, len({tok('bid_word')}) as n from b),
+qx as (select search_word, unnest(qt) as t from q),
+bx as (select bid_word, unnest(bt) as t from bb),
+kk as (select search_word, bid_word, count(*) as k from qx join bx using (t) group by all),
+p as (select search_word, bid_word, n, k from kk join bb using (bid_word)
+      union all select search_word, bid_word, 0, 0 from q, bb where n = 0)"""
+
+
+def _han_tok(x: str) -> str:
+    return f"list_distinct(regexp_extract_all({x}, '[\\x{{4E00}}-\\x{{9FFF}}]|[^\\x{{4E00}}-\\x{{9FFF}}]+'))"
 
 
 PAIRS_SQL = _with() + """,
 tp as (
-  select search_word, bid_word, 1 as tag from p where search_word = bid_word
-  union all select search_word, bid_word, 2 from p where search_word <> bid_word and contains(search_word, bid_word)
-  union all select search_word, bid_word, 3 from p where search_word <> bid_word and k = n
-  union all select search_word, bid_word, 4 from p where search_word <> bid_word and k <> n and k > 0 and k = n - 1)
+  select search_word, bid_word, n, 1 as tag from q join bb on search_word = bid_word
+  union all select search_word, bid_word, n, 2 from q join bb on search_word <> bid_word and contains(search_word, bid_word)
+  union all select search_word, bid_word, n, 3 from p where search_word <> bid_word and k = n
+  union all select search_word, bid_word, n, 4 from p where search_word <> bid_word and k <> n and k > 0 and k = n - 1)
 """
 
 ORACLES_MATCH = {
-    "bid_words": FX.bids_sql(),
+    "bid_words": FX.BIDS_SQL,
     "search_words": FX.SEARCHES_SQL,
     "date_range_scan": f"""
 select trim(keyword) as search_word, count(*) as cnt from ({FX.SEARCH_LOG_SQL}) l
@@ -133,13 +160,19 @@ where stat_date >= {RANGE_FROM} and trim(keyword) is not null
 group by trim(keyword)""",
     "exact_match": f"""
 select search_word, cnt from ({FX.SEARCHES_SQL}) s
-where search_word in (select bid_word from ({FX.bids_sql()}) b)""",
+where search_word in (select bid_word from ({FX.BIDS_SQL}) b)""",
     "exact_include": f"""
 select search_word, cnt from ({FX.SEARCHES_SQL}) s
-where exists (select 1 from ({FX.bids_sql()}) b where contains(s.search_word, b.bid_word))""",
+where exists (select 1 from ({FX.BIDS_SQL}) b where contains(s.search_word, b.bid_word))""",
     "token_include": _with() + """
 select search_word, cnt from s where search_word in (select search_word from p where k = n)""",
-    "core_include": _with(CORE_BID_SIZES) + """
+    "token_include_han": _with(FX.HAN_SEARCHES_SQL, FX.HAN_BIDS_SQL, _han_tok) + """
+select search_word, cnt from s where search_word in (select search_word from p where k = n)""",
+    "charset_vote": f"""
+select 'f' || (c_custkey // {FX.FILE_LINES}) as file, c_name || chr(9) || chr(cast(19968 + c_custkey % 500 as int)) as value,
+       case when (c_custkey // {FX.FILE_LINES}) % 2 = 1 then 'GBK' else 'UTF-8' end as charset
+from customer""",
+    "core_include": _with() + """
 select search_word, cnt from s
 where search_word in (select search_word from p where (n = 1 and k = 1) or (n > 1 and k >= n - 1))""",
     "word_pairs": PAIRS_SQL + "select search_word, bid_word, tag from tp",
@@ -153,7 +186,7 @@ group by q.search_word""",
 f as (select search_word,
              bool_or(tag = 1) as m1, bool_or(tag in (1, 2)) as m2, bool_or(tag in (1, 3)) as m3,
              bool_or(tag in (1, 3, 4) and n > 0) as m4
-      from tp join p using (search_word, bid_word) group by search_word),
+      from tp group by search_word),
 a as (select count(*) as tw, sum(cnt) as tc,
              count(*) filter (where coalesce(m1, false)) as w1, coalesce(sum(cnt) filter (where coalesce(m1, false)), 0) as c1,
              count(*) filter (where coalesce(m2, false)) as w2, coalesce(sum(cnt) filter (where coalesce(m2, false)), 0) as c2,
@@ -188,6 +221,8 @@ QUERIES_MATCH: dict[str, Query] = {
     "exact_match": q_exact_match,
     "exact_include": q_exact_include,
     "token_include": q_token_include,
+    "token_include_han": q_token_include_han,
+    "charset_vote": q_charset_vote,
     "core_include": q_core_include,
     "word_pairs": q_word_pairs,
     "word_pair_list": q_word_pair_list,
@@ -224,19 +259,19 @@ _DEVICE_SQL = {
     "imei": "cast(o_custkey as varchar)",
     "ip": "'10.' || cast(o_custkey % 256 as varchar) || '.' || cast(o_orderkey % 256 as varchar) || '.1'",
     "net": "'wifi'",
-    "oper_type": "'APP_CPD_SEARCH'",
+    "oper_type": "'FIND_ADS'",
     "operator": "cast(o_custkey % 100 as varchar)",
-    "product_type": "'APPS'",
-    "req_uri": "'/apps/public/search'",
-    "screen_size": "'1080x1920'",
+    "product_type": "'KIND_A'",
+    "req_uri": "'/v1/find'",
+    "screen_size": "'720x1280'",
     "sn": "cast(o_orderkey as varchar)",
     "u_search_id": "'S' || cast(o_orderkey as varchar)",
     "u_session_id": "cast(o_custkey as varchar) || '-' || cast(o_orderkey as varchar)",
-    "version_name": "'5.4.10'",
+    "version_name": "'2.0.1'",
     "oper_time": "cast(epoch_ms(o_orderdate) as varchar)",
     "uid": "cast(o_custkey as varchar)",
     "version_code": "cast(o_orderkey % 1000 as varchar)",
-    "algorithm_version": "'ARA1.1'",
+    "algorithm_version": "'alg-7'",
     "keyword": "o_orderpriority",
 }
 _DEVICE_EXTRA = {"operator": f" or o_orderkey % {FX.LEAF_NO_OPERATOR} = 0",
@@ -252,7 +287,7 @@ _AD_SQL = {
 }
 
 
-def _flatten_sql() -> str:
+def _flatten_sql(day: int | None = None) -> str:
     cols = []
     for c in A.FLAT_COLUMNS:
         if c in _AD_SQL:
@@ -265,7 +300,8 @@ l as (select *, row_number() over (partition by l_orderkey
       from lineitem)
 select {', '.join(cols)}
 from o left join l on o.st = 1 and l.l_orderkey = o.o_orderkey
-                  and (o.o_orderkey % {FX.ADS_BREAK} <> 0 or l.rn <= {FX.ADS_BREAK_AFTER})"""
+                  and (o.o_orderkey % {FX.ADS_BREAK} <> 0 or l.rn <= {FX.ADS_BREAK_AFTER})
+{"" if day is None else f"where strftime(date_trunc('month', o_orderdate), '%Y%m%d') = '{day}'"}"""
 
 
 def _strict_sql() -> str:
@@ -280,12 +316,20 @@ from o left join lc on lc.l_orderkey = o.o_orderkey
 where st <> 0 and o_orderkey % {FX.LEAF_NO_SN} <> 0"""
 
 
+def q_flatten_day(spark, sf):
+    """One day of a day-partitioned log."""
+    logs = FX.by_day(FX.adlog(spark, sf).select("vcontent", "stat_date"), "ad-log")
+    return A.flatten_ads(S.day(logs, DAY)).select(*A.FLAT_COLUMNS)
+
+
 QUERIES_JSON: dict[str, Query] = {
     "json_flatten": q_json_flatten,
+    "flatten_day": q_flatten_day,
     "json_strict": q_json_strict,
 }
 ORACLES_JSON = {
     "json_flatten": _flatten_sql(),
+    "flatten_day": _flatten_sql(DAY),
     "json_strict": _strict_sql(),
 }
 
@@ -305,6 +349,13 @@ def q_category_codes(spark, sf):
     return FE.fit_codes(FX.profile_table(spark, sf), FE.PROFILE_COLUMNS)
 
 
+PROFILE_SAMPLE_ROWS = 10000
+
+
+def q_profile_sample(spark, sf):
+    return FE.profile_sample(FX.profile_table(spark, sf), PROFILE_SAMPLE_ROWS)
+
+
 def q_profile_features(spark, sf):
     return FE.profile_features(FX.profile_table(spark, sf))
 
@@ -323,6 +374,13 @@ def q_app_merge_daily(spark, sf):
     return app_snapshot(spark, sf, keys=("stat_date",))
 
 
+def q_app_merge_day(spark, sf):
+    """One day of day-partitioned tables."""
+    ads, versions = (FX.by_day(t, n) for t, n in ((FX.ad_table(spark, sf), "ads"), (FX.version_table(spark, sf), "versions")))
+    apps = FX.by_day(FX.app_table(spark, sf).withColumn("stat_date", F.lit(DAY).cast("bigint")), "apps")
+    return MG.merge_apps(MG.advertised_apps(ads, DAY), MG.app_attributes(apps, DAY), MG.app_versions(versions, DAY))
+
+
 def q_app_features(spark, sf):
     return FE.app_features(app_snapshot(spark, sf))
 
@@ -382,8 +440,7 @@ def _codes_sql(src: str, key: str, cols) -> str:
 coded_{src} as (select {src}.{key}, {sel} from {src} {joins})"""
 
 
-_PROFILE_CTE = f"""prof as ({FX.PROFILE_SQL}),
-ps as (select * from prof order by imei limit {FE.PROFILE_SAMPLE_ROWS}),
+_PROFILE_CTE = f"""ps as ({FX.PROFILE_SQL}),
 {_codes_sql('ps', 'imei', FE.PROFILE_COLUMNS)}"""
 
 _SNAPSHOT_SQL = f"""select a.appid, fname, fcategoryid, fcategory2id, fstatus, fevaluate_count, fdownload_count,
@@ -393,11 +450,20 @@ join ({FX.APP_SQL}) p on a.appid = p.fid
 join (select l_partkey as appid, max(cast(l_quantity as bigint) * 10240) as appsize from lineitem group by l_partkey) v
   on a.appid = v.appid"""
 
+_MONTH = "cast(strftime(date_trunc('month', l_shipdate), '%Y%m%d') as bigint)"
+
+_SNAPSHOT_DAY_SQL = f"""select a.appid, fname, fcategoryid, fcategory2id, fstatus, fevaluate_count, fdownload_count,
+       fstars, finstall_count, v.appsize
+from (select distinct l_partkey as appid from lineitem where {_MONTH} = {DAY}) a
+join ({FX.APP_SQL}) p on a.appid = p.fid
+join (select l_partkey as appid, max(cast(l_quantity as bigint) * 10240) as appsize
+      from lineitem where {_MONTH} = {DAY} group by l_partkey) v on a.appid = v.appid"""
+
 _SNAPSHOT_DAILY_SQL = f"""select a.stat_date, a.appid, fname, fcategoryid, fcategory2id, fstatus, fevaluate_count,
        fdownload_count, fstars, finstall_count, v.appsize
-from (select distinct l_partkey as appid, cast(strftime(l_shipdate, '%Y%m%d') as bigint) as stat_date from lineitem) a
+from (select distinct l_partkey as appid, {_MONTH} as stat_date from lineitem) a
 join ({FX.APP_SQL}) p on a.appid = p.fid
-join (select l_partkey as appid, cast(strftime(l_shipdate, '%Y%m%d') as bigint) as stat_date,
+join (select l_partkey as appid, {_MONTH} as stat_date,
              max(cast(l_quantity as bigint) * 10240) as appsize
       from lineitem group by 1, 2) v
   on a.appid = v.appid and a.stat_date = v.stat_date"""
@@ -425,10 +491,12 @@ from lineitem""",
     "category_codes": f"""with prof as ({FX.PROFILE_SQL}),
 {_codes_sql('prof', 'imei', FE.PROFILE_COLUMNS)}
 select feature, value, code from d_prof""",
+    "profile_sample": f"""select * from ({FX.PROFILE_SQL}) x order by imei limit {PROFILE_SAMPLE_ROWS}""",
     "profile_features": f"""with {_PROFILE_CTE}
 select * from coded_ps""",
     "app_merge": _SNAPSHOT_SQL,
     "app_merge_daily": _SNAPSHOT_DAILY_SQL,
+    "app_merge_day": _SNAPSHOT_DAY_SQL,
     "app_features": f"""with {_APP_CTE}
 select * from coded_ab""",
     "event_features": _EVENT_FEATURES_SQL,
@@ -451,6 +519,8 @@ QUERIES_FEATURES: dict[str, Query] = {
     "bins": q_bins,
     "category_codes": q_category_codes,
     "profile_features": q_profile_features,
+    "profile_sample": q_profile_sample,
+    "app_merge_day": q_app_merge_day,
     "app_merge": q_app_merge,
     "app_merge_daily": q_app_merge_daily,
     "app_features": q_app_features,
@@ -461,11 +531,52 @@ QUERIES_FEATURES: dict[str, Query] = {
 }
 
 
-def _configured(fn: Query) -> Query:
+# --------------------------------------------------------------------------- saved days and whole jobs
+
+QUERIES_SAVED: dict[str, Query] = {
+    "sink_days": lambda spark, sf: SV.sink_days(S.read_parquet(spark, sf, "lineitem")),
+    "job_match_modes": lambda spark, sf: SV.match_modes(FX.bid_table(spark, sf), FX.search_log(spark, sf), RANGE_FROM, RANGE_TO, MATCH)[0],
+    "job_match_counts": lambda spark, sf: SV.match_modes(FX.bid_table(spark, sf), FX.search_log(spark, sf), RANGE_FROM, RANGE_TO, MATCH)[1],
+    "job_flatten": lambda spark, sf: SV.flatten(FX.adlog(spark, sf).select("vcontent", "stat_date"), DAY),
+    "job_app_merge": lambda spark, sf: SV.app_merge(FX.ad_table(spark, sf), FX.app_table(spark, sf), FX.version_table(spark, sf), DAY),
+    "job_instances": lambda spark, sf: SV.instances(FX.profile_table(spark, sf), app_snapshot(spark, sf), FX.event_log(spark, sf), EVENT_DAY),
+}
+
+EVENT_DAY = 20240115
+_IN_RANGE = f"""select trim(keyword) as search_word, count(*) as cnt from ({FX.SEARCH_LOG_SQL}) l
+where stat_date >= {RANGE_FROM} and stat_date < {RANGE_TO} and trim(keyword) is not null group by trim(keyword)"""
+_RANGE_PAIRS = PAIRS_SQL.replace(FX.SEARCHES_SQL, _IN_RANGE)
+
+ORACLES_SAVED = {
+    "sink_days": """
+select l_returnflag as word, count(*) as cnt, cast(20240101 as bigint) as stat_date from lineitem where l_quantity > 25 group by 1
+union all select l_linestatus, count(*), 20240102 from lineitem group by 1""",
+    "job_match_modes": _RANGE_PAIRS + """,
+r as (select search_word, string_agg(bid_word || ',' || tag, ' ' order by bid_word, tag) as bidlist from tp group by 1)
+select 'exact-match' as mode, search_word, cast(cnt as varchar) as value from s where search_word in (select search_word from tp where tag = 1)
+union all select 'exact-include', search_word, cast(cnt as varchar) from s where search_word in (select search_word from tp where tag in (1, 2))
+union all select 'syno-include', search_word, cast(cnt as varchar) from s where search_word in (select search_word from p where k = n)
+union all select 'core-include', search_word, cast(cnt as varchar) from s
+          where search_word in (select search_word from p where (n = 1 and k = 1) or (n > 1 and k >= n - 1))
+union all select 'get-data', search_word, coalesce(bidlist, '') from s left join r using (search_word)""",
+    "job_match_counts": f"""
+select m.mode, (select count(*) from ({FX.BIDS_SQL}) b) as bid_words, (select count(*) from ({_IN_RANGE}) s) as search_words
+from (values {', '.join(f"('{m}')" for m in M.MODES)}) m(mode)""",
+    "job_flatten": _flatten_sql(DAY),
+    "job_app_merge": _SNAPSHOT_DAY_SQL,
+    "job_instances": f"""with {_PROFILE_CTE}, {_APP_CTE}, ev as ({_EVENT_FEATURES_SQL})
+select ev.oper_type, {', '.join('coded_ps.' + c for c in FE.PROFILE_COLUMNS)},
+       {', '.join('coded_ab.' + c for c in FE.APP_CATEGORY_COLUMNS + FE.APP_BIN_COLUMNS)}, ev.day_of_week, ev.hour_of_day
+from ev join coded_ps on ev.imei = coded_ps.imei join coded_ab on ev.appid = coded_ab.appid
+where ev.stat_date = {EVENT_DAY}""",
+}
+
+
+def _configured(name: str, fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
         return fn(spark, sf_dir)
-    run.__name__ = fn.__name__
+    run.__name__ = name
     run.__doc__ = fn.__doc__
     return run
 
@@ -475,7 +586,8 @@ def queries() -> dict[str, Query]:
     out.update(QUERIES_MATCH)
     out.update(QUERIES_JSON)
     out.update(QUERIES_FEATURES)
-    return {k: _configured(v) for k, v in out.items()}
+    out.update(QUERIES_SAVED)
+    return {k: _configured(k, v) for k, v in out.items()}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -483,4 +595,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(ORACLES_MATCH)
     out.update(ORACLES_JSON)
     out.update(ORACLES_FEATURES)
+    out.update(ORACLES_SAVED)
     return out

@@ -1,82 +1,46 @@
-"""Join-side choices with a checked size bound.
-
-``broadcast_if_small`` marks a side for broadcast only after a bounded
-action proved it small: it reads at most ``max_rows + 1`` rows of that side
-and sums their string bytes. Beyond the bound the side is left to a shuffle
-join (sort-merge, split by AQE when a key is skewed).
-"""
+"""Size checks before a broadcast, and written intermediate tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_dir
+
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 48
 
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
-def _string_bytes(df: DataFrame) -> F.Column:
-    parts = []
-    for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            parts.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)))
-        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.StringType):
-            parts.append(F.coalesce(F.octet_length(F.array_join(F.col(field.name), "")), F.lit(0))
-                         + 16 * F.coalesce(F.size(F.col(field.name)), F.lit(0)))
-        else:
-            parts.append(F.lit(8))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
-
-
-def size_of(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[int, int]:
-    """(rows, estimated bytes) of at most ``max_rows + 1`` rows of ``df``."""
-    head = df.limit(int(max_rows) + 1)
-    row = head.agg(F.count(F.lit(1)).alias("n"), F.sum(_string_bytes(df)).alias("b")).collect()[0]
-    n = int(row["n"] or 0)
-    return n, int(row["b"] or 0) + ROW_OVERHEAD_BYTES * n
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
-    n, b = size_of(df, max_rows)
-    return n <= max_rows and b <= max_bytes
 
+def _bytes_of(column, kind: T.DataType):
+    """Bytes of one value; None for a type whose size is not known."""
+    if isinstance(kind, FIXED_WIDTH):
+        return F.lit(16)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+        return F.coalesce(F.octet_length(F.array_join(column, "")) + 16 * F.size(column), F.lit(0))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, FIXED_WIDTH):
+        return 16 * F.greatest(F.coalesce(F.size(column), F.lit(0)), F.lit(0))
+    return None
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                       max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` when proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
+def fits_broadcast(table: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """Whether a written table is proven small: its rows and bytes, counted by one aggregate over it.
 
-def is_empty(df: DataFrame) -> bool:
-    return df.limit(1).count() == 0
-
-
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a *scan* over at least ``min_partitions`` tasks before CPU-heavy
-    narrow work (JSON parsing, string building).
-
-    Only a scan with fewer splits than the cluster's parallelism (a small
-    file, one row group) is redistributed, round-robin; a large scan already
-    has enough splits and is passed through without a shuffle. Use it right
-    on a scan: for a plan with shuffles, asking for its partition count would
-    run those shuffles early.
+    A column of a type whose size is not known never fits.
     """
-    if df.isStreaming:
-        return df
-    from ..session import default_parallelism
-
-    want = min_partitions or default_parallelism(df.sparkSession)
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
-        return df
-    return df.repartition(want) if have < want else df
+    parts = [_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in table.schema.fields]
+    if any(p is None for p in parts):
+        return False
+    total = sum(parts, F.lit(0))
+    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("b")).collect()[0]
+    return row["n"] <= max_rows and (row["b"] or 0) + ROW_OVERHEAD_BYTES * row["n"] <= max_bytes
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -85,13 +49,10 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
     One job, unlike an eager RDD checkpoint (a count job, then a second job
     that recomputes the plan to write it). The written table cuts lineage,
-    survives executor loss, and reads back columnar with column pruning.
+    survives executor loss, and reads back columnar with column pruning. It
+    stays until ``session.drop_scratch``, as lazy results read it.
     """
-    import uuid
-
-    from ..session import scratch_dir
-
     spark = df.sparkSession
     path = scratch_dir(spark, f"tables/{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

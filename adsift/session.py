@@ -1,19 +1,17 @@
 """SparkSession construction and cluster-aware helpers.
 
 On a cluster the session is created by the launcher and its settings win;
-``get_session`` only fills in settings the library relies on and only sets a
-checkpoint folder when the cluster did not name one (as in tests).
+``configure`` only fills in what is unset. Intermediate tables go to the
+shared folder in ``spark.checkpoint.dir``; only a local session may go without.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the operators rely on. They are applied with ``setIfMissing``
-# semantics: a value the cluster already set is kept.
+# Settings the operators rely on; a value the session already has is kept.
 LIBRARY_CONF = {
     # Day boundaries, hour bands and epoch conversions are defined in UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -30,6 +28,8 @@ LIBRARY_CONF = {
     # Static INSERT OVERWRITE ... PARTITION (stat_date = d) replaces one day.
     "spark.sql.sources.partitionOverwriteMode": "static",
 }
+# A setting with a default never reads as unset; this one counts as set by the launcher only if it is no default.
+CHARSETS = "spark.sql.legacy.javaCharsets"
 
 
 def get_session(master: str | None = None, app_name: str = "adsift",
@@ -37,8 +37,7 @@ def get_session(master: str | None = None, app_name: str = "adsift",
     """Return the active session, or build one (local mode for tests)."""
     active = SparkSession.getActiveSession()
     if active is not None:
-        configure(active)
-        return active
+        return configure(active)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -51,65 +50,45 @@ def get_session(master: str | None = None, app_name: str = "adsift",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    configure(spark)
-    return spark
+    return configure(spark)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply library settings that the session does not set yet."""
+    """Apply library settings that neither the launcher nor the session sets yet."""
+    given = spark.sparkContext.getConf()
     for key, value in LIBRARY_CONF.items():
-        if spark.conf.get(key, None) is None:
+        now = spark.conf.get(key, None)
+        if now is None or (key == CHARSETS and given.get(key) is None and now != value):
             spark.conf.set(key, value)
-    # The charset switch is the one setting correctness depends on.
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    ensure_checkpoint_dir(spark)
+    checkpoint_dir(spark)
     return spark
 
 
-def _context(spark: SparkSession):
-    try:
-        return spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a JVM context (Spark Connect)
-        return None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a fresh scratch folder is
-    made; on a cluster the shared folder from the configuration is used.
+    A local session without one gets a fresh scratch folder; on a cluster its
+    absence is an error, as a machine's own folder is of no use there.
     """
-    sc = _context(spark)
-    current = sc.getCheckpointDir() if sc is not None else None
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and sc is not None:
-        named = sc.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not (sc.master or "").startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="adsift-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(named)
-        return sc.getCheckpointDir() or named
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
+    return checkpoint_dir(spark).rstrip("/") + "/" + name
 
 
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once their results are consumed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, "tables"))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,7 +3,8 @@
 ``save_day`` derives the column list from the DataFrame, creates the table
 if missing (partitioned by ``stat_date BIGINT``) and replaces exactly one day
 with a static-partition ``INSERT OVERWRITE``: re-running a day replaces it,
-other days stay, and an empty result empties the day.
+other days stay, and an empty result empties the day. Columns go by name; a
+missing or extra column, or one of another type than the table's, is an error.
 """
 
 from __future__ import annotations
@@ -51,10 +52,13 @@ def save_day(df: DataFrame, table: str, dt: int, allowed: Sequence[str] = FEATUR
     col_sql = ", ".join(f"`{n}` {t}" for n, t in cols)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({col_sql}, {DAY_COL} BIGINT) "
               f"USING {fmt} PARTITIONED BY ({DAY_COL})")
+    there = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields if f.name != DAY_COL]
+    if sorted(there) != sorted(cols):
+        raise ValueError(f"columns {cols} do not fit table {table} with {there}")
     view = f"adsift_sink_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     try:
-        names = ", ".join(f"`{n}`" for n, _ in cols)
+        names = ", ".join(f"`{n}`" for n, _ in there)
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL} = {int(dt)}) "
                   f"SELECT {names} FROM {view}")
     finally:

@@ -87,41 +87,3 @@ def distinct_ids(df: DataFrame, id_col: str, alias: str) -> DataFrame:
 def max_by_key(df: DataFrame, key_col: str, value_col: str, key_alias: str, value_alias: str) -> DataFrame:
     """``select key as k, max(v) as m group by key`` (A5)."""
     return df.groupBy(F.col(key_col).alias(key_alias)).agg(F.max(value_col).alias(value_alias))
-
-
-def _partition_top(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows of each partition by ``order_by``; no shuffle.
-
-    After a sort inside the partition, a row's position there is its
-    monotonically increasing id minus the partition's id offset.
-    """
-    pos = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
-    return (df.sortWithinPartitions(*order_by)
-            .withColumn("_adsift_pos", pos)
-            .where(F.col("_adsift_pos") < F.lit(n))
-            .drop("_adsift_pos"))
-
-
-def bounded_sample(df: DataFrame, n: int, order_by: Sequence[str], fan_in: int = 16) -> DataFrame:
-    """A repeatable bounded sample (S5, L1): the first ``n`` rows by ``order_by``.
-
-    The sample size is the operator's parameter, not a cost cap. A plain
-    ``orderBy().limit()`` merges ``n`` rows from every task in one final task,
-    which grows with the input. Instead, the top n is reduced as a tree: each
-    partition keeps its own top n (no shuffle), only those rows move
-    round-robin into ``fan_in`` times fewer partitions, and the step repeats.
-    Every task reads at most ``fan_in * n`` rows, and so does the final merge.
-    The input should be a scan or a narrow derivation of one (as the profile
-    table is): its partition count is read from the splits, which for a plan
-    with shuffles would run them early.
-    """
-    n = int(n)
-    try:
-        parts = df.rdd.getNumPartitions()   # a scan: known from its splits
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect)
-        parts = 1
-    cur = df
-    while parts > fan_in:
-        parts = -(-parts // fan_in)
-        cur = _partition_top(cur, n, order_by).repartition(parts)
-    return cur.orderBy(*order_by).limit(n)

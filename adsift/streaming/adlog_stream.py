@@ -3,7 +3,8 @@
 The reference is batch only. Its flatten (X6) is a projection plus
 ``explode_outer`` and its exact match (J1) a left-semi join with a static bid
 table, so both run unchanged on a ``readStream`` source. Output goes to a
-day-partitioned file sink whose commit log gives exactly-once files.
+day-partitioned file sink whose commit log gives exactly-once files, as long as
+the stream is started again with the same checkpoint folder.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.adlog import flatten_ads
 from ..operators.matching import exact_match
-from ..session import scratch_dir
 from ..sources.tables import DAY_COL
 
 ADLOG_SCHEMA = "vcontent string, stat_date bigint"
@@ -38,13 +38,12 @@ def exact_match_stream(searches: DataFrame, bids: DataFrame) -> DataFrame:
     return exact_match(searches, bids)
 
 
-def write_days(stream: DataFrame, path: str, name: str, fmt: str = "parquet") -> StreamingQuery:
-    """Append to a ``stat_date``-partitioned folder; the checkpoint lives in
-    the session's checkpoint folder (shared storage on a cluster)."""
-    spark = stream.sparkSession
+def write_days(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Append to a ``stat_date``-partitioned folder. ``checkpoint`` names the
+    stream for good: a restart with it goes on where the last run ended."""
     return (stream.writeStream.format(fmt)
             .option("path", path)
-            .option("checkpointLocation", scratch_dir(spark, f"streams/{name}"))
+            .option("checkpointLocation", checkpoint)
             .partitionBy(DAY_COL)
             .outputMode("append")
             .start())

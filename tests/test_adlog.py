@@ -40,8 +40,8 @@ def flat(spark, texts):
 
 def test_three_sample_shapes(spark):
     # 3 ads / no ads key / 5 ads with operator and uid missing -> 3 + 1 + 5 rows.
-    texts = [log([ad(i) for i in range(3)]) + "\t20161115",
-             log(None) + "\t20161115",
+    texts = [log([ad(i) for i in range(3)]) + "\t20240203",
+             log(None) + "\t20240203",
              log([ad(i) for i in range(5)], drop=("operator", "uid"))]
     rows = flat(spark, texts)
     assert len(rows) == 9

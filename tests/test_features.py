@@ -121,13 +121,9 @@ def test_codes_without_broadcast(spark):
     assert sorted({tuple(r) for r in coded.collect()}) == [(0.0, 0.0), (0.0, 1.0), (1.0, 2.0)]
 
 
-def test_bounded_sample_tree(spark):
-    from adsift.sources.tables import bounded_sample
-
-    df = spark.range(0, 20000, numPartitions=64).selectExpr(
-        "cast(id * 7919 % 20000 as string) as imei", "id % 5 as v")
-    want = [tuple(r) for r in df.orderBy("imei").limit(300).collect()]
-    tree = bounded_sample(df, 300, ["imei"], fan_in=4)
-    assert tree._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 2
-    assert [tuple(r) for r in tree.orderBy("imei").collect()] == want
-    assert [tuple(r) for r in bounded_sample(df, 300, ["imei"], fan_in=100).orderBy("imei").collect()] == want
+def test_profile_sample_and_all_profiles(spark):
+    df = spark.range(0, 500).selectExpr(
+        "cast(id * 7919 % 500 as string) as imei", "cast(id % 5 as int) as user_age", "'m' as sex", "id as user_job",
+        "true as marriage_status", "0.5D as mz_apps_car_owner", "cast(null as string) as user_network_type")
+    assert [r["imei"] for r in FE.profile_sample(df, 3).collect()] == ["0", "1", "10"]
+    assert FE.profile_features(df).count() == 500

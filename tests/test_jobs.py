@@ -3,6 +3,7 @@
 import json
 
 from adsift import jobs
+from adsift.operators.matching import MODES
 
 
 def test_match_job_modes(spark):
@@ -86,3 +87,18 @@ def test_snapshot_rejects_other_types(spark):
     vers = spark.createDataFrame([(1, 10)], "appid int, appsize int")
     with pytest.raises(TypeError):
         merge_apps(ads, apps, vers)
+
+
+def test_match_job_with_an_empty_side(spark):
+    for name, schema, rows in (("no_bids", "fkey_words string, stat_date bigint", []), ("no_searches", "keyword string, stat_date bigint", []),
+                               ("some_bids", "fkey_words string, stat_date bigint", [("red", 20240101)]),
+                               ("some_searches", "keyword string, stat_date bigint", [("red", 20240102)])):
+        spark.createDataFrame(rows, schema).write.mode("overwrite").saveAsTable(name)
+    for mode in MODES:
+        out = "job_empty_" + mode.replace("-", "_")
+        jobs.match_job(spark, mode, 20240101, 20240201, 20240131, "some_bids", "some_searches", out)
+        assert spark.table(out).count() == 1
+        for bids, searches, sizes in (("no_bids", "some_searches", (0, 1)), ("some_bids", "no_searches", (1, 0)), ("no_bids", "no_searches", (0, 0))):
+            _, got = jobs.match_job(spark, mode, 20240101, 20240201, 20240131, bids, searches, out)
+            assert (got["bid_words"], got["search_words"]) == sizes
+            assert spark.table(out).count() == (mode == "get-data" and searches == "some_searches")

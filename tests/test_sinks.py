@@ -31,3 +31,14 @@ def test_match_sink_renames(spark):
     df = spark.createDataFrame([("red", 3)], "search_word string, cnt bigint")
     save_match(df, "exact-match", "sink_exact", 20240101)
     assert spark.table("sink_exact").columns == ["keyword", "cnt", "stat_date"]
+
+
+def test_columns_go_by_name(spark):
+    t = "sink_named"
+    save_day(spark.createDataFrame([(1, 10)], "x int, y int"), t, 20240101)
+    save_day(spark.createDataFrame([(20, 2)], "y int, x int"), t, 20240102)
+    assert sorted((r["x"], r["y"]) for r in spark.table(t).collect()) == [(1, 10), (2, 20)]
+    for odd in ("x int", "x int, y int, z int", "x int, y string", "x int, w int"):
+        with pytest.raises(ValueError):
+            save_day(spark.createDataFrame([], odd), t, 20240101)
+    assert spark.table(t).count() == 2

@@ -13,9 +13,12 @@ def test_flatten_stream_matches_batch(spark, tmp_path):
     spark.createDataFrame(logs, ST.ADLOG_SCHEMA).repartition(3).write.parquet(str(src))
     out = tmp_path / "out"
     q = ST.write_days(ST.flatten_stream(ST.adlog_stream(spark, str(src), max_files_per_trigger=1)),
-                      str(out), "flatten_test")
+                      str(out), str(tmp_path / "checkpoint"))
     q.processAllAvailable()
     q.stop()
+    again = ST.write_days(ST.flatten_stream(ST.adlog_stream(spark, str(src))), str(out), str(tmp_path / "checkpoint"))
+    again.processAllAvailable()  # a restart with the same checkpoint appends nothing twice
+    again.stop()
     got = spark.read.parquet(str(out))
     batch = A.flatten_ads(spark.read.parquet(str(src)), keep=["stat_date"])
     assert got.count() == 13

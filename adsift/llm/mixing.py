@@ -72,6 +72,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per document: its place, id, source, size, source_size, target and copies."""
     slim = with_row_key(docs, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                         word_count(F.col(text_col)).alias("size"))
+    # Written first, as range partitioning reads its input twice: once to find the ranges.
+    slim = write_table(slim, "mix-sizes")
     # Written with the partition numbers, so that both uses below see the same ones.
     ranged = write_table(slim.repartitionByRange(F.col("source").asc_nulls_last(), "size", F.col("doc_id").asc_nulls_last(), FILE, ROW)
                          .withColumn("part", F.spark_partition_id()), "mix-ranged")

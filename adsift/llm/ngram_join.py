@@ -43,6 +43,7 @@ BLOCK_MEMBERS = 1024
 BLOCK_SHINGLES = 2 << 20
 TEXT_STEP = 1 << 20
 SPARSE = 32
+PAIRS_HELD = 2 << 20
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -176,19 +177,32 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     _, at, weight = np.unique(pattern, return_index=True, return_counts=True)
     first, held = first[at], held[at]
     few, lacking = held <= SPARSE, (m - held <= SPARSE) & (held > SPARSE)
-    pairs, worth = [], []
-    alone = np.zeros(m)
+    # A pair holds a shingle that few lack unless one of the two lacks it: 1 - a - b + ab.
+    everywhere, alone = 0, np.zeros(m)
+    pairs, worth, waiting = [], [], 0
+
+    def count():
+        nonlocal common, waiting
+        if pairs:
+            common += np.bincount(np.concatenate(pairs), np.concatenate(worth), m * m).reshape(m, m)
+        pairs.clear(), worth.clear()
+        waiting = 0
+
     for k in np.flatnonzero(few | lacking):
         own = owner[first[k] : first[k] + held[k]]
         if lacking[k]:
-            own = np.setdiff1d(np.arange(m), own, assume_unique=True)
-            common += weight[k]
+            lacks = np.ones(m, bool)
+            lacks[own] = False
+            own = np.flatnonzero(lacks)
+            everywhere += weight[k]
             alone[own] += weight[k]
         pairs.append((own[:, None] * m + own).ravel())
         worth.append(np.full(len(own) ** 2, weight[k], np.float64))
-    if pairs:
-        common += np.bincount(np.concatenate(pairs), np.concatenate(worth), m * m).reshape(m, m)
-        common -= alone[:, None] + alone
+        waiting += len(own) ** 2
+        if waiting > PAIRS_HELD:
+            count()
+    count()
+    common += everywhere - alone[:, None] - alone
     rest = np.flatnonzero(~few & ~lacking)
     for step in range(0, len(rest), 4096):
         part = rest[step : step + 4096]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +14,19 @@ from ..plans.strategy import write_table
 FILE, ROW = "row_file", "row_index"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, behind whatever path they already have.
+
+    Of use where neither an installation nor shipped files provide it, as in a local session started from another folder.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -23,6 +38,7 @@ def with_row_key(df: DataFrame, *columns: Column) -> DataFrame:
     written to the shared folder first.
     """
     def keyed(frame: DataFrame) -> DataFrame:
+        importable(frame.sparkSession)
         meta = frame.metadataColumn("_metadata")
         return frame.select(*columns, meta["file_path"].alias(FILE), meta["row_index"].alias(ROW))
 

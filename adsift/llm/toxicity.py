@@ -276,8 +276,9 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float | None = None
     seen = []
     for text in texts:
         parts = list(buckets_of(text))
-        seen.append({t: np.unique(np.concatenate([p[k] for p in parts])) if parts else np.zeros(0, np.int64) for k, t in enumerate(TABLES)})
+        seen.append({t: np.unique(np.concatenate([p[k] for p in parts])).astype(np.int32) if parts else np.zeros(0, np.int32) for k, t in enumerate(TABLES)})
     counts = counted(seen, labels, folds)
+    del seen
     rates = [float(labels[folds != f].mean()) if (folds != f).any() else toxic for f in range(FOLDS)]
     tables = [{t: log_odds(counts[t].sum(axis=0) - counts[t][f], min(max(rates[f], 1e-3), 1 - 1e-3)) for t in TABLES} for f in range(FOLDS)]
     x = [inputs_of(text, tables[f]) for text, f in zip(texts, folds, strict=True)]
@@ -288,6 +289,8 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float | None = None
     laid = [laid_out(v, windows_of(len(v))) for v in x]
     doc = np.repeat(np.arange(len(x)), [p.shape[1] for p, _ in laid])
     every, size = np.concatenate([p for p, _ in laid], axis=1), np.concatenate([s for _, s in laid])
+    docs = len(x)
+    del x, laid, tables
     network = Network.new(rng)
     model = Model({}, network, share=share)
     first = {k: np.zeros_like(v) for k, v in network.p.items()}
@@ -314,7 +317,7 @@ def fit(texts: list[bytes], labels: np.ndarray, toxic_share: float | None = None
                 second[name] = 0.99 * second[name] + 0.01 * grad**2
                 step = rate * (first[name] / (1 - 0.9**n)) / (np.sqrt(second[name] / (1 - 0.99**n)) + 1e-6)
                 network.p[name] = (network.p[name] - step).astype(np.float32)
-    worst = np.full(len(x), -np.inf)
+    worst = np.full(docs, -np.inf)
     np.maximum.at(worst, doc, hope)
     model.scale, model.shift = calibrate(worst, labels, importance)
     model.tables = {t: log_odds(counts[t].sum(axis=0), toxic) for t in TABLES}

@@ -248,7 +248,7 @@ def shard_starts(shards: DataFrame) -> DataFrame:
 
 
 def new_folder(spark: SparkSession) -> str:
-    return scratch_dir(spark, f"token-shards-{uuid.uuid4().hex}")
+    return scratch_dir(spark, f"tables/token-shards-{uuid.uuid4().hex}")
 
 
 def digests(spark: SparkSession, shards: DataFrame, folder: str) -> DataFrame:

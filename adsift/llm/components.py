@@ -4,8 +4,8 @@ Large-star and small-star steps in turn: in a large star every node hangs its
 larger neighbours under its smallest one, in a small star the smaller ones.
 The edges end as stars around each component's smallest node. A node's
 smallest neighbour is an aggregate (combined before the shuffle) that is
-joined back, so no list of neighbours is ever held, and AQE splits a hot
-centre's rows. Each round is written to shared storage, which cuts lineage.
+written and joined back, so no list of neighbours is ever held, and AQE splits
+a hot centre's rows. Each round is written to shared storage, which cuts lineage.
 """
 
 from __future__ import annotations
@@ -22,13 +22,13 @@ def _state(edges: DataFrame):
 
 def large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy(F.col("u").alias("c")).agg(F.min(F.least("u", "v")).alias("m"))
+    least = write_table(both.groupBy(F.col("u").alias("c")).agg(F.min(F.least("u", "v")).alias("m")), "smallest")
     return both.where("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def small_star(edges: DataFrame) -> DataFrame:
     """Edges point from the larger node ``u`` to the smaller ``v``."""
-    least = edges.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m"))
+    least = write_table(edges.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")), "smallest")
     moved = edges.join(least, F.col("u") == F.col("c")).where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select(F.col("c").alias("u"), F.col("m").alias("v"))).distinct()
 
@@ -39,7 +39,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = write_table(directed, "edges")
     state = _state(now)
     while state[0]:
-        now = write_table(small_star(large_star(now)), "edges")
+        now = write_table(small_star(write_table(large_star(now), "edges")), "edges")
         after = _state(now)
         if after == state:
             break

@@ -295,7 +295,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 
     members = sets.join(found, F.col("set_id") == F.col("node")).select("set_id", "who", "copies", "n", F.col("root").alias("comp"))
     weighed = members.groupBy(F.col("comp").alias("c")).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
-    split = weighed.select("c", F.greatest(F.ceil(F.col("m") / block_members), F.ceil(F.col("all") / block_shingles)).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.col("m") / block_members), F.ceil(F.col("all") / block_shingles)).cast("int")
+    # Written, as AQE splits a hot key only of a join that stands right on its shuffles; so are the heads below.
+    split = write_table(weighed.select("c", blocks.alias("blocks")), "blocks")
     wanted = write_table(members.join(split, F.col("comp") == F.col("c")).select("set_id", "who", "copies", "comp", "blocks"), "candidates")
     texts = with_row_key(docs, normalised(F.col(text_col)).cast("binary").alias("text"))
     small = F.broadcast(wanted) if fits_broadcast(wanted.select("set_id", "comp", "who.f")) else wanted
@@ -314,7 +316,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
              .join(counted, F.col("set_id") == F.col("t"), "left")
              .select("set_id", "who", F.coalesce("root", "set_id").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     named = write_table(named, "classes")
-    heads = named.groupBy(F.col("root").alias("g")).agg(F.min("who").alias("head"))
+    heads = write_table(named.groupBy(F.col("root").alias("g")).agg(F.min("who").alias("head")), "heads")
     named = named.join(heads, F.col("root") == F.col("g")).select(F.col("set_id").alias("s"), "head", "n_links")
     joined = signed.select("doc_id", FILE, ROW, "set_id").join(named, F.col("set_id") == F.col("s"), "left")
     kept = F.col("head").isNull() | ((F.col("head.f") == F.col(FILE)) & (F.col("head.r") == F.col(ROW)))

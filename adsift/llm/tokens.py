@@ -10,24 +10,60 @@ and joins the pieces' ids. Cuts are made only where they can't matter:
 * with longer runs of them, before every run;
 * a text with any other white space is encoded in one go.
 
+New pieces of ASCII letters alone, or with a full stop or comma after them, are
+one word for the pre-tokenizer, so they go straight to the library's model. The
+cache has two generations: when the young one is full it becomes the old one,
+and what is used again moves on.
+
 This holds for byte-level pre-tokenizers with the usual pattern (a word takes
 one space before it along) and for those that drop white space.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 from functools import lru_cache
-from itertools import chain
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000  # in each generation
 LONGEST_CACHED = 64
 OTHER_SPACE = re.compile(r"[^\S \n]")
 BY_RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
+class Cache:
+    """Ids by piece, bounded by two generations."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def find(self, pieces: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """(ids or None of each piece, places of None). Known pieces are looked up in C alone."""
+        found = list(map(self.young.get, pieces))
+        lost = [i for i, ids in enumerate(found) if ids is None]
+        if self.old and lost:
+            get, still = self.old.get, []
+            for i in lost:
+                found[i] = ids = get(pieces[i])
+                if ids is None:
+                    still.append(i)
+                else:
+                    self.put(pieces[i], ids)
+            lost = still
+        return found, lost
+
+    def put(self, piece: str, ids: bytes) -> None:
+        if len(piece) > LONGEST_CACHED:
+            return
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[piece] = ids
+
+
 class Encoder:
     """``encode`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -37,12 +73,9 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.most = most
-        self.first: dict[str, bytes] = {}  # pieces as they are
-        self.spaced: dict[str, bytes] = {}  # pieces that follow a space
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        self.shape = self._shape(json.loads(self.library.to_str()))
+        self.stops = {stop: self._library("", [stop])[stop] for stop in ".,"}
+        self.first, self.spaced = Cache(most), Cache(most)  # pieces as they are, and those that follow a space
 
     @staticmethod
     def cut(text: str) -> tuple[list[str], list[str]]:
@@ -56,29 +89,62 @@ class Encoder:
         parts = text.split(" ")
         return parts[:1], parts[1:]
 
-    def _learn(self, known: dict[str, bytes], lead: str, wanted: set[str]) -> dict[str, bytes]:
-        """Ids of the pieces that aren't cached; short ones stay in the cache."""
-        new = [p for p in wanted if p not in known]
-        got = dict(zip(new, self._ids([lead + p for p in new]), strict=True)) if new else {}
-        if len(known) + len(got) > self.most:
-            known.clear()
-        known.update((p, ids) for p, ids in got.items() if len(p) <= LONGEST_CACHED)
-        return got
+    @staticmethod
+    def _shape(spec: dict):
+        """How the model gets a word of ASCII letters, for the two kinds of pre-tokenizers; None for any other."""
+        before, normal = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+        if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and normal is None:
+            return lambda lead, word: "\u0120" + word if lead else word
+        steps = [(s["type"], s.get("behavior")) for s in before.get("pretokenizers", [])]
+        lowers = [s["type"] for s in (normal or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        if steps == [("Split", "Removed"), ("ByteLevel", None)] and lowers:
+            return lambda lead, word: word.lower()
+        return None
+
+    def _library(self, lead: str, pieces: list[str]) -> dict[str, bytes]:
+        encoded = self.library.encode_batch_fast([lead + p for p in pieces], add_special_tokens=False) if pieces else ()
+        return {p: array("I", e.ids).tobytes() for p, e in zip(pieces, encoded, strict=True)}
+
+    def _new(self, cache: Cache, lead: str, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that the cache lacks, which it learns."""
+        out, others = {}, []
+        shape, tokenize, known = self.shape, self.library.model.tokenize, cache.young.get
+        for p in pieces:
+            word = p[:-1] if p[-1:] in self.stops else p
+            if shape is None or not (word.isascii() and word.isalpha() and len(word) <= LONGEST_CACHED):
+                others.append(p)
+                continue
+            ids = known(word) if word is not p else None
+            if ids is None:
+                ids = array("I", [t.id for t in tokenize(shape(lead, word))]).tobytes()
+            out[p] = ids if word is p else ids + self.stops[p[-1]]
+        out |= self._library(lead, others)
+        for p, ids in out.items():
+            cache.put(p, ids)
+        return out
+
+    def _all(self, cache: Cache, lead: str, pieces: list[str]) -> list[bytes]:
+        found, lost = cache.find(pieces)
+        if lost:
+            new = self._new(cache, lead, {pieces[i] for i in lost})
+            for i in lost:
+                found[i] = new[pieces[i]]
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [self.cut(t) for t in texts]
-        found = [(list(map(self.first.get, a)), list(map(self.spaced.get, b))) for a, b in cuts]
-        lost_a = {p for (a, _), (x, _) in zip(cuts, found, strict=True) if None in x for p, ids in zip(a, x, strict=True) if ids is None}
-        lost_b = {p for (_, b), (_, y) in zip(cuts, found, strict=True) if None in y for p, ids in zip(b, y, strict=True) if ids is None}
-        new_a = self._learn(self.first, "", lost_a) if lost_a else {}
-        new_b = self._learn(self.spaced, " ", lost_b) if lost_b else {}
-        out = []
-        for (a, b), (x, y) in zip(cuts, found, strict=True):
-            if None in x:
-                x = [new_a[p] if ids is None else ids for p, ids in zip(a, x, strict=True)]
-            if None in y:
-                y = [new_b[p] if ids is None else ids for p, ids in zip(b, y, strict=True)]
-            out.append(b"".join(chain(x, y)))
+        firsts: list[str] = []
+        spaced: list[str] = []
+        ends = []
+        for text in texts:  # the pieces of all texts in two lists, so that each is looked up in one go
+            a, b = self.cut(text)
+            firsts += a
+            spaced += b
+            ends.append((len(firsts), len(spaced)))
+        x, y = self._all(self.first, "", firsts), self._all(self.spaced, " ", spaced)
+        out, i, j = [], 0, 0
+        for to_i, to_j in ends:
+            out.append(b"".join(x[i:to_i] + y[j:to_j]))
+            i, j = to_i, to_j
         return out
 
 

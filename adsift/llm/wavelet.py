@@ -81,9 +81,11 @@ class WaveletMatrix:
         x = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         planes = []
         for k in reversed(range(levels)):
-            ones = (x >> k & 1).view(np.uint16 if levels <= 16 else np.uint32).astype(bool)
+            ones = (x >> k & 1).astype(bool)
             packed = np.packbits(ones)
-            whole = np.add.reduceat(ones, np.arange(0, n, BLOCK), dtype=np.int64) if n else np.zeros(0, np.int64)
+            blocks = np.zeros(-(-n // BLOCK) * BLOCK // 8, np.uint8)
+            blocks[: len(packed)] = packed
+            whole = np.bitwise_count(blocks).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
             counts = np.concatenate([[0], np.cumsum(whole)]).astype(np.uint32)
             zeros = n - int(counts[-1])
             planes.append(Plane(packed, counts, n, zeros))

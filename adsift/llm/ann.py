@@ -15,8 +15,8 @@ product along its path (the normal distribution is taken as logistic, and c is
 what sample vectors have to their nearest ones in the sample). The search ends
 when the leaves taken hold the wanted number of vectors. Leaves are dealt
 out with their vectors, the query goes to each of its leaves, and the leaf
-candidates are ranked by their exact cosine there; only the best of each leaf
-travel on.
+candidates are ranked by their exact cosine there; each task merges the best of
+its leaves, and only the best of a task travel on.
 
 Equal vectors are one point that keeps the smallest ids it can need, so a
 vector held by a third of all rows is one point. A leaf above ``most_points``
@@ -51,6 +51,7 @@ LEAF_POINTS = 128
 SEARCH_SHARE = 0.5
 SEARCH_LEAST = 4096
 MOST_POINTS = 4096
+QUERIES_HELD = 20_000  # whose best points a task holds before it gives them
 NEAREST = 5
 SEED = 7
 
@@ -191,16 +192,25 @@ RANKED = pa.schema([("query", pa.int64()), ("point", pa.int64()), ("score", pa.f
 
 
 def rerank(rows: DataFrame, best: int) -> DataFrame:
-    """Rows in order of (cell, chunk, kind), points before queries -> each query's best points of the cell."""
+    """Rows in order of (cell, chunk, kind), points before queries -> each query's best points of the task's cells."""
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, points, vectors, ids = None, [], [], []
         block = None
+        held: dict[int, dict[int, tuple[float, list[int]]]] = {}  # by query and point, as trees share points
+
+        def trimmed(found: dict[int, tuple[float, list[int]]]) -> dict[int, tuple[float, list[int]]]:
+            return dict(sorted(found.items(), key=lambda f: (-f[1][0], f[1][1][0]))[:best])
+
+        def told() -> Iterator[pa.RecordBatch]:
+            out = [(q, p, score, own) for q, found in held.items() for p, (score, own) in trimmed(found).items()]
+            held.clear()
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), RANKED, strict=True)], schema=RANKED)
 
         for batch in batches:
             cells, chunk, kind, point = (batch.column(i).to_numpy() for i in range(4))
             cuts = np.flatnonzero((np.diff(cells) != 0) | (np.diff(chunk) != 0) | (np.diff(kind) != 0)) + 1
             x = _matrix(batch.column(4))
-            out: list[tuple] = []
             for a, b in zip([0, *cuts], [*cuts, len(cells)], strict=True):
                 if a == b:
                     continue
@@ -224,10 +234,14 @@ def rerank(rows: DataFrame, best: int) -> DataFrame:
                     edge = np.partition(scores[i], len(names) - take)[len(names) - take]
                     near = np.flatnonzero(scores[i] >= edge - 1e-12)
                     exact = (unit[near] * q[i]).sum(axis=1)
+                    found = held.setdefault(int(point[a + i]), {})
                     for j in np.lexsort((least[near], -exact))[:take]:
-                        out.append((int(point[a + i]), int(names[near[j]]), float(exact[j]), own[near[j]]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), RANKED, strict=True)], schema=RANKED)
+                        found[int(names[near[j]])] = (float(exact[j]), own[near[j]])
+                    if len(found) > 8 * best:
+                        held[int(point[a + i])] = trimmed(found)
+            if len(held) > QUERIES_HELD:
+                yield from told()
+        yield from told()
 
     return rows.mapInArrow(ranked, "query long, point long, score double, ids array<long>")
 

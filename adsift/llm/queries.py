@@ -23,7 +23,7 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.label_documents(*licenses.scan(table(spark, sf_dir, "documents")))
+    return licenses.label_documents(*licenses.scan(table(spark, sf_dir, "documents"), across=licenses.TEMPLATES + licenses.NOTICES))
 
 
 def op3_patricia_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,10 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -62,8 +65,23 @@ PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[
 SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
 ACCESS = re.compile(r"\bAKIA[0-9A-Z]{16}\b")
-SECRET = re.compile(r"(?i)\b(?:password|passwd|secret|token|api_?key)\s*[=:]\s*([^\s,;]+)")
-NAME = re.compile(r"\b(" + "|".join(TITLES) + r")\.? ([^\W\d_a-zа-я][^\W\d_]*(?:[ -][^\W\d_a-zа-я][^\W\d_]*)?)")
+# The key word may stand within a longer name and in quotes; a value in quotes reaches to the closing one.
+SECRET = re.compile(r"""(?i)(?:password|passwd|secret|token|api[_-]?key)(?:s|[_.-][\w.-]{0,40}|(?-i:[A-Z0-9])\w{0,40})?\\*["']?\s*(?:=>|[=:])\s*"""
+                    r"""(?:(?P<quote>\\*["'])(?P<quoted>[^\n]{1,4096}?)(?P=quote)|\\*["']?(?P<plain>[^\s,;]+))""")
+
+
+def char_class(holds) -> str:
+    """Ranges of a character class of the characters that ``holds`` is true for."""
+    codes = [i for i in range(sys.maxunicode + 1) if holds(chr(i))]
+    runs = [(a, b) for a, b in zip([i for i, before in zip(codes, [-2, *codes]) if i != before + 1],
+                                   [i for i, after in zip(codes, [*codes[1:], -2]) if after != i + 1], strict=True)]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
+
+
+# Vowel signs and other marks belong to a word, and so do the joiners between them.
+MARKS = char_class(lambda c: unicodedata.category(c)[0] == "M") + "\u200c\u200d"
+PART = rf"[^\W\d_a-zа-я](?:[^\W\d_]|[{MARKS}])*"
+NAME = re.compile(r"\b(" + "|".join(TITLES) + rf")\.? ({PART}(?:[ -]{PART})?)")
 DIGIT = re.compile(r"\d")
 
 
@@ -80,8 +98,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical value) of the mentions, in order and apart from each other."""
     found: list[tuple[int, int, str]] = []
 
-    def add(kind: str, pattern: re.Pattern, group: int = 0):
-        found.extend((*m.span(group), kind) for m in pattern.finditer(text))
+    def add(kind: str, pattern: re.Pattern):
+        found.extend((*m.span(), kind) for m in pattern.finditer(text))
 
     if "@" in text:
         add("email", EMAIL)
@@ -91,7 +109,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if "AKIA" in text:
         add("access", ACCESS)
     if "=" in text or ":" in text:
-        add("secret", SECRET, 1)
+        found.extend((*m.span("quoted" if m["quoted"] else "plain"), "secret") for m in SECRET.finditer(text))
     if any(t in text for t in TITLES):
         parts: dict[str, str] = {}
         for m in NAME.finditer(text):
@@ -101,7 +119,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                 parts.setdefault(name, f"name-{gender}")
         parts |= {name.upper(): kind for name, kind in parts.items() if len(name) > 2 and name.upper() not in parts}
         if parts:
-            alone = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(parts, key=lambda p: (-len(p), p)))) + r")(?!\w)")
+            alone = re.compile(rf"(?<![\w{MARKS}])(?:" + "|".join(map(re.escape, sorted(parts, key=lambda p: (-len(p), p)))) + rf")(?![\w{MARKS}])")
             found += [(*m.span(), parts[m[0]]) for m in alone.finditer(text)]
     taken, out = [], []
     for start, end, kind in sorted(found, key=lambda f: (f[0] - f[1], f[0], f[2])):
@@ -114,8 +132,8 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
 class Draw:
     """Keyed choices for one entity and attempt."""
 
-    def __init__(self, key: str, kind: str, value: str, attempt: int):
-        self.seed = hmac.new(key.encode(), f"{kind}\0{value}\0{attempt}".encode(), hashlib.sha256).digest()
+    def __init__(self, key: str, kind: str, value: str, attempt: int, again: int = 0):
+        self.seed = hmac.new(key.encode(), (f"{kind}\0{value}\0{attempt}" + (f"\0{again}" if again else "")).encode(), hashlib.sha256).digest()
         self.block, self.held = 0, b""
 
     def below(self, n: int) -> int:
@@ -127,17 +145,45 @@ class Draw:
 
     def letter(self, c: str) -> str:
         """A letter or digit of the same script and case."""
-        if c.isdigit():
+        if c.isdecimal():
             return str(self.below(10)) if c.isascii() else chr(ord(c) - int(c) + self.below(10))
         low = c.lower()
         for first, last in (("a", "z"), ("а", "я"), *RANGES):
             if first <= low <= last:
                 new = chr(ord(first) + self.below(ord(last) - ord(first) + 1))
                 return new.upper() if c.isupper() else new
-        if c.isalpha() and len(low) == 1 and ord(low) < 0x250:
+        family = family_of(c)
+        if family is None:
+            return c
+        letters = families()[family]
+        if family[0] == "LATIN" or len(letters) < 2:
             new = chr(ord("a") + self.below(26))
             return new.upper() if c.isupper() else new
-        return c
+        return letters[self.below(len(letters))]
+
+
+def family_of(c: str) -> tuple | None:
+    """(script, case, mark or not) of a letter or of a script's own mark; None for any other character."""
+    mark = unicodedata.category(c)[0] == "M"
+    if not (mark or c.isalpha()):
+        return None
+    name = unicodedata.name(c, "")
+    if mark and (not name or name.startswith(("COMBINING", "VARIATION"))):
+        return None
+    # Letters without a name: their 128 code points.
+    return (SCRIPT_END.split(name)[0] if name else str(ord(c) >> 7), c.isupper(), c.islower(), mark)
+
+
+SCRIPT_END = re.compile(r" (?:CAPITAL|SMALL|LETTER|SYLLABLE|SYLLABICS|CHARACTER|VOWEL|CONSONANT|LIGATURE|IDEOGRAPH|SIGN|MARK|HIEROGLYPH|MODIFIER)\b")
+
+
+@lru_cache(maxsize=1)
+def families() -> dict[tuple, list[str]]:
+    out: dict[tuple, list[str]] = {}
+    for i in range(sys.maxunicode + 1):
+        if (family := family_of(chr(i))) is not None:
+            out.setdefault(family, []).append(chr(i))
+    return out
 
 
 def check_digit(digits: str) -> str:
@@ -151,8 +197,18 @@ def script(word: str) -> str:
 
 
 def surrogate(key: str, kind: str, value: str, attempt: int) -> str:
-    """Canonical surrogate of an entity."""
-    draw = Draw(key, kind, value, attempt)
+    """Canonical surrogate of an entity, which does not hold the value."""
+    for again in range(16):
+        new = drawn(key, kind, value, attempt, again)
+        if value not in new and value not in new.lower():
+            return new
+    # No character of the value can be drawn, as in a secret of signs alone: letters in their places.
+    draw = Draw(key, kind, value, attempt, 16)
+    return "".join(draw.letter("q") for _ in range(len(value) + max(0, attempt - GROW_AFTER)))
+
+
+def drawn(key: str, kind: str, value: str, attempt: int, again: int) -> str:
+    draw = Draw(key, kind, value, attempt, again)
     grown = max(0, attempt - GROW_AFTER)
     if kind.startswith("name-") and script(value) != "other":
         s, gender = script(value), kind[-1]
@@ -203,7 +259,7 @@ def mentions(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, value), all different -> (kind, value, surrogate): different ones within a kind, none of them an entity's value."""
-    def drawn(attempt: int):
+    def drawing(attempt: int):
         @F.pandas_udf("string")
         def draw(kind: pd.Series, value: pd.Series) -> pd.Series:
             return pd.Series([surrogate(key, k, v, attempt) for k, v in zip(kind, value, strict=True)], dtype=object)
@@ -214,7 +270,7 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     taken = entities.select(F.col("kind").alias("k"), F.col("value").alias("s"))
     settled, pending, attempt = None, entities, 0
     while not pending.isEmpty():
-        tried = write_table(pending.select("kind", "value", drawn(attempt).alias("surrogate")), "drawn")
+        tried = write_table(pending.select("kind", "value", drawing(attempt).alias("surrogate")), "drawn")
         free = tried.join(taken, (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("s")), "left_anti")
         if settled is not None:
             used = settled.select(F.col("kind").alias("k"), F.col("surrogate").alias("s"))

@@ -94,3 +94,33 @@ def test_any_text(text, attempt):
         assert start >= end and stop > start
         end = stop
         surrogates.styled(text[start:stop], kind, surrogates.surrogate("k", kind, value, attempt))
+
+
+def test_secrets_under_longer_and_quoted_names(docs):
+    texts = ["client_secret=Zx81kk0pq1", "access_token: tk-99aa88", "db_password = hunter2xx", '{"password": "correct horse, 7"}', "'apiKey': 'AbC-12345'",
+             "X-Api-Key: 77fe0a", "secret_key=>k3yk3y", '{\\"clientSecret\\":\\"esc4ped1\\"}', "PASSWORD='open12", "token=!?%$", "token=a²b7c"]
+    values = ["Zx81kk0pq1", "tk-99aa88", "hunter2xx", "correct horse, 7", "AbC-12345", "77fe0a", "k3yk3y", "esc4ped1", "open12", "!?%$", "a²b7c"]
+    out = run(docs, texts)
+    for i, value in enumerate(values):
+        assert [(k, v) for *_, k, v in surrogates.detect(texts[i])] == [("secret", value)]
+        assert value not in out[i]["text"] and out[i]["kinds"] == "secret", texts[i]
+    assert re.fullmatch(r'\{"password": "[a-z]{7} [a-z]{5}, \d"\}', out[3]["text"])
+
+
+# Thai, Tamil, Bengali, Georgian (capital), Ethiopic, Khmer, Telugu, Sinhala, Armenian, Vietnamese, Cherokee, Yi, Tangut.
+NAMES = ["สมชาย", "สมศักดิ์", "முருகன்", "রবীন্দ্রনাথ", "राजेश", "ᲒᲘᲝᲠᲒᲘ", "አበበ", "សុខា", "వెంకట", "සුනිල්", "Արմեն", "Nguyễn", "ᏣᎳᎩ", "ꆈꌠ", "\U00017000\U00017001"]
+
+
+def test_names_of_every_script(docs):
+    texts = [f"Dr. {name} came. {name} left." for name in NAMES]
+    out = run(docs, texts)
+    for i, name in enumerate(NAMES):
+        new = re.fullmatch(r"Dr\. (.+) came\. (.+) left\.", out[i]["text"])
+        assert new and new[1] == new[2] and name not in new[1] and out[i]["n_entities"] == 2, (name, out[i]["text"])
+    for name in NAMES:
+        if surrogates.script(name) == "other" and name != "Nguyễn":
+            for attempt in range(10):
+                new = surrogates.surrogate("k", "name-n", name.lower(), attempt)
+                assert name.lower() not in new
+                block = {surrogates.family_of(c)[0] for c in name.lower() if surrogates.family_of(c)}
+                assert {surrogates.family_of(c)[0] for c in new if surrogates.family_of(c)} <= block, (name, new)

@@ -61,7 +61,24 @@ RANGES = (("α", "ω"), ("א", "ת"), ("ا", "ي"), ("ぁ", "ん"), ("ァ", "ン
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)")
 CARD = re.compile(r"(?<![\d-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\d-])")
-PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}[ .-]\d{2,5}(?:[ .-]\d{2,4})?(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w)")
+# With a plus or a bracketed area code, in a national grouping (North America, France, United Kingdom, Germany), or after a word that
+# tells one. Other rows of number groups are no phones, and neither are dates.
+PHONE = re.compile(r"""(?<![\w+])(?<!\d[.-])(?:
+    (?:\+?1[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}
+  | \+1[ .-]?\d{3}[ .-]?\d{3}[ .-]?\d{4}
+  | \+(?=(?:[ .()-]{0,2}\d){7})\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,5}(?:[ .-]\d{2,8}){1,5}
+  | \+\d{8,15}
+  | \((?:\d{2,3}|0\d{2,5})\)[ .-]?\d{3,8}(?:[ .-]\d{2,5}){0,3}
+  | (?:1[.-])?[2-9]\d{2}([.-])\d{3}\1\d{4}
+  | (?<!\d[ ])0[1-9]([ .-])\d{2}\2\d{2}\2\d{2}\2\d{2}(?![ .-]\d)
+  | (?<!\d[ ])0\d{2,4}[ -]\d{3,4}[ -]\d{3,4}(?![ .-]\d)
+  | (?<!\d[ ])0\d{2,4}[ /-]\d{5,8}(?![ .-]\d)
+  )(?![\w])(?![.-]\d)""", re.VERBOSE)
+CUED = re.compile(r"(?i)\b(?:tel|phone|telephone|telefon|téléphone|teléfono|тел|телефон|call|fax|mobile|mobil|cell|whatsapp)\b[.:]{0,2} ?"
+                  r"((?:\(\d{2,4}\)[ .-]?|\d{2,5}[ .-])\d{2,4}(?:[ .-]\d{2,5}){1,3}|\d{7,12})(?![\w-])(?!\.\d)")
+_DAY, _MONTH = r"(?:0?[1-9]|[12]\d|3[01])", r"(?:0?[1-9]|1[0-2])"
+DATE = re.compile(rf"(?:\d{{4}}([ .-]){_MONTH}\1{_DAY}|{_DAY}([ .-]){_MONTH}\2\d{{4}}|{_MONTH}([ .-]){_DAY}\3\d{{4}})(?!\d)"
+                  rf"|(?:{_DAY}([ .-]){_MONTH}\4\d\d|{_MONTH}([ .-]){_DAY}\5\d\d)$")
 SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
 ACCESS = re.compile(r"\bAKIA[0-9A-Z]{16}\b")
@@ -106,6 +123,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
     if DIGIT.search(text):
         for kind, pattern in (("ip", IP), ("card", CARD), ("phone", PHONE), ("ssn", SSN), ("iban", IBAN)):
             add(kind, pattern)
+        found.extend((*m.span(1), "phone") for m in CUED.finditer(text) if not DATE.match(m[1]) and not SSN.fullmatch(m[1]))
     if "AKIA" in text:
         add("access", ACCESS)
     if "=" in text or ":" in text:

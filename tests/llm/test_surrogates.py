@@ -124,3 +124,22 @@ def test_names_of_every_script(docs):
                 assert name.lower() not in new
                 block = {surrogates.family_of(c)[0] for c in name.lower() if surrogates.family_of(c)}
                 assert {surrogates.family_of(c)[0] for c in new if surrogates.family_of(c)} <= block, (name, new)
+
+
+CLEAN = ["on 2024-01-15 and 12.05.2021, 15 01 2024", "10 20 30 40", "1990 1995 2000", "| 100 200 300 |\n| 400 500 6000 |", "12-34-56 and 1.234.567 or 300 400 5000",
+         "call 2024-01-15 or phone 12.05.2021, fax 01-15-24", "version 10.20.30", "2024-01-15 12:30:45.123", "00 01 02 03 04 05 06", "pages (12) 34 56", "555 123 4567 8901", "from +5 10 20 on"]
+PHONES = ["+1 (873) 555-4781", "+49 30 1234567", "+33 1 23 45 67 89", "+442079460958", "(030) 1234567", "(212) 555-4781", "212-555-4781", "212.555.4781",
+          "01 23 45 67 89", "020 7946 0958", "0171/1234567", "+1 873 555 4781"]
+
+
+def test_dates_and_rows_of_numbers_stay(docs):
+    out = run(docs, CLEAN)
+    assert [(out[i]["text"], out[i]["n_entities"]) for i in range(len(CLEAN))] == [(t, 0) for t in CLEAN]
+
+
+def test_phones_and_social_security_numbers():
+    for phone in PHONES:
+        assert surrogates.detect(f"at {phone}, ok") == [(3, 3 + len(phone), "phone", re.sub(r"\D", "", phone))], phone
+    assert [(k, v) for *_, k, v in surrogates.detect("call 555 123 4567; tel: 612 345 678. 079-05-1120, call 079-05-1121")] == [
+        ("phone", "5551234567"), ("phone", "612345678"), ("ssn", "079051120"), ("ssn", "079051121")]
+    assert [k for *_, k, _ in surrogates.detect("+1 (826) 555-4081 190.137.223.204")] == ["phone", "ip"]

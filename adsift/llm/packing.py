@@ -69,14 +69,14 @@ PACKED = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
 
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> DataFrame:
+         capacity: int = CAPACITY, open_bins: int = OPEN_BINS, specials: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), sequence_id, offset.
 
-    ``vocabulary`` is a file of the tokenizers library that all executors have.
+    ``vocabulary`` is a file of the tokenizers library that all executors have; ``specials`` as for ``tokens.Encoder``.
     """
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = BestFit(capacity, open_bins, TaskContext.get().partitionId() << TASK_BITS)
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, specials).encode
         for batch in batches:
             rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             for group in chunks(rows, BATCH_CHARS, lambda r: len(r[1])):

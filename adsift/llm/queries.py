@@ -40,12 +40,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.placements(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY)))
+    return packing.placements(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY), specials=True))
 
 
 def op7_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = wavelet.new_folder(spark)
-    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY), folder)
+    shards = wavelet.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY), folder, specials=True)
     return wavelet.digests(spark, shards, folder)
 
 

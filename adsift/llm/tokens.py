@@ -8,7 +8,8 @@ and joins the pieces' ids. Cuts are made only where they can't matter:
 * a text whose white space is single spaces and line breaks is cut before
   every space;
 * with longer runs of them, before every run;
-* a text with any other white space is encoded in one go.
+* a text with any other white space is encoded in one go;
+* so is one with the string of a special token, where these count (``specials``).
 
 New pieces of ASCII letters alone, or with a full stop or comma after them, are
 one word for the pre-tokenizer, so they go straight to the library's model. The
@@ -65,15 +66,20 @@ class Cache:
 
 
 class Encoder:
-    """``encode`` gives each text's ids as little-endian unsigned 32-bit bytes."""
+    """``encode`` gives each text's ids as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str, most: int = CACHE_PIECES):
+    With ``specials`` the strings of special tokens get these tokens' ids, as by the library's defaults; else they are ordinary text.
+    """
+
+    def __init__(self, path: str, most: int = CACHE_PIECES, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings are ordinary text
-        self.shape = self._shape(json.loads(self.library.to_str()))
+        self.library.encode_special_tokens = not specials  # else their strings are ordinary text
+        spec = json.loads(self.library.to_str())
+        self.specials = [t["content"] for t in spec.get("added_tokens", [])] if specials else []
+        self.shape = self._shape(spec)
         self.stops = {stop: self._library("", [stop])[stop] for stop in ".,"}
         self.first, self.spaced = Cache(most), Cache(most)  # pieces as they are, and those that follow a space
 
@@ -136,7 +142,7 @@ class Encoder:
         spaced: list[str] = []
         ends = []
         for text in texts:  # the pieces of all texts in two lists, so that each is looked up in one go
-            a, b = self.cut(text)
+            a, b = ([text], []) if any(s in text for s in self.specials) else self.cut(text)
             firsts += a
             spaced += b
             ends.append((len(firsts), len(spaced)))
@@ -149,9 +155,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials: bool = False) -> Encoder:
     """This worker's encoder for a vocabulary file; its cache lives as long as the worker."""
-    return Encoder(path)
+    return Encoder(path, specials=specials)
 
 
 def chunks(items: list, most_chars: int, size) -> list[list]:

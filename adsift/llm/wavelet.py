@@ -192,10 +192,10 @@ SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("name", pa.str
 
 
 def write_shards(docs: DataFrame, vocabulary: str, folder: str, id_col: str = "doc_id", text_col: str = "text",
-                 shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Write the shards of all documents; one row per shard: part, shard, name, docs, tokens."""
+                 shard_tokens: int = SHARD_TOKENS, specials: bool = False) -> DataFrame:
+    """Write the shards of all documents; one row per shard: part, shard, name, docs, tokens. ``specials`` as for ``tokens.Encoder``."""
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encode = TaskContext.get().partitionId(), encoder(vocabulary).encode
+        part, encode = TaskContext.get().partitionId(), encoder(vocabulary, specials).encode
         doc_ids, held, size, shard = [], [], 0, 0
 
         def closed():

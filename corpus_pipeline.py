@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all pieces in sequences of at most 2048 tokens."""
-    return packing.placements(packing.pack(docs, public_tokenizers.path(WORD_VOCABULARY)))
+    return packing.placements(packing.pack(docs, public_tokenizers.path(WORD_VOCABULARY), specials=True))
 
 
 STAGES: list[tuple[str, Stage]] = [

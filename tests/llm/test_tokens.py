@@ -131,3 +131,30 @@ def test_shards(docs, spark):
 def test_no_shards(docs, spark):
     folder = wavelet.new_folder(spark)
     assert wavelet.digests(spark, wavelet.write_shards(docs([]), BYTES, folder), folder).collect() == []
+
+
+SPECIAL = ["foo <|endoftext|> bar", "<|endoftext|>", "a<|startoftext|>b", "x  <|endoftext|>  y", "a\n <|endoftext|>\n b", "a\t<|endoftext|> ", "word " * 3000 + "<|endoftext|> z"]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_special_strings_as_by_the_library(path):
+    from tokenizers import Tokenizer
+
+    plain, encode = Tokenizer.from_file(path), tokens.Encoder(path, most=5, specials=True)
+    for text, data in zip(TEXTS + SPECIAL, encode.encode([t or "" for t in TEXTS + SPECIAL]), strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)[:60]
+
+
+def test_queries_follow_the_library(docs, spark, monkeypatch):
+    """Packing and shards as registered, and the pipeline's last stage."""
+    import corpus_pipeline
+    from adsift.llm import queries
+    from tokenizers import Tokenizer
+
+    table = docs(list(enumerate(SPECIAL)))
+    monkeypatch.setattr(queries, "table", lambda *_: table)
+    for path, out in ((WORDS, queries.op6_best_fit_pack(spark, "")), (WORDS, corpus_pipeline.pack_sequences(spark, table, "")),
+                      (BYTES, queries.op7_wavelet_shards(spark, ""))):
+        plain = Tokenizer.from_file(path)
+        got = {r["doc_id"]: r["ids_crc32"] for r in out.collect() if r["doc_id"] < len(SPECIAL) - 1}
+        assert got == {i: crc([*plain.encode(t, add_special_tokens=False).ids, 0]) for i, t in enumerate(SPECIAL[:-1])}

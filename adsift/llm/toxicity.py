@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.strategy import write_table
 from .ngram_join import BASE, POWERS, mixed, normalised
 
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 2000, 4000, 8000
@@ -336,14 +337,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     totals = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
     if not totals:
         return Model({}, None)
+    # Of rows that qualify alone, so that long texts don't take places in the sample.
+    short = docs.where(F.length(text_col) <= most_chars).select(F.col(id_col).alias("doc"))
+    fitting = write_table(marked.join(short, F.col("id") == F.col("doc"), "left_semi"), "labelled")
     picked = None
     for y, most in ((1, most_toxic), (0, most_clean)):
-        part = marked.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
+        part = fitting.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
         picked = part if picked is None else picked.unionByName(part)
     # At most most_toxic + most_clean ids, so they can be sent to every task.
     found = docs.where(F.length(text_col) <= most_chars).select(F.col(id_col).alias("doc"), normalised(F.col(text_col)).alias("text"))
     rows = found.join(F.broadcast(picked), F.col("doc") == F.col("id")).groupBy("id", "y").agg(F.min("text").alias("text"))
     sample = rows.orderBy(F.xxhash64("id"), "id").toPandas()
+    if sample["y"].nunique() < 2:
+        # Without a text a label tells nothing; with texts of both kinds there must be a network.
+        given = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc"))
+        kinds = {r["y"] for r in marked.join(given, F.col("id") == F.col("doc"), "left_semi").select("y").distinct().collect()}
+        if len(kinds) == 2:
+            raise ValueError(f"documents of both labels exist, but not with texts of at most {most_chars} characters")
     return fit([t.encode() for t in sample["text"]], sample["y"].to_numpy(np.int64), totals.get(1, 0) / sum(totals.values()))
 
 

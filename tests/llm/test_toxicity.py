@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -114,3 +115,17 @@ def test_no_labels_and_no_rows(docs, spark):
     assert toxicity.score(docs([]), model).collect() == []
     clean = spark.createDataFrame([(i, 0, 0) for i in range(9)], "doc_id long, quality int, toxic int")
     assert [r["toxic_score"] for r in toxicity.score(docs([(1, "a")]), toxicity.train(docs([(i, "a") for i in range(9)]), clean)).collect()] == [0.0]
+
+
+def test_sample_is_filled_from_rows_that_qualify(docs, spark, monkeypatch):
+    """Long toxic texts take no places; if all are too long, that is an error and not a model without a network."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, "vile " * (400 if i % 4 < 3 else 4) if i % 2 else "kind words") for i in ids]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y, share: seen.append((len(texts), int(y.sum()))))
+    most = sum(1 for i, t in rows if i % 2 and len(t) < 100) // 2
+    toxicity.train(docs(rows), labels, most_toxic=most, most_clean=5, most_chars=100)
+    assert seen == [(most + 5, most)]
+    with pytest.raises(ValueError, match="both labels"):
+        toxicity.train(docs(rows), labels, most_chars=15)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import ann, exact_dedup, licenses, mixing, ngram_join, packing, surrogates, toxicity, urls, wavelet
+from . import ann, exact_dedup, infill, licenses, mixing, ngram_join, packing, spelling, surrogates, toxicity, urls, warc, wavelet
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,9 +65,26 @@ def op10_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.restore(infill.transform(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op13_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_surrogates, op2_license_scan, op3_patricia_dedup, op4_projection_forest, op5_url_filter, op6_best_fit_pack,
-                                    op7_wavelet_shards, op8_source_mix, op9_ngram_jaccard, op10_toxicity_gru)}
+                                    op7_wavelet_shards, op8_source_mix, op9_ngram_jaccard, op10_toxicity_gru, op11_fill_in_middle,
+                                    op12_spelling_variants, op13_warc_shards)}
 
 
 def _license_sql() -> str:
@@ -164,8 +181,87 @@ select doc_id, size, source_size, target,
 from r join t on r.source is not distinct from t.source"""
 
 
+INFILL_SQL = """
+with d as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || doc_id) as h from documents
+), w as (
+  select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as w, ('0x' || h[1:8])::BIGINT as h1, ('0x' || h[9:16])::BIGINT as h2,
+         ('0x' || h[17:24])::BIGINT as h3, ('0x' || h[25:32])::BIGINT as h4
+  from d
+), c as (
+  select *, len(w) as n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) as a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) as b,
+         case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+              when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from w
+), s as (
+  select doc_id, t, n, form, array_to_string(list_filter(w, lambda x, i: i <= a), '') as p,
+         array_to_string(list_filter(w, lambda x, i: i > a and i <= b), '') as m, array_to_string(list_filter(w, lambda x, i: i > b), '') as e
+  from c
+)
+select doc_id, n::BIGINT as n, form, case when form <> 'plain' then length(p) end::BIGINT as prefix_chars,
+       case when form <> 'plain' then length(m) end::BIGINT as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || e || '<M>' || m else '<S>' || e || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(t) as restored_sha256
+from s"""
+
+
+def _spelling_sql() -> str:
+    letters = "".join(chr(c) for c in range(0xC0, 0x100))
+    # CRC-32 by its table: eight steps of the polynomial for each byte value, then one look-up a byte.
+    shift = "case when {c} % 2 = 1 then xor({c} // 2, 3988292384) else {c} // 2 end"
+    steps = ", ".join(f"s{k + 1} as (select b, {shift.format(c='c')} as c from s{k})" for k in range(8))
+    return f"""
+with recursive s0 as (select b, b::BIGINT as c from range(256) r(b)), {steps},
+tab as materialized (select list(c order by b) as tab from s8),
+run as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[a-z{letters}]+')) as r from documents
+), seen as (
+  select doc_id, r, count(*) as k from run where length(r) >= {spelling.LEAST_CHARS} group by all
+), h as (
+  select r, k, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(doc_id || ':' || r)),
+           lambda i: ('0x' || hex(encode(doc_id || ':' || r))[2 * i + 1 : 2 * i + 2])::BIGINT)),
+           lambda c, x: xor(c // 256, tab[(xor(c % 256, x) + 1)::INT])), 4294967295)::BIGINT as h
+  from seen, tab
+), v as (
+  select case when h % {spelling.SLIP} = 0 then r[1 : h % length(r)] || r[h % length(r) + 2 :] else r end as word, k from h
+), w as materialized (
+  select word, sum(k)::BIGINT as n from v where length(word) >= {spelling.LEAST_CHARS} group by word having sum(k) >= {spelling.LEAST_COUNT}
+), cut as (
+  select word, i, word[1 : i] || word[i + 2 :] as c from (select word, unnest(range(length(word))) as i from w)
+), near as materialized (
+  select x.word, y.word as other from cut x join cut y on x.i = y.i and x.c = y.c and x.word <> y.word
+  union select word, c from cut where c in (select word from w)
+  union select c, word from cut where c in (select word from w)
+), best as (
+  select near.word, count(*) as n_near, arg_min(other, (-w.n, other)) as form, max(w.n) as form_n from near join w on w.word = near.other group by near.word
+), f as materialized (
+  select w.word, w.n, coalesce(n_near, 0) as n_near, case when form_n >= {spelling.RATIO} * w.n then form end as form,
+         case when form_n >= {spelling.RATIO} * w.n then form_n end as form_n
+  from w left join best using (word)
+), up as (
+  select word, word as root, form as onward from f
+  union all select up.word, up.onward, f.form from up join f on f.word = up.onward
+)
+select f.word, f.form, up.root, f.n, f.n_near::BIGINT as n_near, f.form_n::BIGINT as form_n from f join up on f.word = up.word and up.onward is null"""
+
+
+WARC_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h, first_value(page_id) over g as first_id, row_number() over g as k
+  from pages window g as (partition by coalesce(html, '') order by page_id nulls last)
+)
+select page_id, strlen(html)::BIGINT as payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+         ((('0x' || h[(i // 4) * 5 + 1 : (i // 4) * 5 + 5])::BIGINT >> ((3 - i % 4) * 5)) & 31) + 1]), '') as payload_digest,
+       case when k = 1 then 'response' else 'revisit' end as record_type, case when k > 1 then first_id end as refers_to
+from p"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_fill_in_middle": INFILL_SQL,
+        "op12_spelling_variants": _spelling_sql(),
+        "op13_warc_shards": WARC_SQL,
         "op2_license_scan": _license_sql(),
         "op3_patricia_dedup": DEDUP_SQL,
         "op5_url_filter": _url_sql(),

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -46,6 +47,42 @@ def test_any_white_space(path):
     same()
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_of_all_scripts(path):
+    """Words of every script and of random Latin letters, in long texts of single spaces, as the library reads them."""
+    rng, plain = random.Random(8), library(path)
+    letters = {s: [chr(c) for c in range(a, b) if chr(c).isalpha()] for s, a, b in (
+        ("latin", 0x41, 0x7B), ("latin-1", 0xC0, 0x100), ("extended", 0x100, 0x250), ("greek", 0x370, 0x400), ("cyrillic", 0x400, 0x500),
+        ("hebrew", 0x5D0, 0x5EB), ("arabic", 0x620, 0x64B), ("thai", 0xE01, 0xE31), ("kana", 0x3041, 0x3097), ("han", 0x4E00, 0x4F00))}
+    texts = []
+    for _ in range(60):
+        words = ["".join(rng.choice(letters[rng.choice(list(letters)) if rng.random() < 0.2 else rng.choice(("latin", "latin", "latin-1"))])
+                         for _ in range(rng.choice((1, 2, 5, 9, 14, 30)))) + rng.choice(("", "", "", ".", ",", ".\nAb", "\nx", "...", "'s", "\n", "1", "-y")) for _ in range(80)]
+        texts.append(" ".join(words).strip())
+    for buffer in (64, 4 << 20):
+        tokens._powers.cache_clear()
+        was, tokens.BUFFER_BYTES = tokens.BUFFER_BYTES, buffer
+        try:
+            got = tokens.Encoder(path).encode(texts)
+        finally:
+            tokens.BUFFER_BYTES = was
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain(t) for t in texts]
+
+
+def test_documents_equal_the_library(spark):
+    docs = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for path in (BYTES, WORDS):
+        plain = library(path)
+        for text, ids in zip(docs, tokens.Encoder(path).encode(docs), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == plain(text)
+
+
+def test_equal_hashes_are_noticed(monkeypatch):
+    plain = library(BYTES)
+    monkeypatch.setattr(tokens, "BASES", (0, *tokens.BASES))    # all units of a length would be the same
+    assert np.frombuffer(tokens.Encoder(BYTES).encode(["some words here and there"])[0], "<u4").tolist() == plain("some words here and there")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=200), st.integers(1, 6))
 def test_best_fit_against_a_plain_loop(lengths, most):

@@ -8,7 +8,9 @@ token set is a Catalyst expression (JVM-side, whole-stage codegen):
   form one token each.
 
 A mode can also be a function of a column that gives ``array<string>``, such as
-a user's own ``pandas_udf``; the set algebra below is the same.
+a user's own ``pandas_udf``; the set algebra below is the same. Words of
+unspaced text need a dictionary, so they are no expression of a column:
+``operators.segment``, token mode ``lattice`` of the matching modes.
 """
 
 from __future__ import annotations

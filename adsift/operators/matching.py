@@ -7,8 +7,12 @@ the cost follows the number of true candidates and not |queries| x |bids|:
   the number of queries that hold them). A query that holds all of a bid's
   tokens holds the rarest one; one that misses at most one token holds at
   least one of any two.
-* substrings: each bid is keyed by its rarest ``gram``-character substring (a
-  shorter bid by itself). A query that contains a bid contains that key.
+* substrings: each bid is keyed by a substring that few queries hold. Keys
+  begin with ``gram`` characters; where even a bid's rarest one is held by more
+  than ``most_queries`` queries, the bid's substrings of twice the length are
+  counted, and so on up to the bid itself. So a short key never stays common
+  because the log grows, and only what is common is counted at greater length.
+  A query that contains a bid contains its key.
 * bids without a token are held by every query, and the empty bid is contained
   in every one: such pairs need no key. They are dealt out by a salt, so no
   key gathers all queries.
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ..functions.tokens import overlap, substrings, tokens
 from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, write_table
+from .segment import Dictionary, with_words
 
 SEARCH = "search_word"
 BID = "bid_word"
@@ -51,8 +56,10 @@ SALTS = 64
 
 @dataclass(frozen=True)
 class MatchConfig:
-    token_mode: str | Callable[[Column], Column] = "whitespace"
-    gram: int = 3
+    token_mode: str | Callable[[Column], Column] = "whitespace"    # or "lattice", with ``words``
+    words: Dictionary | None = None
+    gram: int = 3               # characters of the shortest keys
+    most_queries: int = 16      # that may hold a key which could grow
     drop_empty_bids: bool = False
     rarest: bool = True
     broadcast_max_rows: int = DEFAULT_MAX_ROWS
@@ -79,7 +86,7 @@ class Sides:
     tokens: int
     token_bytes: int
     grams: int
-    lengths: tuple[int, ...]    # key lengths of the substring index
+    lengths: tuple[int, ...]    # key lengths if keys don't grow
     has_tokenless: bool
     has_empty: bool
 
@@ -101,13 +108,21 @@ def distinct_bids(bids: DataFrame, cfg: MatchConfig) -> DataFrame:
     return b.distinct()
 
 
+def _with_tokens(df: DataFrame, col: str, alias: str, cfg: MatchConfig) -> DataFrame:
+    if cfg.token_mode == "lattice":
+        if cfg.words is None:
+            raise ValueError("token mode lattice needs a dictionary")
+        return with_words(df, col, alias, cfg.words)
+    return df.withColumn(alias, tokens(col, cfg.token_mode))
+
+
 def prepare(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> Sides:
     """Write both sides and count the bids. A NULL search word takes no part."""
-    q = searches.where(F.col(SEARCH).isNotNull())
     row = F.struct(*[F.col(f"`{c}`") for c in searches.columns])
-    q = write_table(q.select(F.monotonically_increasing_id().alias("qid"), F.col(SEARCH).alias("word"),
-                             tokens(SEARCH, cfg.token_mode).alias("qt"), row.alias("row")), "match_queries")
-    b = distinct_bids(bids, cfg).withColumn("bt", tokens("bid", cfg.token_mode)).withColumn("n", F.size("bt"))
+    q = searches.where(F.col(SEARCH).isNotNull()).select(F.col(SEARCH).alias("word"), row.alias("row"))
+    q = _with_tokens(q, "word", "qt", cfg).select(F.monotonically_increasing_id().alias("qid"), "word", "qt", "row")
+    q = write_table(q, "match_queries")
+    b = _with_tokens(distinct_bids(bids, cfg), "bid", "bt", cfg).withColumn("n", F.size("bt"))
     b = write_table(b, "match_bids")
     key_length = F.least(F.length("bid"), F.lit(cfg.gram))
     counts = b.agg(
@@ -153,24 +168,45 @@ def token_candidates(s: Sides, per_bid: int) -> DataFrame:
     return query_tok.join(index, "tok").select("qid", "bid")
 
 
+def _grown_keys(s: Sides) -> tuple[DataFrame, tuple[int, ...]]:
+    """((bid, key), lengths of the keys): each non-empty bid with a substring that few queries hold, or with itself.
+
+    A round counts the substrings of one length, in the bids that are still
+    open and among the queries. A bid is closed with its rarest one if at most
+    ``most_queries`` queries hold it; a bid no longer than the substrings is its
+    own key, as whatever holds that is a match. The rest grows to twice the length.
+    """
+    g, still, closed, lengths = s.cfg.gram, s.bids.where(F.length("bid") > 0).select("bid"), [], set()
+    while True:
+        grams = still.where(F.length("bid") > g).select("bid", F.explode(substrings(F.col("bid"), g)).alias("key"))
+        within = s.fits(s.grams, 4 * g * s.grams)
+        freq = _frequencies(s.queries.select(F.explode(substrings(F.col("word"), g)).alias("key")), grams.select("key").distinct(), "key", within)
+        rank = F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("key"))
+        best = (grams.join(s.bounded(freq, s.grams, 4 * g * s.grams), "key", "left").groupBy("bid").agg(F.min(rank).alias("best"))
+                .select("bid", "best.key", (F.col("best.df") <= s.cfg.most_queries).alias("done")))
+        short = still.where(F.length("bid") <= g).select("bid", F.col("bid").alias("key"), F.lit(True).alias("done"))
+        level = write_table(best.unionByName(short), "match_keys")
+        counts = level.agg(F.collect_set(F.when(F.col("done"), F.length("key"))).alias("lengths"), F.count_if(~F.col("done")).alias("open")).collect()[0]
+        lengths |= set(counts["lengths"])
+        closed.append(level.where("done").select("bid", "key"))
+        if not counts["open"]:
+            break
+        still, g = level.where("not done").select("bid"), 2 * g
+    keys = closed[0]
+    for more in closed[1:]:
+        keys = keys.unionByName(more)
+    return keys, tuple(sorted(lengths))
+
+
 def substring_candidates(s: Sides) -> DataFrame:
     """(qid, bid) of the pairs whose query holds the bid's key; each once."""
-    g, lengths = s.cfg.gram, s.lengths
-    if not lengths:
+    if not s.lengths:
         return s.no_pairs()
-    short = s.bids.where((F.length("bid") > 0) & (F.length("bid") < g)).select("bid", F.col("bid").alias("key"))
-    longer = s.bids.where(F.length("bid") >= g)
-    grams = longer.select("bid", F.explode(substrings(F.col("bid"), g)).alias("gram"))
     if s.cfg.rarest:
-        within = s.fits(s.grams, 4 * g * s.grams)
-        freq = _frequencies(s.queries.select(F.explode(substrings(F.col("word"), g)).alias("gram")),
-                            grams.select("gram").distinct(), "gram", within)
-        rank = F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("gram"))
-        keyed = (grams.join(s.bounded(freq, s.grams, 4 * g * s.grams), "gram", "left")
-                 .groupBy("bid").agg(F.min(rank)["gram"].alias("key")))
+        keyed, lengths = _grown_keys(s)
     else:
-        keyed = longer.select("bid", F.substring("bid", 1, g).alias("key"))
-    keys = s.bounded(keyed.unionByName(short), s.rows, s.text_bytes + 4 * g * s.rows)
+        keyed, lengths = s.bids.where(F.length("bid") > 0).select("bid", F.substring("bid", 1, s.cfg.gram).alias("key")), s.lengths
+    keys = s.bounded(keyed, s.rows, 2 * s.text_bytes)
     held = F.array_distinct(F.concat(*[substrings(F.col("word"), n) for n in lengths]))
     return s.queries.select("qid", F.explode(held).alias("key")).join(keys, "key").select("qid", "bid")
 
@@ -234,9 +270,9 @@ def _pair() -> Column:
     return F.struct(F.col("bid").alias(BID), F.col("tag").cast("int").alias("tag")).cast(PAIR_TYPE)
 
 
-def word_pair_arrays(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+def word_pair_arrays(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT, sides: Sides | None = None) -> DataFrame:
     """Every search row with its sorted (bid_word, tag) list, empty without a pair."""
-    return _with_pairs(prepare(searches, bids, cfg), _pair(), lambda p: F.array_sort(F.collect_list(p)), "pairs")
+    return _with_pairs(sides or prepare(searches, bids, cfg), _pair(), lambda p: F.array_sort(F.collect_list(p)), "pairs")
 
 
 def first_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
@@ -264,9 +300,9 @@ def bidlist_rows(df: DataFrame, json_col: str = "bidlist_json", keep: tuple[str,
     return df.select(*keep, F.inline(parsed["bidlist"]))
 
 
-def word_pair_list(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+def word_pair_list(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT, sides: Sides | None = None) -> DataFrame:
     """(search_word, bidlist) with the text rendering, ``""`` for no match."""
-    return word_pair_arrays(searches, bids, cfg).select(SEARCH, bidlist_text(F.col("pairs")).alias("bidlist"))
+    return word_pair_arrays(searches, bids, cfg, sides).select(SEARCH, bidlist_text(F.col("pairs")).alias("bidlist"))
 
 
 # --------------------------------------------------------------------------- match modes
@@ -276,44 +312,44 @@ def _keep(s: Sides, matched: DataFrame) -> DataFrame:
     return s.queries.join(matched.select("qid").distinct(), "qid", "left_semi").select("row.*")
 
 
-def exact_match(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+def exact_match(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT, sides: Sides | None = None) -> DataFrame:
     """Searches whose keyword equals a bid word (J1): a left-semi equi-join."""
     return searches.join(distinct_bids(bids, cfg).withColumnRenamed("bid", SEARCH), SEARCH, "left_semi")
 
 
-def exact_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+def exact_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT, sides: Sides | None = None) -> DataFrame:
     """Searches that contain some bid word as a substring."""
-    s = prepare(searches, bids, cfg)
+    s = sides or prepare(searches, bids, cfg)
     if s.has_empty:
         return s.queries.select("row.*")
     pairs = substring_candidates(s).join(s.queries.select("qid", "word"), "qid")
     return _keep(s, pairs.where(F.col("word").contains(F.col("bid"))))
 
 
-def token_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+def token_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT, sides: Sides | None = None) -> DataFrame:
     """Searches whose token set holds all tokens of some bid (J3, "syno")."""
-    s = prepare(searches, bids, cfg)
+    s = sides or prepare(searches, bids, cfg)
     if s.has_tokenless:
         return s.queries.select("row.*")
     both = _checked(s, token_candidates(s, 1), "qt")
     return _keep(s, both.where(overlap(F.col("qt"), F.col("bt")) == F.col("n")))
 
 
-def core_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+def core_include(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT, sides: Sides | None = None) -> DataFrame:
     """Searches holding a one-token bid, or all but one token of a longer bid."""
-    s = prepare(searches, bids, cfg)
+    s = sides or prepare(searches, bids, cfg)
     both = _checked(s, token_candidates(s, 2), "qt")
     k, n = overlap(F.col("qt"), F.col("bt")), F.col("n")
     return _keep(s, both.where(((n == 1) & (k == 1)) | ((n > 1) & (k >= n - 1))))
 
 
-def match(mode: str, bids: DataFrame, searches: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """Mode dispatch of the reference's entry point."""
+def match(mode: str, bids: DataFrame, searches: DataFrame, cfg: MatchConfig = DEFAULT, sides: Sides | None = None) -> DataFrame:
+    """Mode dispatch of the reference's entry point (F5). ``sides``: what ``prepare`` wrote of these inputs, to share it."""
     modes = {"exact-match": exact_match, "exact-include": exact_include, "syno-include": token_include,
              "core-include": core_include, "get-data": word_pair_list}
     if mode not in modes:
         raise ValueError(f"unknown match mode {mode!r}; expected one of {MODES}")
-    return modes[mode](searches, bids, cfg)
+    return modes[mode](searches, bids, cfg, sides)
 
 
 def coverage(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:

@@ -80,18 +80,30 @@ def epoch_ms(ts_ntz: Column | str) -> Column:
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
+def local_time(ms: Column | str, zone: Column | str) -> Column:
+    """Epoch ms -> wall-clock timestamp (timestamp_ntz) in a zone, daylight-saving steps included.
+
+    ``zone`` is a zone's name or a column of names. Independent of the session time zone.
+    """
+    instant = F.timestamp_add("MILLISECOND", _ms(ms).cast("bigint"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone) if isinstance(zone, str) else zone, instant)
+
+
 def utc_hour(ms: Column | str) -> Column:
     return F.pmod(F.floor(_ms(ms) / F.lit(MS_PER_HOUR)), F.lit(24))
 
 
-def day_of_week(ms: Column | str) -> Column:
-    """Epoch ms -> day of week in UTC, Sunday = 1 ... Saturday = 7.
+def day_of_week(ms: Column | str, zone: Column | str | None = None) -> Column:
+    """Epoch ms -> day of week in a zone (None: UTC), Sunday = 1 ... Saturday = 7.
 
-    Pure arithmetic on the epoch day, so the session time zone does not matter."""
+    UTC is pure arithmetic on the epoch day, so the session time zone does not matter."""
+    if zone is not None:
+        return F.dayofweek(local_time(ms, zone)).cast("double")
     day = F.floor(_ms(ms) / F.lit(MS_PER_DAY))
     return (F.pmod(day + F.lit(EPOCH_WEEKDAY - 1), F.lit(7)) + F.lit(1)).cast("double")
 
 
-def hour_band(ms: Column | str) -> Column:
-    """Epoch ms -> UTC hour 2-7 -> 0, 8-13 -> 1, 14-19 -> 2, 20-23 and 0-1 -> 3."""
-    return F.floor(((utc_hour(ms) + F.lit(22)) % F.lit(24)) / F.lit(6)).cast("double")
+def hour_band(ms: Column | str, zone: Column | str | None = None) -> Column:
+    """Epoch ms -> hour in a zone (None: UTC) 2-7 -> 0, 8-13 -> 1, 14-19 -> 2, 20-23 and 0-1 -> 3."""
+    hour = utc_hour(ms) if zone is None else F.hour(local_time(ms, zone))
+    return F.floor(((hour + F.lit(22)) % F.lit(24)) / F.lit(6)).cast("double")

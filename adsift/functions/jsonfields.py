@@ -46,6 +46,11 @@ def integral_value(x: Column, sql_type: str = "bigint") -> Column:
     return F.when(~n.isin(0, 1) | ~F.try_variant_get(x, "$", "string").isin("true", "false"), n)
 
 
+def missing(x: Column) -> Column:
+    """Absent, or JSON null."""
+    return x.isNull() | F.is_variant_null(x)
+
+
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

@@ -14,12 +14,14 @@ taken up to the first element that is not an object.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import jsonfields as J
+from ..session import scratch_dir
 
 # Fixed field lists and output order of the flattened log.
 DEVICE_STRING_FIELDS = ["device_model", "firmware", "imei", "ip", "net", "oper_type", "operator",
@@ -97,6 +99,62 @@ def flatten_ads(df: DataFrame, col: str = "vcontent", keep: Sequence[str] = ())
     return exploded.select(*keep, *DEVICE_FIELDS, *ad_cols, *ALGO_FIELDS)
 
 
+# Fixed reason codes of the quarantine.
+NOT_JSON, NOT_OBJECT, MISSING, WRONG_TYPE = "not_json", "not_object", "missing", "wrong_type"
+REASONS = (NOT_JSON, NOT_OBJECT, MISSING, WRONG_TYPE)
+
+
+def _first_fault(strict: bool):
+    """Struct (path, reason) of the first thing that a parsed log (``_v``, ``_r``, ``_e``) fails by, NULL if it is taken."""
+    v, r, e = F.col("_v"), F.col("_r"), F.col("_e")
+
+    def at(cond, path, reason):
+        return F.when(cond, F.struct(F.lit(path).alias("path"), reason.alias("reason")))
+
+    def text(x, path):
+        return at(J.string_value(x).isNull(), path, F.when(J.missing(x), F.lit(MISSING)).otherwise(F.lit(WRONG_TYPE)))
+
+    faults = [at(v.isNull(), "$", F.lit(NOT_JSON)), at(r.isNull(), "$", F.lit(NOT_OBJECT))]
+    if strict:
+        faults += [text(r[f], f"$.{f}") for f in STRICT_DEVICE_FIELDS]
+    event = r["event_content"]
+    faults.append(at(e.isNull(), "$.event_content", F.when(J.missing(event), F.lit(MISSING)).otherwise(F.lit(NOT_OBJECT))))
+    if strict:
+        faults += [text(e[f], f"$.event_content.{f}") for f in ALGO_FIELDS]
+    return F.coalesce(*faults)
+
+
+def quarantined(df: DataFrame, col: str = "vcontent", keep: Sequence[str] = (), strict: bool = False,
+                tab_split: bool = False) -> tuple[DataFrame, DataFrame, Observation]:
+    """One pass over the logs: (taken, rejected, counts).
+
+    ``taken`` has the columns of ``df`` and holds the logs that ``flatten_ads``
+    reads fields of (rules 1 and 2; ``strict``: those that ``strict_extract``
+    gives a row for). ``rejected`` has ``keep``, the text, and the first JSON path
+    that failed with a reason code. Every log is in one of them. ``counts``
+    holds the number of taken and rejected logs, by reason, counted on the way.
+
+    Both are written in the pass, as one table partitioned by verdict, so that
+    neither parses the logs again to find its own.
+    """
+    text = first_field(col) if tab_split else F.col(col)
+    # A projection for each step, so that nothing is parsed or cast again for each field.
+    p = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("log"), text.alias("text"), J.parse(text).alias("_v"))
+    p = p.select("log", "text", "_v", J.object_fields(F.col("_v"), ROOT_FIELDS).alias("_r"))
+    p = p.select("log", "text", "_v", "_r", J.object_fields(F.col("_r")["event_content"], EVENT_FIELDS).alias("_e"))
+    judged = p.select("log", "text", _first_fault(strict).alias("fault"))
+    counts = Observation()
+    reason = F.col("fault.reason")
+    judged = judged.observe(counts, F.count_if(reason.isNull()).alias("taken"), *[F.count_if(reason == r).alias(r) for r in REASONS])
+    path = scratch_dir(df.sparkSession, f"tables/quarantine-{uuid.uuid4().hex}")
+    judged = judged.withColumn("bad", reason.isNotNull())
+    judged.write.partitionBy("bad").parquet(path)
+    written = df.sparkSession.read.schema(judged.schema).parquet(path)
+    taken = written.where(~F.col("bad")).select("log.*")
+    rejected = written.where("bad").select(*[F.col(f"log.`{c}`") for c in keep], "text", "fault.path", "fault.reason")
+    return taken, rejected, counts
+
+
 def first_field(line_col: str = "value", sep: str = "\t"):
     """The text before the first separator."""
     return F.split_part(F.col(line_col), F.lit(sep), F.lit(1))

@@ -22,14 +22,15 @@ be coded with it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.features import (APP_BIN_THRESHOLDS, bin_right_closed, day_of_week, event_label,
                                   hour_band, to_string)
 from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, write_table
+from .sampling import finished, sample
 
 # Fixed column lists of the reference's feature tables.
 PROFILE_COLUMNS = ["user_age", "sex", "user_job", "marriage_status", "mz_apps_car_owner", "user_network_type"]
@@ -37,30 +38,52 @@ APP_CATEGORY_COLUMNS = ["fcategoryid", "fcategory2id"]
 APP_BIN_COLUMNS = ["fevaluate_count", "fdownload_count", "fstars", "finstall_count", "appsize"]
 EVENT_TRACKER_TYPE = 2
 
+Dictionary = DataFrame | Callable[[DataFrame, Sequence[str]], DataFrame] | None
 
-def fit_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
-              checkpoint: bool = True) -> DataFrame:
-    """Dictionary ``(feature string, value string, code double)`` for ``cols``."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    s = to_string(df, cols)
-    pairs = (s.select(F.explode(F.array(*[
+
+def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Different (feature, value) pairs of ``cols``, values as text; NULL is one."""
+    return (to_string(df, cols).select(F.explode(F.array(*[
                 F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in cols])).alias("p"))
-             .select("p.feature", "p.value")
-             .distinct())
-    # Written once, NULLs first in their partition: partition ids and row ids must
-    # be the same rows for the offsets and for the coded values.
-    pairs = write_table(pairs.repartitionByRange(n, "feature", "value")
-                        .sortWithinPartitions("feature", "value")
-                        .withColumn("_pid", F.spark_partition_id())
-                        .withColumn("_mid", F.monotonically_increasing_id()), "code_values")
-    values = pairs.where(F.col("value").isNotNull())
+            .select("p.feature", "p.value")
+            .distinct())
+
+
+def _range_written(pairs: DataFrame, partitions: int) -> DataFrame:
+    """The pairs written in order, with partition and row numbers.
+
+    Written once, NULLs first in their partition: partition ids and row ids must
+    be the same rows for the offsets and for the ranks.
+    """
+    return write_table(pairs.repartitionByRange(partitions, "feature", "value")
+                       .sortWithinPartitions("feature", "value")
+                       .withColumn("_pid", F.spark_partition_id())
+                       .withColumn("_mid", F.monotonically_increasing_id()), "code_values")
+
+
+def _ranked(values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((feature, value, rank) of written values without NULLs, counts per partition and feature)."""
     parts = values.groupBy("_pid", "feature").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     run = Window.partitionBy("feature").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # At most partitions + columns rows: a bounded table, broadcast back.
     offsets = parts.withColumn("_start", F.coalesce(F.sum("_n").over(run), F.lit(0)))
-    coded = (values.join(F.broadcast(offsets.select("_pid", "feature", "_start", "_first")), ["_pid", "feature"])
-             .select("feature", "value", (F.col("_start") + F.col("_mid") - F.col("_first")).cast("double").alias("code")))
+    ranked = (values.join(F.broadcast(offsets.select("_pid", "feature", "_start", "_first")), ["_pid", "feature"])
+              .select("feature", "value", (F.col("_start") + F.col("_mid") - F.col("_first")).alias("rank")))
+    return ranked, parts
+
+
+def ranked_values(pairs: DataFrame, partitions: int) -> DataFrame:
+    """(feature, value, rank): ascending ranks from 0 of different (feature, value) pairs without NULLs."""
+    return _ranked(_range_written(pairs, partitions))[0]
+
+
+def fit_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
+              checkpoint: bool = True) -> DataFrame:
+    """Dictionary ``(feature string, value string, code double)`` for ``cols``."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    pairs = _range_written(distinct_values(df, cols), n)
+    ranked, parts = _ranked(pairs.where(F.col("value").isNotNull()))
+    coded = ranked.select("feature", "value", F.col("rank").cast("double").alias("code"))
     totals = parts.groupBy("feature").agg(F.sum("_n").alias("_total"))
     nulls = (pairs.where(F.col("value").isNull())
              .join(totals, "feature", "left")
@@ -72,7 +95,8 @@ def fit_codes(df: DataFrame, cols: Sequence[str], partitions: int | None = None,
 def apply_codes(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
                 max_rows: int = DEFAULT_MAX_ROWS, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
     """Replace each column by its code; NULL matches the NULL entry, a value the
-    dictionary has not seen gets the column's value count (an extra code).
+    dictionary has not seen gets that entry's code, too, or the column's value
+    count if there is none.
 
     One aggregate over the dictionary (one row per feature) gives each
     column's value count and its size, which decides the broadcast per column.
@@ -80,18 +104,18 @@ def apply_codes(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
     out = to_string(df, cols)
     stats = {r["feature"]: r for r in (
         dictionary.groupBy("feature")
-        .agg(F.count("value").alias("values"), F.count(F.lit(1)).alias("rows"),
+        .agg(F.coalesce(F.max(F.when(F.col("value").isNull(), F.col("code"))), F.count("value").cast("double")).alias("extra"), F.count(F.lit(1)).alias("rows"),
              F.sum(F.coalesce(F.octet_length("value"), F.lit(0))).alias("bytes"))
         .collect())}
     for c in cols:
         st = stats.get(c)
-        n_values = float(st["values"]) if st else 0.0
+        extra = float(st["extra"]) if st else 0.0
         d = (dictionary.where(F.col("feature") == F.lit(c))
              .select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}")))
         if st and st["rows"] <= max_rows and (st["bytes"] or 0) + ROW_OVERHEAD_BYTES * st["rows"] <= max_bytes:
             d = F.broadcast(d)
         out = (out.join(d, out[c].eqNullSafe(d[f"_v_{c}"]), "left")
-               .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(n_values)))
+               .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(extra)))
                .drop(f"_v_{c}", f"_c_{c}"))
     return out
 
@@ -104,12 +128,23 @@ def multi_col_process(df: DataFrame, label: str, cols: Sequence[str] | None = No
     return apply_codes(df, d, cols), d
 
 
-def profile_features(profiles: DataFrame, cols: Sequence[str] = PROFILE_COLUMNS, key: str = "imei") -> DataFrame:
-    """E5: every user profile, every column coded."""
-    coded, _ = multi_col_process(profiles.select(key, *cols), key, cols)
+def profile_features(profiles: DataFrame, cols: Sequence[str] = PROFILE_COLUMNS, key: str = "imei",
+                     dictionary: Dictionary = None) -> DataFrame:
+    """E5: every user profile, every column coded; ``dictionary`` as for ``app_features``."""
+    rows = profiles.select(key, *cols)
+    coded, _ = multi_col_process(rows, key, cols, dictionary(rows, cols) if callable(dictionary) else dictionary)
     return coded
 
 
+def sampled_profile_features(profiles: DataFrame, rows: int, strata: Sequence[str] = (), cols: Sequence[str] = PROFILE_COLUMNS,
+                             key: str = "imei", dictionary: Dictionary = None) -> DataFrame:
+    """Coded features of a sample (``operators.sampling``), codes of all profiles, with ``sample_weight``."""
+    slim = profiles.select(key, *cols)
+    taken = finished(sample(slim, key, rows, strata), key, rows, strata)
+    found = dictionary(slim, cols) if callable(dictionary) else fit_codes(slim, cols) if dictionary is None else dictionary
+    return apply_codes(taken, found, cols)
+
+
 def profile_sample(profiles: DataFrame, rows: int, key: str = "imei", cols: Sequence[str] = PROFILE_COLUMNS) -> DataFrame:
     """The first ``rows`` profiles in order of their key, not coded.
 
@@ -119,11 +154,13 @@ def profile_sample(profiles: DataFrame, rows: int, key: str = "imei", cols: Sequ
 
 
 def app_features(apps: DataFrame, key: str = "appid", recode_bins: bool = True,
-                 thresholds: dict[str, list[float]] | None = None) -> DataFrame:
+                 thresholds: dict[str, list[float]] | None = None, dictionary: Dictionary = None) -> DataFrame:
     """Right-closed bins on the count columns, then category codes.
 
     With ``recode_bins`` (the reference's behaviour) the bins are coded as
-    categories too; otherwise they stay ordinal.
+    categories too; otherwise they stay ordinal. The codes are those of
+    ``dictionary``, of the one it makes from the rows to be coded and their
+    columns, or (None) of one fitted on these rows.
     """
     th = thresholds or APP_BIN_THRESHOLDS
     # Written once: the dictionary fit and the coding both read it.
@@ -131,18 +168,18 @@ def app_features(apps: DataFrame, key: str = "appid", recode_bins: bool = True,
                          *[bin_right_closed(c, th[c]).alias(c) for c in APP_BIN_COLUMNS])
     binned = write_table(binned, "app_binned")
     cols = APP_CATEGORY_COLUMNS + (APP_BIN_COLUMNS if recode_bins else [])
-    coded, _ = multi_col_process(binned, key, cols)
+    coded, _ = multi_col_process(binned, key, cols, dictionary(binned, cols) if callable(dictionary) else dictionary)
     return coded
 
 
-def event_features(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Tracker type 2 only; label, day of week and hour band; ``app_id``
-    renamed ``appid`` so the instance join resolves."""
+def event_features(events: DataFrame, keep: Sequence[str] = (), zone: Column | str | None = None) -> DataFrame:
+    """Tracker type 2 only; label, day of week and hour band in ``zone``
+    (None: UTC); ``app_id`` renamed ``appid`` so the instance join resolves."""
     return (events.where(F.col("tracker_type") == F.lit(EVENT_TRACKER_TYPE))
             .select(*keep, "imei", F.col("app_id").alias("appid"),
                     event_label("oper_type").alias("oper_type"),
-                    day_of_week("oper_time").alias("day_of_week"),
-                    hour_band("oper_time").alias("hour_of_day")))
+                    day_of_week("oper_time", zone).alias("day_of_week"),
+                    hour_band("oper_time", zone).alias("hour_of_day")))
 
 
 def instances(events: DataFrame, profiles: DataFrame, apps: DataFrame,

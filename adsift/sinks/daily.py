@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.strategy import write_table
 from ..sources.tables import DAY_COL
 
 FEATURE_TYPES = ("int", "bigint", "string", "boolean", "double")   # K1
@@ -65,6 +67,55 @@ def save_day(df: DataFrame, table: str, dt: int, allowed: Sequence[str] = FEATUR
         spark.catalog.dropTempView(view)
 
 
+def calendar_days(sdate: int, edate: int) -> list[int]:
+    """The days of [sdate, edate) as numbers."""
+    first, end = (datetime.strptime(str(d), "%Y%m%d") for d in (sdate, edate))
+    return [int((first + timedelta(days=k)).strftime("%Y%m%d")) for k in range((end - first).days)]
+
+
+def save_range(df: DataFrame, table: str, sdate: int, edate: int, allowed: Sequence[str] = FEATURE_TYPES, fmt: str = "parquet") -> DataFrame:
+    """Replace all days of [sdate, edate) in one job; returns the manifest (stat_date, rows).
+
+    ``df`` has a day column; a row of another day is an error. Every day of
+    the range ends as if it had been saved alone: days with rows are replaced
+    by a dynamic partition overwrite, days without are emptied. Rows are
+    rebalanced by day first, so that small days make one file and large ones
+    several of a good size. ``<table>_manifest`` has one row per saved day with
+    its number of rows, so an empty day and a day that never ran differ.
+    """
+    spark, days = df.sparkSession, calendar_days(sdate, edate)
+    cols = ddl_columns(df.drop(DAY_COL), allowed)
+    rows = write_table(df.withColumn(DAY_COL, F.col(DAY_COL).cast("bigint")), "range-rows")
+    counts = {r[DAY_COL]: r["n"] for r in rows.where(F.col(DAY_COL).isin(days)).groupBy(DAY_COL).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(counts.values()) != rows.count():
+        raise ValueError(f"rows outside of [{sdate}, {edate})")
+    col_sql = ", ".join(f"`{n}` {t}" for n, t in cols)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({col_sql}, {DAY_COL} BIGINT) USING {fmt} PARTITIONED BY ({DAY_COL})")
+    there = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields if f.name != DAY_COL]
+    if sorted(there) != sorted(cols):
+        raise ValueError(f"columns {cols} do not fit table {table} with {there}")
+    ordered = rows.select(*[F.col(f"`{n}`") for n, _ in there], DAY_COL)
+    _overwrite_days(ordered.hint("rebalance", DAY_COL), table)
+    for d in days:
+        if d not in counts:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY_COL} = {d})")
+    told = spark.createDataFrame([(counts.get(d, 0), d) for d in days], f"rows bigint, {DAY_COL} bigint")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table}_manifest (rows BIGINT, {DAY_COL} BIGINT) USING {fmt} PARTITIONED BY ({DAY_COL})")
+    _overwrite_days(told.coalesce(1), f"{table}_manifest")
+    return spark.table(f"{table}_manifest").where(F.col(DAY_COL).isin(days)).select(DAY_COL, "rows")
+
+
+def _overwrite_days(df: DataFrame, table: str) -> None:
+    """Replace the days that ``df`` has rows of; its columns are in the table's order."""
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
 def save_match(df: DataFrame, mode: str, table: str, dt: int) -> None:
     """Fixed-schema sinks of the matching modes (K3-K5)."""
     save_day(df, table, dt, rename=MATCH_SINK_COLUMNS[mode])

@@ -2,12 +2,14 @@
 
 import json
 
+import pytest
+
 from adsift.operators import adlog as A
 
 DEVICE = {"device_model": "M1", "firmware": "F 1.0", "imei": "dev-1", "ip": "10.0.0.1", "net": "wifi",
           "oper_type": "SEARCH", "operator": "op", "product_type": "APPS", "req_uri": "/s",
           "screen_size": "1x2", "sn": "sn-1", "u_search_id": "s1", "u_session_id": "x1",
-          "version_name": "1.0", "oper_time": 1479140840320, "uid": 42, "version_code": 7}
+          "version_name": "1.0", "oper_time": 1612345678901, "uid": 42, "version_code": 7}
 
 
 def ad(i, **over):
@@ -91,3 +93,38 @@ def test_strict_skips_incomplete_lines(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, value string")
     got = {r["id"]: r["n_ads"] for r in A.strict_extract(df, keep=["id"]).collect()}
     assert got == {0: 2, 2: 1, 4: 1}
+
+
+def test_quarantine_accounts_for_every_log(spark):
+    good = {f: "x" for f in A.STRICT_DEVICE_FIELDS}
+    event = {"algorithm_version": "a", "keyword": "k", "ads": [{"display": 1, "kw_type": 1, "app_id": 2, "kw_id": 3, "unit_id": 4, "kw": "w", "request_id": "r"}]}
+    logs = [
+        (json.dumps(good | {"event_content": event}), None, None),
+        ("oops", ("$", "not_json"), ("$", "not_json")),
+        (None, ("$", "not_json"), ("$", "not_json")),
+        ("[1]", ("$", "not_object"), ("$", "not_object")),
+        (json.dumps(good), ("$.event_content", "missing"), ("$.event_content", "missing")),
+        (json.dumps(good | {"event_content": None}), ("$.event_content", "missing"), ("$.event_content", "missing")),
+        (json.dumps(good | {"event_content": 3}), ("$.event_content", "not_object"), ("$.event_content", "not_object")),
+        (json.dumps(good | {"sn": 5, "imei": None, "event_content": event}), None, ("$.imei", "missing")),
+        (json.dumps(good | {"sn": 5, "event_content": event}), None, ("$.sn", "wrong_type")),
+        (json.dumps(good | {"event_content": {"algorithm_version": "a"}}), None, ("$.event_content.keyword", "missing")),
+        (json.dumps(good | {"event_content": event | {"algorithm_version": [1]}}), None, ("$.event_content.algorithm_version", "wrong_type")),
+    ]
+    df = spark.createDataFrame([(i, text) for i, (text, *_) in enumerate(logs)], "id int, vcontent string")
+    for strict in (False, True):
+        taken, rejected, counts = A.quarantined(df, keep=["id"], strict=strict)
+        want = {i: told[strict] for i, (_, *told) in enumerate(logs)}
+        assert {r["id"]: (r["path"], r["reason"]) for r in rejected.collect()} == {i: w for i, w in want.items() if w}
+        assert {r["id"]: r["text"] for r in rejected.collect()} == {i: logs[i][0] for i, w in want.items() if w}
+        assert sorted(r["id"] for r in taken.collect()) == [i for i, w in want.items() if not w]
+        got = counts.get
+        assert got["taken"] == sum(w is None for w in want.values()) and sum(got.values()) == len(logs)
+        assert {k: got[k] for k in A.REASONS} == {k: sum(w is not None and w[1] == k for w in want.values()) for k in A.REASONS}
+        if strict:
+            rows = A.strict_extract(taken, "vcontent", tab_split=False).count()
+            assert rows == got["taken"] == A.strict_extract(df, "vcontent", tab_split=False).count()
+        else:
+            assert A.flatten_ads(taken).where("imei = 'x' or sn = 'x' or ip = 'x'").count() == A.flatten_ads(df).where("ip = 'x'").count()
+    with pytest.raises(Exception, match="."):
+        A.quarantined(df, "nope")

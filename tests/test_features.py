@@ -127,3 +127,26 @@ def test_profile_sample_and_all_profiles(spark):
         "true as marriage_status", "0.5D as mz_apps_car_owner", "cast(null as string) as user_network_type")
     assert [r["imei"] for r in FE.profile_sample(df, 3).collect()] == ["0", "1", "10"]
     assert FE.profile_features(df).count() == 500
+
+
+def test_zones_with_daylight_saving(spark):
+    from zoneinfo import ZoneInfo
+
+    rows = [(zone, int(datetime(2023, m, d, h, 30, tzinfo=timezone.utc).timestamp() * 1000))
+            for zone in ("Europe/Berlin", "America/New_York", "Australia/Lord_Howe", "Asia/Kolkata", "UTC")
+            for m, d in ((3, 12), (3, 26), (4, 2), (7, 1), (10, 1), (10, 29), (11, 5), (12, 31)) for h in range(0, 24, 3)]
+    df = spark.createDataFrame(rows, "zone string, t bigint")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            got = df.select("zone", "t", FF.day_of_week("t", df["zone"]).alias("d"), FF.hour_band("t", df["zone"]).alias("h")).collect()
+            for r in got:
+                wall = datetime.fromtimestamp(r["t"] / 1000, ZoneInfo(r["zone"]))
+                assert r["d"] == wall.isoweekday() % 7 + 1 and r["h"] == (wall.hour + 22) % 24 // 6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    one = df.select(FF.hour_band("t", "UTC").alias("a"), FF.hour_band("t").alias("b"), FF.day_of_week("t", "UTC").alias("c"), FF.day_of_week("t").alias("d"))
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in one.collect())
+    events = spark.createDataFrame([("d", 1, "x", 1704628800000, 2)], "imei string, app_id bigint, oper_type string, oper_time bigint, tracker_type int")
+    assert FE.event_features(events, zone="Asia/Tokyo").first()["hour_of_day"] == 3.0 and FE.event_features(events).first()["hour_of_day"] == 1.0

@@ -102,3 +102,22 @@ def test_match_job_with_an_empty_side(spark):
             _, got = jobs.match_job(spark, mode, 20240101, 20240201, 20240131, bids, searches, out)
             assert (got["bid_words"], got["search_words"]) == sizes
             assert spark.table(out).count() == (mode == "get-data" and searches == "some_searches")
+
+
+def test_instances_with_an_earlier_days_codes(spark):
+    """A second day adds its new categories behind the first day's; scoring with the first day's dictionary knows none of them."""
+    from adsift.plans.saved import instances_of_two_days
+
+    profiles = [spark.createDataFrame(rows, "imei string, user_age int, sex string, user_job bigint, marriage_status boolean, "
+                                            "mz_apps_car_owner double, user_network_type string")
+                for rows in ([("u1", 30, "m", 1, True, 2.0, "4g")], [("u1", 30, "m", 1, True, 2.0, "4g"), ("u2", 20, "f", 2, True, 2.0, None)])]
+    apps = [spark.createDataFrame(rows, "appid int, fcategoryid string, fcategory2id string, fevaluate_count int, fdownload_count int, fstars int, "
+                                        "finstall_count int, appsize bigint")
+            for rows in ([(1, "c2", "x", 1, 1, 1, 1, 1)], [(1, "c2", "x", 1, 1, 1, 1, 1), (2, "c1", "x", 1, 1, 1, 1, 1)])]
+    ms = 1704628800000
+    events = spark.createDataFrame([(u, a, "e", ms, 2, 20240108) for u in ("u1", "u2") for a in (1, 2)],
+                                   "imei string, app_id int, oper_type string, oper_time bigint, tracker_type int, stat_date bigint")
+    got = instances_of_two_days(profiles, apps, events, [20240107, 20240108]).collect()
+    told = {d: sorted((r["user_age"], r["sex"], r["user_network_type"], r["fcategoryid"]) for r in got if r["codes_day"] == d) for d in (20240107, 20240108)}
+    assert told[20240107] == sorted((a, s, n, c) for a, s, n in ((0.0, 0.0, 0.0), (1.0, 1.0, 1.0)) for c in (0.0, 1.0))
+    assert told[20240108] == sorted((a, s, n, c) for a, s, n in ((0.0, 0.0, 0.0), (2.0, 2.0, 1.0)) for c in (0.0, 2.0))

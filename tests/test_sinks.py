@@ -42,3 +42,31 @@ def test_columns_go_by_name(spark):
         with pytest.raises(ValueError):
             save_day(spark.createDataFrame([], odd), t, 20240101)
     assert spark.table(t).count() == 2
+
+
+def test_range_equals_day_by_day(spark):
+    from adsift.plans.saved import tables
+    from adsift.sinks.daily import calendar_days, save_day, save_range
+
+    rows = [(f"w{i}", i, 20240227 + i % 3 if i % 3 < 2 else 20240301) for i in range(50)]
+    df = spark.createDataFrame(rows, "word string, n int, stat_date bigint")
+    days = calendar_days(20240226, 20240303)
+    assert days == [20240226, 20240227, 20240228, 20240229, 20240301, 20240302]
+    with tables(spark) as t:
+        one, many = f"{t['out']}_one", f"{t['out']}_many"
+        for table in (one, many):
+            for d in (20240225, 20240226, 20240302, 20240303):    # two in the range, to be emptied
+                save_day(df.limit(2).drop("stat_date"), table, d)
+        told = save_range(df.select("stat_date", "n", "word"), many, 20240226, 20240303)
+        for d in days:
+            save_day(df.where(f"stat_date = {d}").drop("stat_date"), one, d)
+        assert sorted(map(tuple, spark.table(one).collect())) == sorted(map(tuple, spark.table(many).collect()))
+        assert sorted(map(tuple, told.collect())) == [(d, sum(r[2] == d for r in rows)) for d in days]
+        save_range(df.where("stat_date = 20240227"), many, 20240227, 20240229)
+        assert {r["stat_date"]: r["rows"] for r in spark.table(f"{many}_manifest").collect()}[20240228] == 0
+        assert spark.table(many).where("stat_date = 20240301").count() == sum(r[2] == 20240301 for r in rows)
+        with pytest.raises(ValueError, match="outside"):
+            save_range(df, many, 20240227, 20240228)
+        with pytest.raises(ValueError, match="fit"):
+            save_range(df.withColumn("more", df["n"]), many, 20240226, 20240303)
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"

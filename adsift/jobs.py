@@ -4,7 +4,7 @@
     python -m adsift.jobs bid-history <dt> --bids T --out T
     python -m adsift.jobs flatten <dt> --src T --out T
     python -m adsift.jobs app-merge <dt> --ads T --apps T --versions T --out T
-    python -m adsift.jobs instances <dt> --profiles T --apps T --events T --out-prefix P [--codes-day D]
+    python -m adsift.jobs instances <dt> --profiles T --apps T --events T --out-prefix P [--codes-day D] [--buckets N]
 
 Each job reads catalogue tables, builds one lazy plan and writes one day of
 a ``stat_date``-partitioned table; re-running a day replaces it.
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators.adlog import flatten_ads
 from .operators.codebook import CategoryCoder, load_codes
-from .operators.features import app_features, event_features, instances, profile_features
+from .operators.features import app_features, event_features, instances, instances_of_buckets, profile_features
 from .operators.matching import DEFAULT, MatchConfig, Sides, match
 from .operators.merge import advertised_apps, app_attributes, app_versions, merge_apps
 from .plans.strategy import write_table
@@ -86,14 +86,16 @@ def app_merge_job(spark: SparkSession, ad_table: str, app_table: str, version_ta
 
 
 def instances_job(spark: SparkSession, profile_table: str, app_table: str, event_table: str,
-                  dt: int, out_prefix: str, codes_day: int | None = None) -> DataFrame:
+                  dt: int, out_prefix: str, codes_day: int | None = None, buckets: int | None = None) -> DataFrame:
     """Save profile, app and event features for the day, then join the saved
     tables (read back, so nothing is recomputed or cached).
 
     Category codes are kept by day in ``<prefix>_profile_codes`` and
     ``<prefix>_app_codes``: the day adds its new values, or is scored with the
-    dictionaries of ``codes_day`` as they are.
+    dictionaries of ``codes_day`` as they are. With ``buckets``, events and
+    profiles are saved in so many sorted buckets by device and joined in place.
     """
+    by = ("imei", buckets) if buckets else None
     def codes(name: str):
         table = f"{out_prefix}_{name}_codes"
         if codes_day is not None:
@@ -101,11 +103,11 @@ def instances_job(spark: SparkSession, profile_table: str, app_table: str, event
         return lambda rows, cols: CategoryCoder(inputCols=list(cols), table=table, day=dt).fit(rows).dictionary(spark)
 
     tables = {k: f"{out_prefix}_{k}" for k in ("profile", "app", "event", "instances")}
-    save_day(profile_features(spark.table(profile_table), dictionary=codes("profile")), tables["profile"], dt)
+    save_day(profile_features(spark.table(profile_table), dictionary=codes("profile")), tables["profile"], dt, bucket=by)
     save_day(app_features(day(spark.table(app_table), dt), dictionary=codes("app")), tables["app"], dt)
-    save_day(event_features(day(spark.table(event_table), dt)), tables["event"], dt)
+    save_day(event_features(day(spark.table(event_table), dt)), tables["event"], dt, bucket=by)
     saved = {k: day(spark.table(t), dt).drop(DAY_COL) for k, t in tables.items() if k != "instances"}
-    inst = instances(saved["event"], saved["profile"], saved["app"])
+    inst = (instances_of_buckets if buckets else instances)(saved["event"], saved["profile"], saved["app"])
     save_day(inst, tables["instances"], dt)
     return inst
 
@@ -143,6 +145,7 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--events", required=True)
     i.add_argument("--out-prefix", required=True)
     i.add_argument("--codes-day", type=int)
+    i.add_argument("--buckets", type=int)
     args = ap.parse_args(argv)
     spark = get_session(app_name=f"adsift-{args.job}")
     if args.job == "match":
@@ -154,7 +157,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "app-merge":
         app_merge_job(spark, args.ads, args.apps, args.versions, args.dt, args.out)
     else:
-        instances_job(spark, args.profiles, args.apps, args.events, args.dt, args.out_prefix, args.codes_day)
+        instances_job(spark, args.profiles, args.apps, args.events, args.dt, args.out_prefix, args.codes_day, args.buckets)
 
 
 if __name__ == "__main__":

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.features import (APP_BIN_THRESHOLDS, bin_right_closed, day_of_week, event_label,
                                   hour_band, to_string)
-from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, write_table
+from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, fits_broadcast, write_table
 from .sampling import finished, sample
 
 # Fixed column lists of the reference's feature tables.
@@ -182,6 +182,16 @@ def event_features(events: DataFrame, keep: Sequence[str] = (), zone: Column | s
                     hour_band("oper_time", zone).alias("hour_of_day")))
 
 
+def instances_of_buckets(events: DataFrame, profiles: DataFrame, apps: DataFrame, label: str = "oper_type") -> DataFrame:
+    """J7 on tables whose days are sorted buckets by ``imei`` (events, profiles): the events are not shuffled.
+
+    Events and profiles are merged bucket by bucket. The apps are broadcast if
+    their counted size is small; else the joined rows are shuffled by app.
+    """
+    small = fits_broadcast(apps)
+    return instances(events, profiles.hint("merge"), F.broadcast(apps) if small else apps, label)
+
+
 def instances(events: DataFrame, profiles: DataFrame, apps: DataFrame,
               label: str = "oper_type") -> DataFrame:
     """Events joined with profile (imei) and app (appid) features.

@@ -352,26 +352,72 @@ def match(mode: str, bids: DataFrame, searches: DataFrame, cfg: MatchConfig = DE
     return modes[mode](searches, bids, cfg, sides)
 
 
-def coverage(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
-    """Share of search volume each mode matches.
+COVERAGE_MODES = MODES[:4]
+
+
+def _mode_flags(s: Sides, *columns: Column) -> DataFrame:
+    """Each search row with one boolean per mode and the ``columns`` of its row.
 
-    -> (mode, matched_words, matched_cnt, total_words, total_cnt, pvr). All four
-    modes come from the tags of each search row: exact = tag 1, include = tag
+    All four modes come from the tags of a row: exact = tag 1, include = tag
     1|2, syno = tag 1|3, core = tag 1|3|4 with a bid of at least one token.
     """
-    s = prepare(searches, bids, cfg)
     has = lambda *tags: F.bool_or(F.arrays_overlap("tags", F.array(*[F.lit(t) for t in tags])))
     core = F.bool_or(F.arrays_overlap("tags", F.array(*map(F.lit, (TAG_EQUAL, TAG_ALL_TOKENS, TAG_ALL_BUT_ONE)))) & (F.col("n") > 0))
-    flags = {"exact-match": has(TAG_EQUAL), "exact-include": has(TAG_EQUAL, TAG_CONTAINS),
-             "syno-include": has(TAG_EQUAL, TAG_ALL_TOKENS), "core-include": core}
-    pairs = _tagged(s).select("qid", "tags", "n", F.lit(None).cast("bigint").alias("cnt"))
-    rows = s.queries.select("qid", F.array().cast("array<int>").alias("tags"), F.lit(0).alias("n"), F.col("row.cnt").cast("bigint").alias("cnt"))
-    per_row = rows.unionByName(pairs).groupBy("qid").agg(
-        F.max("cnt").alias("cnt"), *[F.coalesce(flag, F.lit(False)).alias(mode) for mode, flag in flags.items()])
+    flags = dict(zip(COVERAGE_MODES, (has(TAG_EQUAL), has(TAG_EQUAL, TAG_CONTAINS), has(TAG_EQUAL, TAG_ALL_TOKENS), core), strict=True))
+    row = F.struct(*columns)
+    rows = s.queries.select("qid", F.array().cast("array<int>").alias("tags"), F.lit(0).alias("n"), row.alias("kept"))
+    pairs = _tagged(s).select("qid", "tags", "n", F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"))
+    return rows.unionByName(pairs).groupBy("qid").agg(
+        F.max("kept").alias("kept"), *[F.coalesce(flag, F.lit(False)).alias(mode) for mode, flag in flags.items()]).select("kept.*", *[f"`{m}`" for m in flags])
+
+
+def coverage(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
+    """Share of search volume each mode matches.
+
+    -> (mode, matched_words, matched_cnt, total_words, total_cnt, pvr).
+    """
+    per_row = _mode_flags(prepare(searches, bids, cfg), F.col("row.cnt").cast("bigint").alias("cnt"))
     totals = per_row.agg(
         F.count(F.lit(1)).alias("total_words"), F.sum("cnt").alias("total_cnt"),
         F.array(*[F.struct(F.lit(mode).alias("mode"), F.count_if(F.col(f"`{mode}`")).alias("matched_words"),
-                           F.sum(F.when(F.col(f"`{mode}`"), F.col("cnt")).otherwise(0)).alias("matched_cnt")) for mode in flags]).alias("m"))
+                           F.sum(F.when(F.col(f"`{mode}`"), F.col("cnt")).otherwise(0)).alias("matched_cnt")) for mode in COVERAGE_MODES]).alias("m"))
     out = totals.select("total_words", "total_cnt", F.inline("m"))
     return out.select("mode", "matched_words", F.coalesce("matched_cnt", F.lit(0)).alias("matched_cnt"), "total_words",
                       F.coalesce("total_cnt", F.lit(0)).alias("total_cnt"), F.try_divide("matched_cnt", "total_cnt").alias("pvr"))
+
+
+def coverage_of_days(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT, day_col: str = "stat_date") -> DataFrame:
+    """Coverage of each day and mode, to be stored and rolled up without matching again.
+
+    ``searches``: (search_word, day, cnt), a word once a day. Different words
+    are matched once, however many days hold them. -> (stat_date, mode,
+    matched_cnt, total_cnt, matched_words, total_words, and sketches of the
+    matched and of all words).
+    """
+    daily = searches.where(F.col(SEARCH).isNotNull())
+    flags = _mode_flags(prepare(daily.select(SEARCH).distinct(), bids, cfg), F.col("word").alias("w"))
+    joined = daily.join(flags, F.col(SEARCH) == F.col("w"))
+    per_mode = joined.select(F.col(day_col).alias("stat_date"), SEARCH, F.col("cnt").cast("bigint").alias("cnt"), F.inline(F.array(*[
+        F.struct(F.lit(m).alias("mode"), F.col(f"`{m}`").alias("hit")) for m in COVERAGE_MODES])))
+    hit = F.col("hit")
+    return per_mode.groupBy("stat_date", "mode").agg(
+        F.sum(F.when(hit, F.col("cnt")).otherwise(0)).alias("matched_cnt"), F.sum("cnt").alias("total_cnt"),
+        F.count_if(hit).alias("matched_words"), F.count(F.lit(1)).alias("total_words"),
+        F.hll_sketch_agg(F.when(hit, F.col(SEARCH))).alias("matched_sketch"), F.hll_sketch_agg(SEARCH).alias("total_sketch"))
+
+
+def coverage_rollup(stored: DataFrame) -> DataFrame:
+    """(level, period, mode, matched_cnt, total_cnt, pvr, matched_words, total_words) of stored days, by day, month and in all.
+
+    Sums are exact. Numbers of different words over several days are estimates
+    from the days' sketches (standard error about 1.6 %); a period is a day
+    number, yyyymm, or 0.
+    """
+    days = stored.withColumn("month", F.floor(F.col("stat_date") / 100))
+    sets = days.groupingSets([("stat_date", "mode"), ("month", "mode"), ("mode",)], "stat_date", "month", "mode").agg(
+        F.grouping_id().alias("g"), F.sum("matched_cnt").alias("matched_cnt"), F.sum("total_cnt").alias("total_cnt"),
+        F.hll_sketch_estimate(F.hll_union_agg("matched_sketch")).alias("matched_words"),
+        F.hll_sketch_estimate(F.hll_union_agg("total_sketch")).alias("total_words"))
+    level = F.when(F.col("stat_date").isNotNull(), "day").when(F.col("month").isNotNull(), "month").otherwise("all")
+    return sets.select(level.alias("level"), F.coalesce("stat_date", "month", F.lit(0)).cast("bigint").alias("period"), "mode", "matched_cnt", "total_cnt",
+                       F.try_divide("matched_cnt", "total_cnt").alias("pvr"), "matched_words", "total_words")

@@ -704,6 +704,9 @@ QUERIES_SAVED: dict[str, Query] = {
     "bid_word_history": lambda spark, sf: SV.bid_history(_bid_runs(spark, sf)),
     "backfill_rows": lambda spark, sf: SV.backfill(FX.event_log(spark, sf), *BACKFILL)[0],
     "backfill_manifest": lambda spark, sf: SV.backfill(FX.event_log(spark, sf), *BACKFILL)[1],
+    "coverage_days": lambda spark, sf: SV.coverage_days(_daily_searches(spark, sf), bids(spark, sf), MATCH).select(
+        "level", "period", "mode", "matched_cnt", "total_cnt", "pvr"),
+    "instances_buckets": lambda spark, sf: SV.instances(FX.profile_table(spark, sf), app_snapshot(spark, sf), FX.event_log(spark, sf), EVENT_DAY, BUCKETS),
     "category_codes_days": lambda spark, sf: SV.codes_by_day(_order_days(spark, sf), CODE_COLUMNS),
     "job_instances_codes": lambda spark, sf: _instances_codes(spark, sf),
 }
@@ -720,6 +723,14 @@ _CODE_ROWS = """o_custkey as customer, o_orderpriority as priority, case when o_
        case when o_orderkey % 7 <> 0 then o_orderstatus end as status"""
 
 
+BUCKETS = 8
+
+
+def _daily_searches(spark, sf) -> DataFrame:
+    log = FX.search_log(spark, sf).select(F.trim("keyword").alias(M.SEARCH), "stat_date").where(F.col(M.SEARCH).isNotNull())
+    return log.groupBy(M.SEARCH, "stat_date").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 BACKFILL = (20240101, 20240201)
 # Words of a day's runs, by part key; the second day is run again with other words, the third comes late.
 BID_DAYS = {20240101: "p_partkey % 4 <> 1", 20240102: "p_partkey % 4 <> 2", 20240103: "p_partkey % 4 <> 3 and p_partkey % 5 <> 0", 20240104: "p_partkey % 5 = 1"}
@@ -819,6 +830,22 @@ from (values {', '.join(f"('{m}')" for m in M.MODES)}) m(mode)""",
 select ev.oper_type, {', '.join('coded_ps.' + c for c in FE.PROFILE_COLUMNS)},
        {', '.join('coded_ab.' + c for c in FE.APP_CATEGORY_COLUMNS + FE.APP_BIN_COLUMNS)}, ev.day_of_week, ev.hour_of_day
 from ev join coded_ps on ev.imei = coded_ps.imei join coded_ab on ev.appid = coded_ab.appid
+where ev.stat_date = {EVENT_DAY}""",
+    "coverage_days": PAIRS_SQL + f""",
+f as (select search_word, bool_or(tag = 1) as m1, bool_or(tag in (1, 2)) as m2, bool_or(tag in (1, 3)) as m3, bool_or(tag in (1, 3, 4) and n > 0) as m4
+      from tp group by search_word),
+l as (select stat_date as d, trim(keyword) as search_word, count(*) as cnt from ({FX.SEARCH_LOG_SQL}) t where trim(keyword) is not null group by all),
+x as (select d, d // 100 as month, cnt, unnest([{{'mode': 'exact-match', 'hit': coalesce(m1, false)}}, {{'mode': 'exact-include', 'hit': coalesce(m2, false)}},
+             {{'mode': 'syno-include', 'hit': coalesce(m3, false)}}, {{'mode': 'core-include', 'hit': coalesce(m4, false)}}], recursive := true)
+      from l left join f using (search_word)),
+y as (select d, month, mode, sum(case when hit then cnt else 0 end)::bigint as matched_cnt, sum(cnt)::bigint as total_cnt
+      from x group by grouping sets ((d, mode), (month, mode), (mode)))
+select case when d is not null then 'day' when month is not null then 'month' else 'all' end as level, coalesce(d, month, 0)::bigint as period, mode,
+       matched_cnt, total_cnt, matched_cnt / total_cnt as pvr from y""",
+    "instances_buckets": f"""with {_PROFILE_CTE}, {_APP_CTE}, ev as ({_EVENT_FEATURES_SQL})
+select ev.oper_type, {', '.join('coded_ps.' + c for c in FE.PROFILE_COLUMNS)},
+       {', '.join('coded_ab.' + c for c in FE.APP_CATEGORY_COLUMNS + FE.APP_BIN_COLUMNS)}, ev.day_of_week, ev.hour_of_day
+from ev join coded_ps on ev.imei = coded_ps.imei join coded_ab on ev.appid = coded_ab.appid
 where ev.stat_date = {EVENT_DAY}""",
     "bid_word_history": "select bid_word, min(d)::bigint as first_day, max(d)::bigint as last_day from (" + " union all ".join(
         f"select {FX._duck(FX.BID_SQL)} as bid_word, {d} as d from part where {cond}" for d, cond in BID_DAYS.items()) + ") t where bid_word is not null group by bid_word",

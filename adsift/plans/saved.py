@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from .. import jobs
 from ..operators.codebook import CategoryCoder
-from ..operators.matching import MODES, MatchConfig, prepare
+from ..operators.matching import MODES, MatchConfig, coverage_of_days, coverage_rollup, prepare
 from ..operators.features import event_features
-from ..sinks.daily import MATCH_SINK_COLUMNS, calendar_days, save_day, save_range
+from ..sinks.daily import FEATURE_TYPES, MATCH_SINK_COLUMNS, calendar_days, next_day, save_day, save_range
 from ..sources.history import history_state, update_history
 from ..sources.tables import DAY_COL, day
 from .strategy import write_table
@@ -93,11 +93,23 @@ def app_merge(ads: DataFrame, apps: DataFrame, versions: DataFrame, dt: int) ->
         return write_table(day(spark.table(t["out"]), dt).drop(DAY_COL), "snapshot-day")
 
 
-def instances(profiles: DataFrame, apps: DataFrame, events: DataFrame, dt: int) -> DataFrame:
+def coverage_days(searches: DataFrame, bids: DataFrame, cfg: MatchConfig) -> DataFrame:
+    """Coverage of every day, saved in one job, rolled up from the saved table."""
+    spark = searches.sparkSession
+    with tables(spark) as t:
+        days = write_table(coverage_of_days(searches, bids, cfg), "coverage-days")
+        first, last = days.agg(F.min(DAY_COL), F.max(DAY_COL)).collect()[0]
+        if first is not None:
+            save_range(days, t["out"], first, next_day(last), allowed=(*FEATURE_TYPES, "binary"))
+            days = spark.table(t["out"])
+        return write_table(coverage_rollup(days), "coverage-rollup")
+
+
+def instances(profiles: DataFrame, apps: DataFrame, events: DataFrame, dt: int, buckets: int | None = None) -> DataFrame:
     """Training rows of one day, read back from the saved table."""
     spark = profiles.sparkSession
     with tables(spark, profiles=profiles, apps=apps.withColumn(DAY_COL, F.lit(dt).cast("bigint")), events=events) as t:
-        jobs.instances_job(spark, t["profiles"], t["apps"], t["events"], dt, t["out"])
+        jobs.instances_job(spark, t["profiles"], t["apps"], t["events"], dt, t["out"], buckets=buckets)
         return write_table(day(spark.table(f"{t['out']}_instances"), dt).drop(DAY_COL), "instances-day")
 
 

@@ -43,8 +43,12 @@ def ddl_columns(df: DataFrame, allowed: Sequence[str] = FEATURE_TYPES) -> list[t
 
 
 def save_day(df: DataFrame, table: str, dt: int, allowed: Sequence[str] = FEATURE_TYPES,
-             rename: Mapping[str, str] | None = None, fmt: str = "parquet") -> None:
-    """Create ``table`` if missing and overwrite its ``stat_date = dt`` day."""
+             rename: Mapping[str, str] | None = None, fmt: str = "parquet", bucket: tuple[str, int] | None = None) -> None:
+    """Create ``table`` if missing and overwrite its ``stat_date = dt`` day.
+
+    ``bucket`` (column, number) makes a table of sorted buckets, one file each a
+    day: tables of as many buckets by the same column are joined without a shuffle.
+    """
     spark = df.sparkSession
     if rename:
         df = df.select(*[F.col(src).alias(dst) for src, dst in rename.items()])
@@ -52,11 +56,14 @@ def save_day(df: DataFrame, table: str, dt: int, allowed: Sequence[str] = FEATUR
         df = df.drop(DAY_COL)
     cols = ddl_columns(df, allowed)
     col_sql = ", ".join(f"`{n}` {t}" for n, t in cols)
+    by = f" CLUSTERED BY (`{bucket[0]}`) SORTED BY (`{bucket[0]}`) INTO {int(bucket[1])} BUCKETS" if bucket else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({col_sql}, {DAY_COL} BIGINT) "
-              f"USING {fmt} PARTITIONED BY ({DAY_COL})")
+              f"USING {fmt} PARTITIONED BY ({DAY_COL}){by}")
     there = [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields if f.name != DAY_COL]
     if sorted(there) != sorted(cols):
         raise ValueError(f"columns {cols} do not fit table {table} with {there}")
+    if bucket:    # a task for each bucket
+        df = df.repartition(int(bucket[1]), bucket[0])
     view = f"adsift_sink_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     try:
@@ -73,6 +80,10 @@ def calendar_days(sdate: int, edate: int) -> list[int]:
     return [int((first + timedelta(days=k)).strftime("%Y%m%d")) for k in range((end - first).days)]
 
 
+def next_day(dt: int) -> int:
+    return int((datetime.strptime(str(dt), "%Y%m%d") + timedelta(days=1)).strftime("%Y%m%d"))
+
+
 def save_range(df: DataFrame, table: str, sdate: int, edate: int, allowed: Sequence[str] = FEATURE_TYPES, fmt: str = "parquet") -> DataFrame:
     """Replace all days of [sdate, edate) in one job; returns the manifest (stat_date, rows).
 
@@ -96,13 +107,15 @@ def save_range(df: DataFrame, table: str, sdate: int, edate: int, allowed: Seque
         raise ValueError(f"columns {cols} do not fit table {table} with {there}")
     ordered = rows.select(*[F.col(f"`{n}`") for n, _ in there], DAY_COL)
     _overwrite_days(ordered.hint("rebalance", DAY_COL), table)
-    for d in days:
-        if d not in counts:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DAY_COL} = {d})")
-    told = spark.createDataFrame([(counts.get(d, 0), d) for d in days], f"rows bigint, {DAY_COL} bigint")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table}_manifest (rows BIGINT, {DAY_COL} BIGINT) USING {fmt} PARTITIONED BY ({DAY_COL})")
-    _overwrite_days(told.coalesce(1), f"{table}_manifest")
-    return spark.table(f"{table}_manifest").where(F.col(DAY_COL).isin(days)).select(DAY_COL, "rows")
+    held = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}    # days of the table
+    empty = [f"PARTITION ({DAY_COL} = {d})" for d in days if d in held and d not in counts]
+    if empty:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(empty)}")
+    told = spark.createDataFrame([(d, counts.get(d, 0)) for d in days], f"{DAY_COL} bigint, rows bigint")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table}_manifest ({DAY_COL} BIGINT, rows BIGINT) USING {fmt}")
+    others = spark.table(f"{table}_manifest").where((F.col(DAY_COL) < sdate) | (F.col(DAY_COL) >= edate))
+    write_table(others.unionByName(told), "range-manifest").coalesce(1).write.insertInto(f"{table}_manifest", overwrite=True)
+    return spark.table(f"{table}_manifest").where((F.col(DAY_COL) >= sdate) & (F.col(DAY_COL) < edate))
 
 
 def _overwrite_days(df: DataFrame, table: str) -> None:

@@ -150,3 +150,27 @@ def test_zones_with_daylight_saving(spark):
     assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in one.collect())
     events = spark.createDataFrame([("d", 1, "x", 1704628800000, 2)], "imei string, app_id bigint, oper_type string, oper_time bigint, tracker_type int")
     assert FE.event_features(events, zone="Asia/Tokyo").first()["hour_of_day"] == 3.0 and FE.event_features(events).first()["hour_of_day"] == 1.0
+
+
+def test_buckets_join_without_a_shuffle_of_events(spark):
+    from adsift.plans.saved import tables
+    from adsift.sinks.daily import save_day
+    from adsift.sources.tables import day
+
+    events = spark.range(0, 4000).selectExpr("cast(id % 300 as string) as imei", "id % 40 as appid", "cast(id % 3 as double) as oper_type",
+                                             "1.0D as day_of_week", "2.0D as hour_of_day")
+    profiles = spark.range(0, 280).selectExpr("cast(id as string) as imei", "cast(id % 9 as double) as sex")
+    apps = spark.range(0, 35).selectExpr("id as appid", "cast(id % 4 as double) as fcategoryid")
+    with tables(spark) as t:
+        names = {k: f"{t['out']}_{k}" for k in ("e", "p", "a")}
+        for d in (20240101, 20240102):
+            save_day(events, names["e"], d, bucket=("imei", 4))
+            save_day(profiles, names["p"], d, bucket=("imei", 4))
+            save_day(apps, names["a"], d)
+        e, p, a = (day(spark.table(n), 20240102).drop("stat_date") for n in names.values())
+        got = FE.instances_of_buckets(e, p, a)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert plan.count("Bucketed: true") >= 2
+        want = FE.instances(events, profiles, apps)
+        assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -13,9 +13,10 @@ near if one inserted, deleted or replaced code point makes one the other.
   or later.
 * Position limits: the edit lies wholly before or behind a pivot that survives.
   Behind it, the pivot's place and all before it are the same. Before it, its
-  place moves with the length and all behind it is the same. The join key holds
-  gram, place, length, side and what stands on that side, so that a frequent
-  gram doesn't gather all words that hold it.
+  place moves with the length and all behind it is the same. Of the side with
+  the edit, one half is the same, the near or the far one. The join key holds
+  gram, place, length, the side without the edit and such a half, so that a
+  frequent gram, or words that begin alike, don't gather in one key.
 * Candidates are verified in the join by exact edit distance.
 
 A word's form is its most frequent near word (ties: the smallest), if that is
@@ -120,23 +121,49 @@ def gram_prefixes(words: DataFrame, order: DataFrame) -> DataFrame:
                         _disjoint_pair(rarest).alias("pivots"))
 
 
-def _side(word: Column, place: Column, side: str) -> Column:
-    return F.substring(word, F.lit(1), place) if side == "L" else F.substring(word, place + GRAM + 1, F.length(word))
+def _sides(word: Column, place: Column, side: str) -> tuple[Column, Column]:
+    """(unchanged side, side with the edit) of the gram at ``place``."""
+    before, behind = F.left(word, place), F.substring(word, place + GRAM + 1, F.length(word))
+    return (before, behind) if side == "L" else (behind, before)
 
 
-def _key(rank: Column, place: Column, length: Column, side: str, beside: Column) -> Column:
-    return F.xxhash64(rank, place.cast("int"), length.cast("int"), F.lit(side), beside)
+def _keys(g: Column, word: Column, side: str, d_length: int, d_place: int, halves: Column) -> list[Column]:
+    """Join keys for the gram ``g`` at its place in a word of ``d_length`` more characters whose edited side was cut after ``halves``
+    characters from the gram: one for the near and one for the far half being the same."""
+    same, edited = _sides(word, g["place"], side)
+    near, far = halves["near"], halves["far"]
+    parts = (F.left(edited, near), F.right(edited, far)) if side == "L" else (F.right(edited, near), F.left(edited, far))
+    at = (g["rank"], (g["place"] + d_place).cast("int"), (F.length(word) + d_length).cast("int"), F.lit(side), same)
+    return [F.xxhash64(*at, F.lit(kind), part) for kind, part in zip(("near", "far"), parts, strict=True)]
+
+
+def _halves(m: Column) -> Column:
+    """Lengths of the near and the far half of an edited side of ``m`` characters."""
+    near = F.floor(m / 2).cast("int")
+    return F.struct(near.alias("near"), (m - near).cast("int").alias("far"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, a_n, b, b_n) of the near words a < b of ``words`` (word, n); words of four code points or more."""
     told = write_table(gram_prefixes(words, gram_order(words)), "spelling-prefixes")
-    word, length = F.col("word"), F.length("word")
-    moved = [lambda g, m=m: _key(g["rank"], g["place"] + m[1], length + m[0], m[2], _side(word, g["place"], m[2])) for m in MOVES]
+    word = F.col("word")
+
+    def edited(g: Column, side: str) -> Column:
+        return F.length(_sides(word, g["place"], side)[1])
+
+    def asks(g: Column) -> Column:
+        """Keys of the near words in which the pivot ``g`` survives; without an edited side there is only an insertion."""
+        return F.flatten(F.array(*[F.when((edited(g, side) > 0) | F.lit(dl > 0), F.array(*_keys(g, word, side, dl, dp, _halves(edited(g, side)))))
+                                   .otherwise(F.array().cast("array<bigint>")) for dl, dp, side in MOVES]))
+
+    def answers(g: Column) -> Column:
+        """Keys under which a word is found by its gram ``g``: the other's edited side is one shorter, as long, or one longer."""
+        return F.array(*[k for side in "LR" for dl in (-1, 0, 1)
+                         for k in _keys(g, word, side, 0, 0, _halves(F.greatest(edited(g, side) - dl, F.lit(0))))])
+
     asked = told.select(F.col("word").alias("p_word"), F.col("n").alias("p_n"), F.col("last").alias("p_last"),
-                        F.explode(F.array_distinct(F.flatten(F.transform("pivots", lambda g: F.array(*[m(g) for m in moved]))))).alias("key"))
-    own = [lambda g, s=s: _key(g["rank"], g["place"], length, s, _side(word, g["place"], s)) for s in "LR"]
-    known = told.select("word", "n", "last", F.explode(F.array_distinct(F.flatten(F.transform("prefix", lambda g: F.array(*[s(g) for s in own]))))).alias("key"))
+                        F.explode(F.array_distinct(F.flatten(F.transform("pivots", asks)))).alias("key"))
+    known = told.select("word", "n", "last", F.explode(F.array_distinct(F.flatten(F.transform("prefix", answers)))).alias("key"))
     met = asked.join(known, "key").where((F.col("p_last") <= F.col("last")) & (F.col("p_word") != F.col("word"))
                                          & (F.levenshtein("p_word", "word", EDITS) == EDITS))
     smaller = F.col("p_word") < F.col("word")

@@ -226,7 +226,7 @@ def same_units(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple
         power = powers(base, len(data))
         total = data.astype(np.uint64)
         total += np.uint64(1)
-        total *= power[: len(data)]
+        total *= power
         np.cumsum(total, out=total)
         ends = starts + sizes - 1
         h = total[ends]
@@ -244,16 +244,11 @@ def same_units(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple
     raise ValueError("different words have equal hashes under all multipliers")
 
 
-@lru_cache(maxsize=1)
-def _powers(base: int, n: int) -> np.ndarray:
-    factors = np.full(n, base, np.uint64)
-    factors[0] = 1
-    return np.cumprod(factors)
-
-
 def powers(base: int, n: int) -> np.ndarray:
-    """``base`` to the powers from 0, at least ``n`` of them, modulo 2 to the 64."""
-    return _powers(base, 1 << n.bit_length())
+    """``base`` to the first ``n`` powers from 0, modulo 2 to the 64."""
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors, out=factors)
 
 
 class Encoder:

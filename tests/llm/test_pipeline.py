@@ -34,7 +34,7 @@ def test_query_against_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
     assert len(corpus_pipeline.STAGES) == 5

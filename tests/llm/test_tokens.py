@@ -60,7 +60,6 @@ def test_words_of_all_scripts(path):
                          for _ in range(rng.choice((1, 2, 5, 9, 14, 30)))) + rng.choice(("", "", "", ".", ",", ".\nAb", "\nx", "...", "'s", "\n", "1", "-y")) for _ in range(80)]
         texts.append(" ".join(words).strip())
     for buffer in (64, 4 << 20):
-        tokens._powers.cache_clear()
         was, tokens.BUFFER_BYTES = tokens.BUFFER_BYTES, buffer
         try:
             got = tokens.Encoder(path).encode(texts)

@@ -55,7 +55,7 @@ from ..session import scratch_dir
 from .shared import FILE, ROW, as_scan, with_row_key
 from .wavelet import store
 
-SHARD_BYTES = 64 << 20   # of payloads
+SHARD_BYTES = 32 << 20   # of payloads
 FILE_BYTES = 16 << 20    # compressed
 MOST_SHARDS = 1 << 16
 RECORD_BYTES = 512       # counted for each record beside its payload
@@ -248,7 +248,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     known = dealt(revisits(rows, least_bytes)).select(
         "shard", *ORDER, F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
         F.col("first").cast(told).alias("first"))
-    ordered = (full.unionByName(known).repartition(max(len(bounds), 1), "shard")
+    ordered = (full.unionByName(known).repartitionById(max(len(bounds), 1), "shard")
                .sortWithinPartitions("shard", *ORDER, "kind").select("shard", "page_id", "url", "payload", "first"))
     ordered.mapInArrow(written, MANIFEST_DDL).write.parquet(f"{folder}/manifest")
     return manifest(spark, folder)

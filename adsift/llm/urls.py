@@ -3,9 +3,10 @@
 A rule is a host with a path; it fits that host, all its subdomains, and
 every path that starts with its own. Each URL is expanded into the
 expressions that could be a rule (host suffixes of as many labels, path
-prefixes of as many characters, as some rule has), they meet the rules in an
-equi-join on the first 32 bits of their SHA-256, and the full digest confirms
-a hit. Of the rules that fit, the longest wins; of equally long ones the one
+prefixes of as many characters, as some rule has), and they meet the rules in an
+equi-join on the first 32 bits of their SHA-256 alone: the rules of a prefix are
+one row, of which those with the same full digest are confirmed after the
+join. Of the rules that fit, the longest wins; of equally long ones the one
 with the longer host, then a block.
 
 Many URLs share a host and the first characters of a path, which is all that
@@ -72,11 +73,13 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     empty = F.array().cast("array<struct<s:string,p:string>>")
     wanted = F.filter(F.array(*pairs) if pairs else empty, lambda x: x["s"].isNotNull() & x["p"].isNotNull())
     asked = (expanded.select("host", "head", F.explode(wanted).alias("e"))
-             .select("host", "head", digest(F.col("e.s"), F.col("e.p")).alias("asked"))
-             .withColumn("short", F.substring("asked", 1, PREFIX_HEX)))
-    known = rules.select("rule", F.col("verdict").alias("said"), "digest", F.length("host").alias("host_length"),
-                         F.substring("digest", 1, PREFIX_HEX).alias("known"))
-    hits = asked.join(known, (F.col("short") == F.col("known")) & (F.col("asked") == F.col("digest")))
+             .select("host", "head", "e.s", "e.p", F.substring(digest(F.col("e.s"), F.col("e.p")), 1, PREFIX_HEX).alias("short")))
+    # A group holds the rules whose digests begin alike.
+    known = (rules.select(F.substring("digest", 1, PREFIX_HEX).alias("known"),
+                          F.struct("digest", "rule", F.col("verdict").alias("said"), F.length("host").alias("host_length")).alias("r"))
+             .groupBy("known").agg(F.collect_list("r").alias("rules")))
+    met = asked.join(known, F.col("short") == F.col("known")).withColumn("asked", digest(F.col("s"), F.col("p")))
+    hits = met.select("host", "head", F.inline(F.filter("rules", lambda r: r["digest"] == F.col("asked"))))
     order = F.struct(F.length("rule"), F.col("host_length"), (F.col("said") == "block"), F.col("rule"))
     best = hits.groupBy(F.col("host").alias("h"), F.col("head").alias("q")).agg(F.max_by(F.struct("rule", "said"), order).alias("best"))
     judged = seen.join(best, (F.col("host") == F.col("h")) & (F.col("head") == F.col("q")), "left")

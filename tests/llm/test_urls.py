@@ -48,3 +48,11 @@ def test_short_hashes_are_confirmed(spark, monkeypatch, short):
     pages = spark.createDataFrame([(1, "h://a.com/de/"), (2, "h://b.net/q")], "page_id long, url string")
     out = {r["page_id"]: r["rule"] for r in urls.judge(pages, urls.rule_table(spark)).collect()}
     assert out == {1: None, 2: "net/"}
+
+
+def test_the_join_key_is_the_short_prefix(spark):
+    """Full digests are no part of the join: different rules with equal prefixes meet every expression of that prefix."""
+    pages = spark.createDataFrame([(1, "h://a.com/de/"), (2, "h://b.net/q")], "page_id long, url string")
+    out = urls.judge(pages, urls.rule_table(spark))
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x and "known" in x]
+    assert len(joins) == 1 and joins[0].count("=") == 1 and "short" in joins[0] and "digest" not in joins[0] and "sha2" not in joins[0]

@@ -25,7 +25,7 @@ def water(sizes, weights=(5, 2, 1), most=3):
 def test_targets_and_copies(docs):
     rng = random.Random(5)
     rows = [(i, "w " * rng.randint(0, 60), rng.choice("aaaaaabcd")) for i in range(600)]
-    rows += [(None, "x y", "b"), (1, None, "c"), (1, None, "c"), (900, "v w", None), (901, "many " * 5000, "a")]
+    rows += [(None, "x y", "b"), (1, None, "c"), (1, None, "c"), (900, "v w", None), (901, "many " * 400, "a")]
     out = mixing.mix(docs(rows)).collect()
     sizes = {}
     for _, text, source in rows:
@@ -40,7 +40,9 @@ def test_targets_and_copies(docs):
         taken[s] = taken.get(s, 0) + r["copies"] * r["size"]
         largest[s] = max(largest.get(s, 0), r["size"])
     for s in sizes:
-        assert abs(taken[s] - want[s]) <= 3 * largest[s]
+        # In order of size, no prefix is off by a whole document, so the words are off by the largest at most.
+        assert abs(taken[s] - want[s]) <= largest[s]
+    assert largest["a"] < want["a"] / 20
 
 
 def test_reruns_agree_and_documents_repeat(docs):

@@ -5,8 +5,8 @@ may be cut where a word must begin anyway, and equal pieces have equal ids.
 
 A text whose white space is single spaces and line breaks is cut before every
 space. The texts of a batch are one byte buffer, in which numpy finds the
-pieces and, in those of Latin letters, full stops, commas and line breaks
-alone, the words, stops and breaks that the pre-tokenizer would find. Equal
+pieces and, in those of Latin letters, signs behind words and line breaks
+alone, the words, runs of signs and breaks that the pre-tokenizer would find. Equal
 units are found by a hash and compared byte by byte; each different word is
 merged once per batch (``Merges``): words of as many bytes are a matrix of ids,
 and a round merges the pair of least rank in every row, as the model does word
@@ -173,7 +173,9 @@ def byte_symbols() -> list[str]:
 def _classes() -> np.ndarray:
     table = np.full(256, OTHER, np.uint8)
     table[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
-    table[[0x20, 0x0A, 0x2E, 0x2C]] = SPACE, BREAK, STOP, STOP
+    signs = [b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) != "'"]    # an apostrophe may begin a word's ending
+    table[signs] = STOP
+    table[[0x20, 0x0A]] = SPACE, BREAK
     return table
 
 
@@ -193,7 +195,7 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def find_units(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts of units, whether each is left to the library) in a buffer of texts that begin at ``starts``.
 
-    A unit is a word of Latin-1 letters with the space before it, a stop behind a word, a line
+    A unit is a word of Latin-1 letters with the space before it, a run of signs behind a word, a line
     break between words, or a whole piece (from a space to the next) that isn't made of these.
     """
     kind = CLASS[data]
@@ -207,14 +209,14 @@ def find_units(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
     after[-1] = SPACE
     letter, stop, line = kind == LETTER, kind == STOP, kind == BREAK
     odd = kind == OTHER
-    odd |= stop & ((before != LETTER) | ((after != BREAK) & (after != SPACE)))
+    odd |= stop & (((before != LETTER) & (before != STOP)) | ((after != BREAK) & (after != SPACE) & (after != STOP)))
     odd |= line & (((before != LETTER) & (before != STOP)) | (after != LETTER))
     begins = kind == SPACE
     begins[starts] = True
     piece = np.cumsum(begins, dtype=np.int32) - 1
     whole = np.zeros(int(piece[-1]) + 1, bool)
     whole[piece[odd]] = True
-    inside = stop | line | (letter & (before == BREAK))
+    inside = (stop & (before != STOP)) | line | (letter & (before == BREAK))
     inside &= ~whole[piece]
     at = np.flatnonzero(begins | inside)
     return at, whole[piece[at]]
@@ -342,9 +344,10 @@ class Encoder:
         sizes = np.diff(at, append=len(data))
         one, number = same_units(data, at, sizes)
         start, size = at[one], sizes[one]
-        whole = whole[one] | (size > LONGEST_WORD) | (self.merges.missing[data[start]] & (size == 1))
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
         head = CLASS[data[start]]
+        signs = (head == STOP) & ((size > 1) | ((data[start] != ord(".")) & (data[start] != ord(","))))
+        whole = whole[one] | signs | (size > LONGEST_WORD) | (self.merges.missing[data[start]] & (size == 1))
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         for c, ids in self.single.items():
             same = np.flatnonzero(~whole & (size == 1) & (data[start] == ord(c)))
             parts.append((same, np.tile(np.frombuffer(ids, "<u4"), (len(same), 1))))

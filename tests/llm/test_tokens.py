@@ -40,7 +40,7 @@ def test_any_white_space(path):
     encode, plain = tokens.Encoder(path), library(path)
 
     @settings(max_examples=300, deadline=None)
-    @given(st.lists(st.sampled_from([" ", " ", "\n", "\t", " ", " ", "\x1d", "a", "Bc", "'s", "1", "!", "é", "Ä", "ß", ".", ",", "µ", "́"]), max_size=14).map("".join))
+    @given(st.lists(st.sampled_from([" ", " ", "\n", "\t", " ", " ", "\x1d", "a", "Bc", "'s", "1", "!", "é", "Ä", "ß", ".", ",", "$$", "-", "<|", "µ", "́"]), max_size=14).map("".join))
     def same(text):
         assert np.frombuffer(encode.encode([text])[0], "<u4").tolist() == plain(text)
 
@@ -57,7 +57,7 @@ def test_words_of_all_scripts(path):
     texts = []
     for _ in range(60):
         words = ["".join(rng.choice(letters[rng.choice(list(letters)) if rng.random() < 0.2 else rng.choice(("latin", "latin", "latin-1"))])
-                         for _ in range(rng.choice((1, 2, 5, 9, 14, 30)))) + rng.choice(("", "", "", ".", ",", ".\nAb", "\nx", "...", "'s", "\n", "1", "-y")) for _ in range(80)]
+                         for _ in range(rng.choice((1, 2, 5, 9, 14, 30)))) + rng.choice(("", "", "", ".", ",", ".\nAb", "\nx", "...", "***", ",%%%", "$", "!!\n", "<|>", "'", "'s", ".'t", "$$\nAb", "\n", "1", "-y")) for _ in range(80)]
         texts.append(" ".join(words).strip())
     for buffer in (64, 4 << 20):
         was, tokens.BUFFER_BYTES = tokens.BUFFER_BYTES, buffer

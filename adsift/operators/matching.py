@@ -12,7 +12,9 @@ the cost follows the number of true candidates and not |queries| x |bids|:
   than ``most_queries`` queries, the bid's substrings of twice the length are
   counted, and so on up to the bid itself. So a short key never stays common
   because the log grows, and only what is common is counted at greater length.
-  A query that contains a bid contains its key.
+  Not every substring is looked at, but a sample that depends on the substring
+  alone: a query that contains a bid has all the bid's sampled substrings. Only
+  hashes of substrings travel.
 * bids without a token are held by every query, and the empty bid is contained
   in every one: such pairs need no key. They are dealt out by a salt, so no
   key gathers all queries.
@@ -35,6 +37,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.grams import sampled_hashes, sampled_substrings
 from ..functions.tokens import overlap, substrings, tokens
 from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, write_table
 from .segment import Dictionary, with_words
@@ -168,47 +171,64 @@ def token_candidates(s: Sides, per_bid: int) -> DataFrame:
     return query_tok.join(index, "tok").select("qid", "bid")
 
 
-def _grown_keys(s: Sides) -> tuple[DataFrame, tuple[int, ...]]:
-    """((bid, key), lengths of the keys): each non-empty bid with a substring that few queries hold, or with itself.
+def _parts(length: int) -> int:
+    """How thin substrings of this length are sampled; a bid of one and a half times the length has at least one."""
+    return length // 2 + 1
 
-    A round counts the substrings of one length, in the bids that are still
-    open and among the queries. A bid is closed with its rarest one if at most
-    ``most_queries`` queries hold it; a bid no longer than the substrings is its
-    own key, as whatever holds that is a match. The rest grows to twice the length.
+
+def _grown_keys(s: Sides) -> tuple[DataFrame, dict[int, int]]:
+    """((bid, key, hash, df), {length of keys: parts of their sample}): each non-empty bid with a substring that few queries hold, or with itself.
+
+    A round counts the sampled substrings of one length (in bytes), in the bids
+    that are still open and among the queries. A bid is closed with its rarest one
+    if at most ``most_queries`` queries hold it (``df``); a bid too short for a
+    sample is its own key (``df`` NULL), as whatever holds that is a match. The
+    rest grows to twice the length.
     """
-    g, still, closed, lengths = s.cfg.gram, s.bids.where(F.length("bid") > 0).select("bid"), [], set()
+    g, still, closed, lengths = s.cfg.gram, s.bids.where(F.length("bid") > 0).select("bid"), [], {}
     while True:
-        grams = still.where(F.length("bid") > g).select("bid", F.explode(substrings(F.col("bid"), g)).alias("key"))
-        within = s.fits(s.grams, 4 * g * s.grams)
-        freq = _frequencies(s.queries.select(F.explode(substrings(F.col("word"), g)).alias("key")), grams.select("key").distinct(), "key", within)
-        rank = F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("key"))
-        best = (grams.join(s.bounded(freq, s.grams, 4 * g * s.grams), "key", "left").groupBy("bid").agg(F.min(rank).alias("best"))
-                .select("bid", "best.key", (F.col("best.df") <= s.cfg.most_queries).alias("done")))
-        short = still.where(F.length("bid") <= g).select("bid", F.col("bid").alias("key"), F.lit(True).alias("done"))
+        grams = write_table(sampled_substrings(still, "bid", g, _parts(g)), "match_grams")
+        whole, grams = grams.where("whole"), grams.where("not whole")
+        total = grams.count()
+        keys = sampled_hashes(s.queries, "qid", "word", {g: _parts(g)}).select("hash")
+        freq = write_table(_frequencies(keys, grams.select("hash").distinct(), "hash", s.fits(total, 8 * total)), "match_counts")
+        held = freq.count()
+        rank = F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("key"), F.col("hash"))
+        best = (grams.join(s.bounded(freq, held, 16 * held), "hash", "left").groupBy("bid").agg(F.min(rank).alias("best"))
+                .select("bid", "best.key", "best.hash", "best.df", (F.col("best.df") <= s.cfg.most_queries).alias("done")))
+        short = whole.select("bid", "key", "hash", F.lit(None).cast("bigint").alias("df"), F.lit(True).alias("done"))
         level = write_table(best.unionByName(short), "match_keys")
-        counts = level.agg(F.collect_set(F.when(F.col("done"), F.length("key"))).alias("lengths"), F.count_if(~F.col("done")).alias("open")).collect()[0]
-        lengths |= set(counts["lengths"])
-        closed.append(level.where("done").select("bid", "key"))
+        counts = level.agg(F.collect_set(F.when(F.col("df").isNull(), F.octet_length("key"))).alias("whole"),
+                           F.count_if(F.col("done") & F.col("df").isNotNull()).alias("sampled"), F.count_if(~F.col("done")).alias("open")).collect()[0]
+        if counts["sampled"]:
+            lengths.setdefault(g, _parts(g))
+        lengths |= dict.fromkeys(counts["whole"], 1)
+        closed.append(level.where("done").select("bid", "key", "hash", "df"))
         if not counts["open"]:
             break
         still, g = level.where("not done").select("bid"), 2 * g
     keys = closed[0]
     for more in closed[1:]:
         keys = keys.unionByName(more)
-    return keys, tuple(sorted(lengths))
+    return keys, lengths
 
 
 def substring_candidates(s: Sides) -> DataFrame:
-    """(qid, bid) of the pairs whose query holds the bid's key; each once."""
+    """(qid, bid) of the pairs whose query holds the bid's key (or one of the same hash); each once."""
     if not s.lengths:
         return s.no_pairs()
-    if s.cfg.rarest:
-        keyed, lengths = _grown_keys(s)
-    else:
-        keyed, lengths = s.bids.where(F.length("bid") > 0).select("bid", F.substring("bid", 1, s.cfg.gram).alias("key")), s.lengths
-    keys = s.bounded(keyed, s.rows, 2 * s.text_bytes)
-    held = F.array_distinct(F.concat(*[substrings(F.col("word"), n) for n in lengths]))
-    return s.queries.select("qid", F.explode(held).alias("key")).join(keys, "key").select("qid", "bid")
+    if not s.cfg.rarest:
+        keyed = s.bids.where(F.length("bid") > 0).select("bid", F.substring("bid", 1, s.cfg.gram).alias("key"))
+        held = F.array_distinct(F.concat(*[substrings(F.col("word"), n) for n in s.lengths]))
+        return s.queries.select("qid", F.explode(held).alias("key")).join(s.bounded(keyed, s.rows, 2 * s.text_bytes), "key").select("qid", "bid")
+    keyed, lengths = _grown_keys(s)
+    keyed = keyed.where("df is null or df > 0").select("bid", "hash")    # the others no query holds
+    held, found = sampled_hashes(s.queries, "qid", "word", lengths), keyed.count()
+    if s.fits(found, s.text_bytes + 8 * found):
+        return held.join(F.broadcast(keyed), "hash").select("qid", "bid")
+    if s.fits(found, 8 * found):    # the hashes alone are little: only what meets a bid is sent to the join
+        held = held.join(F.broadcast(keyed.select("hash").distinct()), "hash", "left_semi")
+    return held.join(keyed, "hash").select("qid", "bid")
 
 
 def tokenless_pairs(s: Sides) -> DataFrame:

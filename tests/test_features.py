@@ -174,3 +174,17 @@ def test_buckets_join_without_a_shuffle_of_events(spark):
         assert plan.count("Bucketed: true") >= 2
         want = FE.instances(events, profiles, apps)
         assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_snapshot_joins_its_narrow_sides_first(spark):
+    """No attribute goes through the sort of the join by app and day."""
+    from adsift.operators import merge as MG
+
+    ads = spark.createDataFrame([(1, 20240101), (1, 20240102), (2, 20240101), (None, 20240101)], "appid long, stat_date long")
+    apps = spark.createDataFrame([(k, f"n{k}", "c", "d", 1, 2, 3, 4, 5) for k in (1, 2, 3)],
+                                 "fid long, fname string, fcategoryid string, fcategory2id string, fstatus int, fevaluate_count int, fdownload_count long, fstars int, finstall_count long")
+    versions = spark.createDataFrame([(1, 20240101, 7), (1, 20240103, 8), (2, 20240101, 9), (3, 20240101, 9)], "appid long, stat_date long, appsize long")
+    out = MG.merge_apps(ads, apps, versions, keys=("stat_date",))
+    assert sorted((r["stat_date"], r["appid"], r["fname"], r["appsize"]) for r in out.collect()) == [(20240101, 1, "n1", 7), (20240101, 2, "n2", 9)]
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x]
+    assert len(joins) == 2 and "fid" in joins[0] and "stat_date" in joins[1]

@@ -32,8 +32,8 @@ def object_fields(v: Column, names) -> Column:
 
 
 def string_value(x: Column) -> Column:
-    """A leaf VARIANT that is a JSON string, else NULL: only a string is rendered with a quote first."""
-    return F.when(F.startswith(F.to_json(x), F.lit('"')), F.try_variant_get(x, "$", "string"))
+    """A leaf VARIANT that is a JSON string, else NULL."""
+    return F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))
 
 
 def integral_value(x: Column, sql_type: str = "bigint") -> Column:

@@ -394,20 +394,21 @@ def q_flatten_day(spark, sf):
     return A.flatten_ads(S.day(logs, DAY)).select(*A.FLAT_COLUMNS)
 
 
-def _quarantined(spark, sf, strict):
-    return A.quarantined(FX.adlog(spark, sf), "line" if strict else "vcontent", ("o_orderkey",), strict, tab_split=strict)
+def _quarantined(logs, strict):
+    col = "line" if strict else "vcontent"
+    return A.quarantined(logs.select("o_orderkey", col), col, ("o_orderkey",), strict, tab_split=strict)
 
 
 def q_quarantine(spark, sf):
     """Rejected logs of the strict extract with path and reason."""
-    return _quarantined(spark, sf, True)[1].select("o_orderkey", "path", "reason")
+    return _quarantined(FX.adlog(spark, sf), True)[1].select("o_orderkey", "path", "reason")
 
 
 def q_quarantine_counts(spark, sf):
     """Logs by verdict, flatten and strict, as counted in the pass, and the flat rows of the logs that were taken."""
-    out = []
+    logs, out = FX.with_line(W.write_table(FX.adlog_rows(spark, sf), "adlog")), []
     for rules, strict in (("flatten", False), ("strict", True)):
-        taken, _, counts = _quarantined(spark, sf, strict)
+        taken, _, counts = _quarantined(logs, strict)
         rows = (A.strict_extract(taken, "line") if strict else A.flatten_ads(taken)).count()
         out += [(rules, verdict, n) for verdict, n in counts.get.items()] + [(rules, "rows", rows)]
     return spark.createDataFrame(out, "rules string, verdict string, n bigint")

@@ -151,13 +151,25 @@ ADS_BREAK_AFTER = 2
 def adlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(o_orderkey, stat_date, vcontent, line): one JSON log per order.
 
-    The order is the device/session block, its line items are the ads.
     ``line`` is ``vcontent`` TAB day, the text-file form of the log.
     """
+    return with_line(adlog_rows(spark, sf_dir))
+
+
+def with_line(logs: DataFrame) -> DataFrame:
+    return logs.withColumn("line", F.concat(F.col("vcontent"), F.lit("\t"), F.col("stat_date").cast("string")))
+
+
+def adlog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, stat_date, vcontent): the order is the device/session block, its line items are the ads.
+
+    Both tables are dealt out by order before anything is rendered, so that no
+    text is shuffled.
+    """
     orders = read_parquet(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    li = spread(read_parquet(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))
+    li = read_parquet(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus").repartition("l_orderkey")
     ad = F.struct(
         F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_returnflag"),
         F.col("l_linestatus"),
@@ -212,9 +224,8 @@ def adlog(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(k % FAULT_NO_EVENT == 0, dev)
                 .otherwise(F.concat(body, F.lit(',"event_content":'), ec, F.lit("}"))))
     day = month_start(F.col("o_orderdate"))
-    return (spread(orders).join(ads, k == F.col("l_orderkey"), "left")
-            .select(k.alias("o_orderkey"), day.alias("stat_date"), vcontent.alias("vcontent"))
-            .withColumn("line", F.concat(F.col("vcontent"), F.lit("\t"), F.col("stat_date").cast("string"))))
+    return (orders.repartition("o_orderkey").join(ads, k == F.col("l_orderkey"), "left")
+            .select(k.alias("o_orderkey"), day.alias("stat_date"), vcontent.alias("vcontent")))
 
 
 # --------------------------------------------------------------------------- feature inputs

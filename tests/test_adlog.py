@@ -128,3 +128,40 @@ def test_quarantine_accounts_for_every_log(spark):
             assert A.flatten_ads(taken).where("imei = 'x' or sn = 'x' or ip = 'x'").count() == A.flatten_ads(df).where("ip = 'x'").count()
     with pytest.raises(Exception, match="."):
         A.quarantined(df, "nope")
+
+
+def test_quarantine_writes_each_log_once(spark):
+    """One copy of the text, in no order of verdicts: a write by verdict sorts all logs."""
+    df = spark.createDataFrame([(1, "oops\t20240101"), (2, "{}\t20240101")], "id int, line string")
+    taken, rejected, _ = A.quarantined(df, "line", ["id"], tab_split=True)
+    files = taken.inputFiles()
+    assert files and not any("bad=" in f for f in files)
+    assert [f.simpleString() for f in spark.read.parquet(*files).schema] == ["log:struct<id:int,line:string>", "fault:struct<path:string,reason:string>"]
+    assert sorted(map(tuple, rejected.collect())) == [(1, "oops", "$", "not_json"), (2, "{}", "$.event_content", "missing")]
+
+
+def test_leading_complete_ads_are_counted(spark):
+    good = {f: "x" for f in A.STRICT_DEVICE_FIELDS}
+    ad = {"display": 1, "kw_type": 1, "app_id": 2, "kw_id": 3, "unit_id": 4, "kw": "w", "request_id": "r"}
+    lists = [([], 0), ([ad], 1), ([ad, ad], 2), ([ad, 0, ad], 1), ([ad | {"kw": 1}, ad], 0), (None, 0), (3, 0)]
+    df = spark.createDataFrame([(i, json.dumps(good | {"event_content": {"algorithm_version": "a", "keyword": "k", "ads": ads}}))
+                                for i, (ads, _) in enumerate(lists)], "id int, value string")
+    assert {r["id"]: r["n_ads"] for r in A.strict_extract(df, keep=["id"]).collect()} == {i: n for i, (_, n) in enumerate(lists)}
+
+
+def test_logs_are_built_without_shuffling_text(spark, tmp_path, monkeypatch):
+    """The counts build the logs once, and no rendered text goes through a shuffle."""
+    from datetime import datetime
+
+    from adsift.plans import catalog, fixtures as FX
+
+    day = datetime(1997, 3, 5)
+    spark.createDataFrame([(k, k, "O", day, "1-URGENT") for k in range(1, 30)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, n, k, k, "A", "F") for k in range(1, 30) for n in (1, 2)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    plan = FX.adlog(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    built, rows = [], FX.adlog_rows
+    monkeypatch.setattr(FX, "adlog_rows", lambda *a: built.append(1) or rows(*a))
+    counts = {(r["rules"], r["verdict"]): r["n"] for r in catalog.q_quarantine_counts(spark, str(tmp_path)).collect()}
+    assert len(built) == 1
+    assert counts["flatten", "taken"] == 29 and counts["strict", "taken"] + counts["strict", "missing"] == 29

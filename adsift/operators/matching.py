@@ -20,10 +20,15 @@ the cost follows the number of true candidates and not |queries| x |bids|:
   key gathers all queries.
 
 Both sides are written once, every search row under an id of its own. Only
-ids and single keys travel to the candidate join; texts and token sets meet
+ids, bids and single keys travel to the candidate join; the search words meet
 the pairs after it, by id. So there is one plan for short and long queries,
 and a search word that repeats is matched row by row.
 
+Pairs are dealt out by the search row's id once. They are made distinct,
+checked and gathered to lists, first pairs or flags where they then lie, so
+that nothing with a text is shuffled a second time. Token sets that are an
+expression of a text are made from it again there and don't travel.
+
 A bid-side table is broadcast only when its own number of rows and bytes,
 counted on the written bids, is within bounds. Beyond them both sides shuffle
 on the key and AQE splits a hot one.
@@ -38,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.grams import sampled_hashes, sampled_substrings
-from ..functions.tokens import overlap, substrings, tokens
+from ..functions.tokens import TOKEN_MODES, overlap, substrings, tokens
 from ..plans.strategy import DEFAULT_MAX_BYTES, DEFAULT_MAX_ROWS, ROW_OVERHEAD_BYTES, write_table
 from .segment import Dictionary, with_words
 
@@ -78,7 +83,7 @@ DEFAULT = MatchConfig()
 class Sides:
     """The written sides and what the bids' one pass of counting found.
 
-    ``queries``: qid, word, qt (tokens), row (the search row as it came).
+    ``queries``: qid, word, qt (tokens), row (the search row as it came, which holds the word).
     ``bids``: bid (the word), bt (tokens), n (their number).
     """
     cfg: MatchConfig
@@ -123,8 +128,8 @@ def prepare(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) ->
     """Write both sides and count the bids. A NULL search word takes no part."""
     row = F.struct(*[F.col(f"`{c}`") for c in searches.columns])
     q = searches.where(F.col(SEARCH).isNotNull()).select(F.col(SEARCH).alias("word"), row.alias("row"))
-    q = _with_tokens(q, "word", "qt", cfg).select(F.monotonically_increasing_id().alias("qid"), "word", "qt", "row")
-    q = write_table(q, "match_queries")
+    q = _with_tokens(q, "word", "qt", cfg).select(F.monotonically_increasing_id().alias("qid"), "qt", "row")
+    q = write_table(q, "match_queries").select("qid", F.col(f"row.{SEARCH}").alias("word"), "qt", "row")
     b = _with_tokens(distinct_bids(bids, cfg), "bid", "bt", cfg).withColumn("n", F.size("bt"))
     b = write_table(b, "match_bids")
     key_length = F.least(F.length("bid"), F.lit(cfg.gram))
@@ -252,17 +257,33 @@ def _checked(s: Sides, pairs: DataFrame, *columns: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- pairs and tags
 
-def _tagged(s: Sides) -> DataFrame:
-    """(qid, word, bid, n, tags): every pair of the word-pair rules once, with all its tags."""
+def _with_both_tokens(s: Sides, pairs: DataFrame, how: str) -> DataFrame:
+    """(qid, word, qt, bid, bt): the search rows with their pairs, both dealt out by qid."""
+    if s.cfg.token_mode in TOKEN_MODES:
+        queries = s.queries.select("qid", "word").repartition("qid").withColumn("qt", tokens("word", s.cfg.token_mode))
+        return queries.join(pairs, "qid", how).withColumn("bt", tokens("bid", s.cfg.token_mode))
+    bids = s.bounded(s.bids, s.rows, s.text_bytes + s.token_bytes + 16 * s.tokens)
+    return s.queries.select("qid", "word", "qt").join(pairs, "qid", how).join(bids.select("bid", "bt"), "bid", "left")
+
+
+def _tagged(s: Sides, rows: bool = False) -> DataFrame:
+    """(qid, word, bid, n, tags): every pair of the word-pair rules once, with all its tags.
+
+    ``rows``: also the candidates that are no pair, and each search row without
+    a candidate, with empty tags. Rows lie by qid if tokens are an expression.
+    """
     # The empty bid has no token, so its pairs are among the tokenless ones.
-    pairs = (token_candidates(s, 2).unionByName(substring_candidates(s)).unionByName(tokenless_pairs(s)).distinct())
-    both = _checked(s, pairs, "word", "qt")
-    k = overlap(F.col("qt"), F.col("bt"))
+    pairs = token_candidates(s, 2).unionByName(substring_candidates(s)).unionByName(tokenless_pairs(s)).repartition("qid").distinct()
+    both = _with_both_tokens(s, pairs, "left" if rows else "inner")
+    both = both.withColumn("k", overlap(F.col("qt"), F.col("bt"))).withColumn("n", F.size("bt"))
+    k = F.col("k")
     by_tokens = (F.when(k == F.col("n"), F.lit(TAG_ALL_TOKENS))
                  .when((k > 0) & (k == F.col("n") - 1), F.lit(TAG_ALL_BUT_ONE)))
     other = F.filter(F.array(F.when(F.col("word").contains(F.col("bid")), F.lit(TAG_CONTAINS)), by_tokens), lambda t: t.isNotNull())
-    tags = F.when(F.col("word") == F.col("bid"), F.array(F.lit(TAG_EQUAL))).otherwise(other)
-    return both.select("qid", "word", "bid", "n", tags.alias("tags")).where(F.size("tags") > 0)
+    tags = (F.when(F.col("bid").isNull(), F.array().cast("array<int>"))
+            .when(F.col("word") == F.col("bid"), F.array(F.lit(TAG_EQUAL))).otherwise(other))
+    found = both.select("qid", "word", "bid", "n", tags.alias("tags"))
+    return found if rows else found.where(F.size("tags") > 0)
 
 
 def word_pairs(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:
@@ -279,11 +300,10 @@ PAIR_TYPE = "struct<bid_word:string,tag:int>"
 
 
 def _with_pairs(s: Sides, pair: Column, agg: Callable[[str], Column], alias: str) -> DataFrame:
-    """Each search row with an aggregate of its pairs: rows and pairs in one union, grouped once by row."""
-    pairs = _tagged(s).select("qid", "word", F.explode("tags").alias("tag"), "bid", "n").select(
-        "qid", "word", pair.alias("p"))
-    rows = s.queries.select("qid", "word", F.lit(None).cast(pairs.schema["p"].dataType).alias("p"))
-    return rows.unionByName(pairs).groupBy("qid", "word").agg(agg("p").alias(alias)).select(F.col("word").alias(SEARCH), alias)
+    """Each search row with an aggregate of its pairs, grouped where its pairs were checked."""
+    found = _tagged(s, rows=True).select("qid", "word", "bid", F.explode_outer("tags").alias("tag"))
+    found = found.select("qid", "word", F.when(F.col("tag").isNotNull(), pair).alias("p"))
+    return found.groupBy("qid", "word").agg(agg("p").alias(alias)).select(F.col("word").alias(SEARCH), alias)
 
 
 def _pair() -> Column:
@@ -384,11 +404,9 @@ def _mode_flags(s: Sides, *columns: Column) -> DataFrame:
     has = lambda *tags: F.bool_or(F.arrays_overlap("tags", F.array(*[F.lit(t) for t in tags])))
     core = F.bool_or(F.arrays_overlap("tags", F.array(*map(F.lit, (TAG_EQUAL, TAG_ALL_TOKENS, TAG_ALL_BUT_ONE)))) & (F.col("n") > 0))
     flags = dict(zip(COVERAGE_MODES, (has(TAG_EQUAL), has(TAG_EQUAL, TAG_CONTAINS), has(TAG_EQUAL, TAG_ALL_TOKENS), core), strict=True))
-    row = F.struct(*columns)
-    rows = s.queries.select("qid", F.array().cast("array<int>").alias("tags"), F.lit(0).alias("n"), row.alias("kept"))
-    pairs = _tagged(s).select("qid", "tags", "n", F.lit(None).cast(rows.schema["kept"].dataType).alias("kept"))
-    return rows.unionByName(pairs).groupBy("qid").agg(
-        F.max("kept").alias("kept"), *[F.coalesce(flag, F.lit(False)).alias(mode) for mode, flag in flags.items()]).select("kept.*", *[f"`{m}`" for m in flags])
+    found = _tagged(s).groupBy("qid").agg(*[flag.alias(mode) for mode, flag in flags.items()])
+    kept = s.queries.select("qid", F.struct(*columns).alias("kept"))
+    return kept.join(found, "qid", "left").select("kept.*", *[F.coalesce(f"`{mode}`", F.lit(False)).alias(mode) for mode in flags])
 
 
 def coverage(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> DataFrame:

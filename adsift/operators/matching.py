@@ -432,16 +432,19 @@ def coverage_of_days(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DE
     matched_cnt, total_cnt, matched_words, total_words, and sketches of the
     matched and of all words).
     """
-    daily = searches.where(F.col(SEARCH).isNotNull())
-    flags = _mode_flags(prepare(daily.select(SEARCH).distinct(), bids, cfg), F.col("word").alias("w"))
-    joined = daily.join(flags, F.col(SEARCH) == F.col("w"))
-    per_mode = joined.select(F.col(day_col).alias("stat_date"), SEARCH, F.col("cnt").cast("bigint").alias("cnt"), F.inline(F.array(*[
-        F.struct(F.lit(m).alias("mode"), F.col(f"`{m}`").alias("hit")) for m in COVERAGE_MODES])))
-    hit = F.col("hit")
-    return per_mode.groupBy("stat_date", "mode").agg(
-        F.sum(F.when(hit, F.col("cnt")).otherwise(0)).alias("matched_cnt"), F.sum("cnt").alias("total_cnt"),
-        F.count_if(hit).alias("matched_words"), F.count(F.lit(1)).alias("total_words"),
-        F.hll_sketch_agg(F.when(hit, F.col(SEARCH))).alias("matched_sketch"), F.hll_sketch_agg(SEARCH).alias("total_sketch"))
+    # A word's group holds an entry a day; it goes along with the word, so that its days needn't be joined to it again.
+    day = F.struct(F.col(day_col).alias("stat_date"), F.col("cnt").cast("bigint").alias("cnt"))
+    words = searches.where(F.col(SEARCH).isNotNull()).groupBy(SEARCH).agg(F.collect_list(day).alias("days"))
+    flags = _mode_flags(prepare(words, bids, cfg), F.col("word").alias(SEARCH), F.col("row.days").alias("days"))
+    joined = flags.select(SEARCH, F.inline("days"), *[f"`{m}`" for m in COVERAGE_MODES])
+    # One group a day: with one a mode, every row came four times, and the sketches' aggregate sorts its rows beyond 128 groups.
+    per_day = joined.groupBy("stat_date").agg(
+        F.sum("cnt").alias("total_cnt"), F.count(F.lit(1)).alias("total_words"), F.hll_sketch_agg(SEARCH).alias("total_sketch"),
+        F.array(*[F.struct(F.lit(m).alias("mode"), F.sum(F.when(F.col(f"`{m}`"), F.col("cnt")).otherwise(0)).alias("matched_cnt"),
+                           F.count_if(F.col(f"`{m}`")).alias("matched_words"),
+                           F.hll_sketch_agg(F.when(F.col(f"`{m}`"), F.col(SEARCH))).alias("matched_sketch")) for m in COVERAGE_MODES]).alias("m"))
+    return per_day.select("stat_date", "total_cnt", "total_words", "total_sketch", F.inline("m")).select(
+        "stat_date", "mode", "matched_cnt", "total_cnt", "matched_words", "total_words", "matched_sketch", "total_sketch")
 
 
 def coverage_rollup(stored: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def sampled_hashes(df: DataFrame, key: str, text: str, lengths: dict[int, int])
 
 
 def sampled_substrings(df: DataFrame, text: str, length: int, parts: int) -> DataFrame:
-    """(text, key, hash, whole): each text with its sampled substrings; one too short for a sample, or no longer than one, with itself (``whole``)."""
+    """(text, place, size, hash, whole): where in each text (in bytes) its sampled substrings are; one too short for a sample, or no longer than one, has itself (``whole``)."""
     least = max(length + 1, least_length(length, parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,20 +116,18 @@ def sampled_substrings(df: DataFrame, text: str, length: int, parts: int) -> Dat
             sizes = np.diff(bounds)
             at, places = _sampled(data, bounds, length, parts)
             long = sizes[at] >= least
-            rows, begins, ends = [at[long]], [places[long]], [places[long] + length]
+            rows, begins = [at[long]], [places[long]]
             hashes = [_hashes(data, places[long], length)]
             for n in np.unique(sizes[sizes < least]):
                 own = np.flatnonzero(sizes == n)
                 rows.append(own)
                 begins.append(bounds[own])
-                ends.append(bounds[own] + n)
                 hashes.append(_hashes(data, bounds[own], int(n)))
-            row, begin, end = np.concatenate(rows), np.concatenate(begins), np.concatenate(ends)
-            raw = data.astype(np.uint8).tobytes()
-            keys = pa.array([raw[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), keys, pa.array(np.concatenate(hashes).view(np.int64)), pa.array(sizes[row] < least)],
-                                             names=[text, "key", "hash", "whole"])
+            row, begin = np.concatenate(rows), np.concatenate(begins)
+            whole = sizes[row] < least
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), pa.array((begin - bounds[row]).astype(np.int32)), pa.array(np.where(whole, sizes[row], length).astype(np.int32)),
+                 pa.array(np.concatenate(hashes).view(np.int64)), pa.array(whole)], names=[text, "place", "size", "hash", "whole"])
 
     out = df.select(text, F.col(text).cast("binary").alias("text"))
-    found = out.mapInArrow(run, f"{text} string, key binary, hash bigint, whole boolean")
-    return found.select(text, F.col("key").cast("string").alias("key"), "hash", "whole")
+    return out.mapInArrow(run, f"{text} string, place int, size int, hash bigint, whole boolean")

@@ -27,7 +27,8 @@ and a search word that repeats is matched row by row.
 Pairs are dealt out by the search row's id once. They are made distinct,
 checked and gathered to lists, first pairs or flags where they then lie, so
 that nothing with a text is shuffled a second time. Token sets that are an
-expression of a text are made from it again there and don't travel.
+expression of a text are made from it again there and don't travel. The
+number of tasks follows the search rows, so that a task's sorts stay in memory.
 
 A bid-side table is broadcast only when its own number of rows and bytes,
 counted on the written bids, is within bounds. Beyond them both sides shuffle
@@ -72,6 +73,7 @@ class MatchConfig:
     rarest: bool = True
     broadcast_max_rows: int = DEFAULT_MAX_ROWS
     broadcast_max_bytes: int = DEFAULT_MAX_BYTES
+    rows_per_task: int = 100_000    # search rows that a task of the pairs has, if that makes more tasks than cores
 
 
 DEFAULT = MatchConfig()
@@ -97,6 +99,7 @@ class Sides:
     lengths: tuple[int, ...]    # key lengths if keys don't grow
     has_tokenless: bool
     has_empty: bool
+    searches: int = 0
 
     def fits(self, rows: int, data: int) -> bool:
         return rows <= self.cfg.broadcast_max_rows and data + rows * ROW_OVERHEAD_BYTES <= self.cfg.broadcast_max_bytes
@@ -105,6 +108,14 @@ class Sides:
         """Broadcast a bid-side table of at most so many rows and bytes of data, if that is little."""
         return F.broadcast(df) if self.fits(rows, data) else df
 
+    def by_row(self, df: DataFrame) -> DataFrame:
+        """Deal out by search row: many rows over a number of tasks that follows them, which Spark doesn't merge to fewer."""
+        spark = self.queries.sparkSession
+        tasks = -(-self.searches // self.cfg.rows_per_task)
+        if tasks <= spark.sparkContext.defaultParallelism:
+            return df.repartition("qid")
+        return df.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "qid")
+
     def no_pairs(self) -> DataFrame:
         return self.queries.sparkSession.createDataFrame([], "qid bigint, bid string")
 
@@ -125,11 +136,17 @@ def _with_tokens(df: DataFrame, col: str, alias: str, cfg: MatchConfig) -> DataF
 
 
 def prepare(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) -> Sides:
-    """Write both sides and count the bids. A NULL search word takes no part."""
+    """Write both sides and count the bids. A NULL search word takes no part.
+
+    Token sets of search words that are an expression of the word are not written.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in searches.columns])
-    q = searches.where(F.col(SEARCH).isNotNull()).select(F.col(SEARCH).alias("word"), row.alias("row"))
-    q = _with_tokens(q, "word", "qt", cfg).select(F.monotonically_increasing_id().alias("qid"), "qt", "row")
-    q = write_table(q, "match_queries").select("qid", F.col(f"row.{SEARCH}").alias("word"), "qt", "row")
+    q, qid = searches.where(F.col(SEARCH).isNotNull()).select(F.col(SEARCH).alias("word"), row.alias("row")), F.monotonically_increasing_id().alias("qid")
+    if cfg.token_mode in TOKEN_MODES:
+        q = write_table(q.select(qid, "row"), "match_queries").withColumn("word", F.col(f"row.{SEARCH}")).withColumn("qt", tokens("word", cfg.token_mode))
+    else:
+        q = write_table(_with_tokens(q, "word", "qt", cfg).select(qid, "qt", "row"), "match_queries").withColumn("word", F.col(f"row.{SEARCH}"))
+    q = q.select("qid", "word", "qt", "row")
     b = _with_tokens(distinct_bids(bids, cfg), "bid", "bt", cfg).withColumn("n", F.size("bt"))
     b = write_table(b, "match_bids")
     key_length = F.least(F.length("bid"), F.lit(cfg.gram))
@@ -141,7 +158,7 @@ def prepare(searches: DataFrame, bids: DataFrame, cfg: MatchConfig = DEFAULT) ->
         F.count_if(F.col("n") == 0).alias("tokenless")).collect()[0]
     lengths = tuple(counts["lengths"])
     return Sides(cfg, q, b, counts["rows"], counts["text_bytes"] or 0, counts["tokens"] or 0, counts["token_bytes"] or 0,
-                 counts["grams"] or 0, tuple(x for x in lengths if x > 0), counts["tokenless"] > 0, 0 in lengths)
+                 counts["grams"] or 0, tuple(x for x in lengths if x > 0), counts["tokenless"] > 0, 0 in lengths, q.count())
 
 
 def _frequencies(keys: DataFrame, vocab: DataFrame, col: str, within: bool) -> DataFrame:
@@ -181,6 +198,9 @@ def _parts(length: int) -> int:
     return length // 2 + 1
 
 
+_MOST = (1 << 31) - 1
+
+
 def _grown_keys(s: Sides) -> tuple[DataFrame, dict[int, int]]:
     """((bid, key, hash, df), {length of keys: parts of their sample}): each non-empty bid with a substring that few queries hold, or with itself.
 
@@ -198,17 +218,20 @@ def _grown_keys(s: Sides) -> tuple[DataFrame, dict[int, int]]:
         keys = sampled_hashes(s.queries, "qid", "word", {g: _parts(g)}).select("hash")
         freq = write_table(_frequencies(keys, grams.select("hash").distinct(), "hash", s.fits(total, 8 * total)), "match_counts")
         held = freq.count()
-        rank = F.struct(F.coalesce(F.col("df"), F.lit(0)).alias("df"), F.col("key"), F.col("hash"))
-        best = (grams.join(s.bounded(freq, held, 16 * held), "hash", "left").groupBy("bid").agg(F.min(rank).alias("best"))
-                .select("bid", "best.key", "best.hash", "best.df", (F.col("best.df") <= s.cfg.most_queries).alias("done")))
-        short = whole.select("bid", "key", "hash", F.lit(None).cast("bigint").alias("df"), F.lit(True).alias("done"))
+        # Number of queries and place in one number: the aggregate then has a fixed width and keeps a row a bid, where one of texts sorts all substrings.
+        rank = F.shiftleft(F.least(F.coalesce(F.col("df"), F.lit(0)), F.lit(_MOST)), 32) + F.col("place")
+        best = (grams.join(s.bounded(freq, held, 16 * held), "hash", "left").groupBy("bid").agg(F.min(rank).alias("rank"), F.min_by("hash", rank).alias("hash"))
+                .select("bid", F.col("rank").bitwiseAND(_MOST).cast("int").alias("place"), F.lit(g).alias("size"), "hash", F.shiftright("rank", 32).alias("df"))
+                .withColumn("done", F.col("df") <= s.cfg.most_queries))
+        short = whole.select("bid", "place", "size", "hash", F.lit(None).cast("bigint").alias("df"), F.lit(True).alias("done"))
         level = write_table(best.unionByName(short), "match_keys")
-        counts = level.agg(F.collect_set(F.when(F.col("df").isNull(), F.octet_length("key"))).alias("whole"),
+        counts = level.agg(F.collect_set(F.when(F.col("df").isNull(), F.col("size"))).alias("whole"),
                            F.count_if(F.col("done") & F.col("df").isNotNull()).alias("sampled"), F.count_if(~F.col("done")).alias("open")).collect()[0]
         if counts["sampled"]:
             lengths.setdefault(g, _parts(g))
         lengths |= dict.fromkeys(counts["whole"], 1)
-        closed.append(level.where("done").select("bid", "key", "hash", "df"))
+        key = F.col("bid").cast("binary").substr(F.col("place") + 1, F.col("size")).cast("string")
+        closed.append(level.where("done").select("bid", key.alias("key"), "hash", "df"))
         if not counts["open"]:
             break
         still, g = level.where("not done").select("bid"), 2 * g
@@ -260,7 +283,7 @@ def _checked(s: Sides, pairs: DataFrame, *columns: str) -> DataFrame:
 def _with_both_tokens(s: Sides, pairs: DataFrame, how: str) -> DataFrame:
     """(qid, word, qt, bid, bt): the search rows with their pairs, both dealt out by qid."""
     if s.cfg.token_mode in TOKEN_MODES:
-        queries = s.queries.select("qid", "word").repartition("qid").withColumn("qt", tokens("word", s.cfg.token_mode))
+        queries = s.by_row(s.queries.select("qid", "word")).withColumn("qt", tokens("word", s.cfg.token_mode))
         return queries.join(pairs, "qid", how).withColumn("bt", tokens("bid", s.cfg.token_mode))
     bids = s.bounded(s.bids, s.rows, s.text_bytes + s.token_bytes + 16 * s.tokens)
     return s.queries.select("qid", "word", "qt").join(pairs, "qid", how).join(bids.select("bid", "bt"), "bid", "left")
@@ -273,7 +296,7 @@ def _tagged(s: Sides, rows: bool = False) -> DataFrame:
     a candidate, with empty tags. Rows lie by qid if tokens are an expression.
     """
     # The empty bid has no token, so its pairs are among the tokenless ones.
-    pairs = token_candidates(s, 2).unionByName(substring_candidates(s)).unionByName(tokenless_pairs(s)).repartition("qid").distinct()
+    pairs = s.by_row(token_candidates(s, 2).unionByName(substring_candidates(s)).unionByName(tokenless_pairs(s))).distinct()
     both = _with_both_tokens(s, pairs, "left" if rows else "inner")
     both = both.withColumn("k", overlap(F.col("qt"), F.col("bt"))).withColumn("n", F.size("bt"))
     k = F.col("k")
